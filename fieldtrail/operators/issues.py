@@ -226,19 +226,38 @@ def issue_join(issue: DataFrame, parts: Mapping[str, DataFrame], staged: Mapping
     return df.drop("status_category_id")
 
 
+def with_durations(issue: DataFrame, cfg: Config) -> DataFrame:
+    """Seconds since creation, first and last assignment, up to the resolution or now."""
+    until = F.coalesce("resolved_at", cfg.now())
+    since = {"open": "created_at", "any_assignment": "first_assigned_at", "last_assignment": "last_assigned_at"}
+    return issue.withColumns(
+        {f"{name}_duration_seconds": seconds_between(F.col(start), until) for name, start in since.items()}
+    )
+
+
+def issue_measures(issue: DataFrame, assign_resolution: DataFrame, staged: Mapping[str, DataFrame], cfg: Config) -> DataFrame:
+    """The columns of the enhanced issue that project and user metrics read, without the rest."""
+    types = staged["issue_type"].select(
+        "source_relation", "issue_type_id", F.col("issue_type_name").alias("issue_type")
+    )
+    projects = staged["project"].select("source_relation", "project_id", "project_name")
+    df = (
+        issue.select(
+            *KEYS, "project_id", "issue_type_id", "issue_name", "assignee_user_id", "created_at", "resolved_at"
+        )
+        .join(assign_resolution, KEYS, "left")
+        .join(types, ["source_relation", "issue_type_id"], "left")
+        .join(projects, ["source_relation", "project_id"], "left")
+    )
+    return with_durations(df, cfg)
+
+
 def issue_enhanced(joined_issue: DataFrame, latest: DataFrame, cfg: Config) -> DataFrame:
     """Add durations and the latest value of each history column the issue lacks.
 
     ``latest`` has one row per issue.
     """
-    until = F.coalesce("resolved_at", cfg.now())
     have = {c.lower() for c in joined_issue.columns}
     skip = {"issue_day_id", "date_day", "date_week", "from_day", "to_day", "is_latest"}
     added = [c for c in latest.columns if c.lower() not in have | skip]
-    return joined_issue.withColumns(
-        {
-            "open_duration_seconds": seconds_between(F.col("created_at"), until),
-            "any_assignment_duration_seconds": seconds_between(F.col("first_assigned_at"), until),
-            "last_assignment_duration_seconds": seconds_between(F.col("last_assigned_at"), until),
-        }
-    ).join(latest.select(*KEYS, *added), KEYS, "left")
+    return with_durations(joined_issue, cfg).join(latest.select(*KEYS, *added), KEYS, "left")

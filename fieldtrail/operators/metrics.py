@@ -1,4 +1,7 @@
-"""Projects and users with the numbers of their issues."""
+"""Projects and users with the numbers of their issues.
+
+``issue`` is the enhanced issue table, or any table with its durations, ids and names.
+"""
 
 from __future__ import annotations
 
@@ -42,7 +45,10 @@ def _days(seconds: str) -> Column:
 
 
 def _medians(issue: DataFrame, keys: Sequence[str], metrics: Mapping[str, tuple[str, bool]]) -> DataFrame:
-    """All medians over one long table of (group, metric, seconds)."""
+    """All medians over one long table of (group, metric, seconds).
+
+    A group without any duration has no row.
+    """
     values = F.array(
         *[
             F.struct(
@@ -54,11 +60,9 @@ def _medians(issue: DataFrame, keys: Sequence[str], metrics: Mapping[str, tuple[
     )
     long = issue.select(*keys, F.inline(values))
     median = grouped_median(long, [*keys, "metric"], "seconds")
-    wide = median.groupBy(*keys).agg(
+    return median.groupBy(*keys).agg(
         *[_whole(F.max(F.when(F.col("metric") == name, F.col("median")))).alias(name) for name in metrics]
     )
-    # Groups without any duration have null medians.
-    return issue.select(*keys).distinct().join(wide, list(keys), "left")
 
 
 def _average(total: str, count: str) -> Column:
@@ -71,7 +75,7 @@ def _with_days(df: DataFrame, seconds: Sequence[str]) -> DataFrame:
 
 
 def project_medians(issue: DataFrame) -> DataFrame:
-    """Median close time and age, over all and over assigned issues. ``issue`` is enhanced."""
+    """Median close time and age, over all and over assigned issues."""
     return _medians(issue.filter("project_id is not null"), PROJECT_KEYS, _PROJECT_MEDIANS)
 
 

@@ -38,13 +38,13 @@ class Tracker:
 
     def __init__(self, raw: Mapping[str, DataFrame], cfg: Config | None = None) -> None:
         self.cfg = cfg or Config()
-        self.raw = dict(raw)
-        self.spark = use_utc(next(iter(self.raw.values())).sparkSession)
+        self.raw = raw
+        self.spark = use_utc(raw["issue"].sparkSession)
 
     # --- staged tables and change logs
 
     @cached_property
-    def staged(self) -> dict[str, DataFrame]:
+    def staged(self) -> Mapping[str, DataFrame]:
         return stage_all(self.raw, self.cfg)
 
     @property
@@ -157,29 +157,43 @@ class Tracker:
 
     # --- projects and users
 
+    @cached_property
+    def issue_measures(self) -> DataFrame:
+        return issues.issue_measures(
+            self.staged["issue"], self.issue_parts["assign_resolution"], self.staged, self.cfg
+        )
+
     @cached_property
     def project_metrics(self) -> DataFrame:
-        return metrics.project_metrics(self.issue_enhanced)
+        return metrics.project_metrics(self.issue_measures)
 
     @cached_property
     def project_enhanced(self) -> DataFrame:
-        return metrics.project_enhanced(self.issue_enhanced, self.project_metrics, self.staged, self.cfg)
+        return metrics.project_enhanced(self.issue_measures, self.project_metrics, self.staged, self.cfg)
 
     @cached_property
     def user_metrics(self) -> DataFrame:
-        return metrics.user_metrics(self.issue_enhanced)
+        return metrics.user_metrics(self.issue_measures)
 
     @cached_property
     def user_enhanced(self) -> DataFrame:
-        return metrics.user_enhanced(self.issue_enhanced, self.user_metrics, self.staged["user"])
+        return metrics.user_enhanced(self.issue_measures, self.user_metrics, self.staged["user"])
 
     # --- sprints
 
+    @cached_property
+    def assigned_issue(self) -> DataFrame:
+        names = self.staged["user"].select(
+            "source_relation",
+            F.col("user_id").alias("assignee_user_id"),
+            F.col("user_display_name").alias("assignee_name"),
+        )
+        return self.staged["issue"].join(names, ["source_relation", "assignee_user_id"], "left")
+
     @cached_property
     def daily_sprint_issue_history(self) -> DataFrame:
-        # Only what issue_users knows is needed here, not the whole enhanced issue.
         return sprints.daily_sprint_issue_history(
-            self.day_intervals, self.issue_users, self.staged["sprint"], self.cfg
+            self.day_intervals, self.assigned_issue, self.staged["sprint"], self.cfg
         )
 
     @cached_property
@@ -198,13 +212,12 @@ class Tracker:
         Tables that others need are stored first and stand in for their plans.
         """
         path = path.rstrip("/")
-        shared = ["daily_changes", "day_intervals", "_timestamp_history", "issue_users", "issue_enhanced"]
-        for name in shared:
+        target = f"{path}/_shared/daily_changes"
+        write_weeks(self.daily_changes, target, "valid_starting_at_week")
+        self.__dict__["daily_changes"] = read_table(self.spark, target)
+        for name in ("day_intervals", "_timestamp_history"):
             target = f"{path}/_shared/{name.lstrip('_')}"
-            if name == "daily_changes":
-                write_weeks(self.daily_changes, target, "valid_starting_at_week")
-            else:
-                write_table(getattr(self, name), target)
+            write_table(getattr(self, name), target)
             self.__dict__[name] = read_table(self.spark, target)
         written = {}
         for name, week in self.TABLES.items():
@@ -216,4 +229,6 @@ class Tracker:
             else:
                 write_table(df, f"{path}/{name}")
             written[name] = self.__dict__[name] = read_table(self.spark, f"{path}/{name}")
+            if name == "issue_enhanced":
+                self.__dict__["issue_measures"] = self.__dict__["assigned_issue"] = written[name]
         return written

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from fieldtrail.config import Config
 from fieldtrail.sources.schemas import OPTIONAL_TABLES, RAW_COLUMNS, STAGED
-from fieldtrail.sources.tables import read_table
+from fieldtrail.sources.tables import LazyTables, read_table
 
 SOURCE = "source_relation"
 
@@ -63,16 +63,13 @@ def stage(table: str, raw: DataFrame, cfg: Config) -> DataFrame:
     return df.select(*plain, *[F.coalesce(*columns).alias(name) for name, columns in spec.fallback])
 
 
-def stage_all(raw: Mapping[str, DataFrame], cfg: Config) -> dict[str, DataFrame]:
+def stage_all(raw: Mapping[str, DataFrame], cfg: Config) -> Mapping[str, DataFrame]:
     """Stage every table that the site has; optional tables switched off are left out."""
-    staged = {}
-    for table in STAGED:
-        switch = OPTIONAL_TABLES.get(table)
-        if switch and not getattr(cfg, switch):
-            continue
-        if table in raw:
-            staged[table] = stage(table, raw[table], cfg)
-    return staged
+
+    def in_use(table: str) -> bool:
+        return table in raw and getattr(cfg, OPTIONAL_TABLES.get(table, ""), True)
+
+    return LazyTables({t: (lambda t=t: stage(t, raw[t], cfg)) for t in STAGED if in_use(t)})
 
 
 def read_sources(

@@ -4,11 +4,34 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 
+class LazyTables(Mapping):
+    """Tables by name, each made on first use, so that a plan for one costs one."""
+
+    def __init__(self, makers: Mapping[str, Callable[[], DataFrame]]) -> None:
+        self._makers = dict(makers)
+        self._made: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._made:
+            self._made[name] = self._makers[name]()
+        return self._made[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+    def __contains__(self, name: object) -> bool:
+        return name in self._makers
+
+
 def write_weeks(df: DataFrame, path: str, week: str) -> None:
     """Replace the weeks present in ``df``; other weeks of the table stay.
 

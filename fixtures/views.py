@@ -6,8 +6,13 @@ tables. Ids, values and authors come from the event columns.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldtrail.sources.tables import LazyTables
+
 TEST_TABLES = ["region", "nation", "supplier", "part", "events", "conversations", "lineitem"]
 
 #: The "now" of all queries.
@@ -78,32 +83,40 @@ RAW_VIEWS: dict[str, str] = {
             user_id, true, cast(event_id % 10 as string), cast({_V} % 7 as string)
         from events where event_type = 'purchase'""",
     "field": """
-        select 'status' as id, 'Status' as name, false as is_array, false as is_custom
-        union all select 'customfield_team', 'Team', false, true
-        union all select 'assignee', 'Assignee', false, false
-        union all select 'project', 'Project', false, false
-        union all select 'components', 'Components', false, false
-        union all select 'customfield_quarter', 'Quarter', false, true
-        union all select 'customfield_points', 'Story Points', false, true
-        union all select 'customfield_epic', 'Epic Link', false, true
-        union all select 'customfield_sprint', 'Sprint', true, true
-        union all select 'resolutiondate', 'Resolved', false, false
-        union all select 'fixVersions', 'Fix versions', true, false
-        union all select 'versions', 'Affects versions', true, false""",
+        select * from (values
+            ('status', 'Status', false, false),
+            ('customfield_team', 'Team', false, true),
+            ('assignee', 'Assignee', false, false),
+            ('project', 'Project', false, false),
+            ('components', 'Components', false, false),
+            ('customfield_quarter', 'Quarter', false, true),
+            ('customfield_points', 'Story Points', false, true),
+            ('customfield_epic', 'Epic Link', false, true),
+            ('customfield_sprint', 'Sprint', true, true),
+            ('resolutiondate', 'Resolved', false, false),
+            ('fixVersions', 'Fix versions', true, false),
+            ('versions', 'Affects versions', true, false)
+        ) as t(id, name, is_array, is_custom)""",
     "field_option": """
-        select 0 as id, 'Q1' as name union all select 1, 'Q2' union all select 2, 'Q3' union all select 3, 'Q4'""",
+        select * from (values
+            (0, 'Q1'), (1, 'Q2'), (2, 'Q3'), (3, 'Q4')
+        ) as t(id, name)""",
     "status": """
         select r_regionkey as id, r_name as name, concat('Status ', r_name) as description,
             r_regionkey % 3 as status_category_id
         from region""",
     "status_category": """
-        select 0 as id, 'To Do' as name union all select 1, 'In Progress' union all select 2, 'Done'""",
+        select * from (values
+            (0, 'To Do'), (1, 'In Progress'), (2, 'Done')
+        ) as t(id, name)""",
     "issue_type": """
-        select 0 as id, 'Epic' as name, false as subtask union all select 1, 'Story', false
-        union all select 2, 'Bug', false union all select 3, 'Sub-task', true""",
+        select * from (values
+            (0, 'Epic', false), (1, 'Story', false), (2, 'Bug', false), (3, 'Sub-task', true)
+        ) as t(id, name, subtask)""",
     "priority": """
-        select 1 as id, 'Highest' as name union all select 2, 'High' union all select 3, 'Medium'
-        union all select 4, 'Low' union all select 5, 'Lowest'""",
+        select * from (values
+            (1, 'Highest'), (2, 'High'), (3, 'Medium'), (4, 'Low'), (5, 'Lowest')
+        ) as t(id, name)""",
     "resolution": "select 0 as id, 'Done' as name, 'Work is complete' as description",
     "project": """
         select n_nationkey as id, n_name as name, concat('P', n_nationkey) as key,
@@ -157,18 +170,19 @@ ORDER_LOG = """
     from lineitem"""
 
 
-def source_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in TEST_TABLES}
+def source_tables(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
+    return LazyTables({t: partial(spark.read.parquet, f"{folder}/{t}.parquet") for t in TEST_TABLES})
 
 
-def spark_view(spark: SparkSession, sql: str, tables: dict[str, DataFrame]) -> DataFrame:
+def spark_view(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Run a view's SQL with the test tables as parameters."""
     words = sql.split()
-    used = {t: df for t, df in tables.items() if t in words}
+    used = {w for i, w in enumerate(words) if w in tables and words[i - 1] == "from"}
     text = " ".join(f"{{{w}}}" if w in used and words[i - 1] == "from" else w for i, w in enumerate(words))
-    return spark.sql(text, **used)
+    return spark.sql(text, **{t: tables[t] for t in used})
 
 
-def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def raw_tables(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
+    """The raw tables, each made when first asked for."""
     tables = source_tables(spark, folder)
-    return {name: spark_view(spark, sql, tables) for name, sql in RAW_VIEWS.items()}
+    return LazyTables({name: partial(spark_view, spark, sql, tables) for name, sql in RAW_VIEWS.items()})
