@@ -105,7 +105,7 @@ def day_intervals(filled: DataFrame, issue: DataFrame, cfg: Config) -> DataFrame
             "_piece.from_day",
             "_piece.to_day",
             (F.col("_piece.to_day") == end).alias("is_latest"),
-            *[F.when(F.col("_piece._shown"), F.col(c)).alias(c) for c in values],
+            *[F.expr(f"case when _piece._shown then `{c}` end").alias(c) for c in values],
         )
     )
 

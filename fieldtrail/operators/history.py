@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fieldtrail.config import Config
 from fieldtrail.functions.dates import week_start
 from fieldtrail.functions.text import joined, slugify, surrogate_key
-from fieldtrail.operators.timeline import SEGMENT, along
+from fieldtrail.operators.timeline import SEGMENT, along, with_segments
 
 KEYS = ["source_relation", "issue_id"]
 
@@ -110,14 +110,15 @@ def combined_history(single: DataFrame, multi: DataFrame, sprint: DataFrame | No
     return single.select(*columns).unionByName(batches.select(*columns))
 
 
-def value_validity(history: DataFrame, cfg: Config) -> DataFrame:
-    """When each value started and ended to hold (null: it still does)."""
-    return along(
-        history,
-        [*KEYS, cfg.field_grain],
-        ["updated_at", *[c for c in ("field_id", "field_value") if c != cfg.field_grain]],
-        lead={"valid_ending_at": "updated_at"},
-    ).withColumnRenamed("updated_at", "valid_starting_at")
+def value_validity(history: DataFrame, cfg: Config, hot: DataFrame | None = None) -> DataFrame:
+    """When each value started and ended to hold (null: it still does).
+
+    ``hot`` are the issues to split, see ``timeline.find_hot``.
+    """
+    rows = with_segments(history, hot, KEYS, "updated_at")
+    ties = [c for c in ("field_id", "field_value") if c != cfg.field_grain]
+    valid = along(rows, [*KEYS, cfg.field_grain], ["updated_at", *ties], lead={"valid_ending_at": "updated_at"})
+    return valid.withColumnRenamed("updated_at", "valid_starting_at").drop(SEGMENT)
 
 
 # --- daily -------------------------------------------------------------------
@@ -148,13 +149,13 @@ def without_null_marker(column: str) -> Column:
 
 
 def _pivoted(columns: Mapping[str, str]) -> list[Column]:
-    def when(condition: Column, name: str) -> Column:
-        return F.max(F.when(condition, F.col("field_value"))).alias(name)
-
     named = {"sprint": "sprint", "sprint_name": "sprint_name", **columns}
     return [
-        when(F.lower("field_id") == "status", "status"),
-        *[when(F.lower("field_name") == field, column) for column, field in named.items()],
+        F.max(F.when(F.lower("field_id") == "status", F.col("field_value"))).alias("status"),
+        *[
+            F.max(F.when(F.col("field_name") == field, F.col("field_value"))).alias(column)
+            for column, field in named.items()
+        ],
     ]
 
 

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from fieldtrail.config import Config
 
@@ -26,16 +25,11 @@ def lookup_label(df: DataFrame, column: str, labels: DataFrame, id_column: str,
     A plain left join: Spark broadcasts ``labels`` if its size allows it, and
     otherwise sorts and merges, with large values split by adaptive execution.
     """
-    labels = labels.select(
-        "source_relation",
-        F.col(id_column).cast("string").alias("_label_id"),
-        F.col(label_column).alias("_label"),
+    labels = labels.selectExpr(
+        "source_relation", f"cast(`{id_column}` as string) as `{column}`", f"`{label_column}` as _label"
     )
-    rows = df.withColumn("_label_id", F.col(column))
-    return (
-        rows.join(labels, ["source_relation", "_label_id"], "left")
-        .withColumn(column, F.coalesce("_label", column))
-        .drop("_label_id", "_label")
+    return df.join(labels, ["source_relation", column], "left").selectExpr(
+        *[f"coalesce(_label, `{c}`) as `{c}`" if c == column else f"`{c}`" for c in df.columns]
     )
 
 
@@ -52,8 +46,8 @@ def resolve_labels(
 
 def with_status(df: DataFrame, staged: Mapping[str, DataFrame], *, category: bool = False) -> DataFrame:
     """Add the name of ``status_id`` and, if asked, of the status' category."""
-    status = staged["status"].select(
-        "source_relation", F.col("status_id").cast("string").alias("status_id"), F.col("status_name").alias("status"), "status_category_id"
+    status = staged["status"].selectExpr(
+        "source_relation", "cast(status_id as string) as status_id", "status_name as status", "status_category_id"
     )
     df = df.join(status, ["source_relation", "status_id"], "left")
     if category:

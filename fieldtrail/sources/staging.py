@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fieldtrail.config import Config
 from fieldtrail.sources.schemas import OPTIONAL_TABLES, RAW_COLUMNS, STAGED
@@ -16,15 +15,23 @@ from fieldtrail.sources.tables import LazyTables, read_table
 SOURCE = "source_relation"
 
 
+def _columns(schema: str) -> list[tuple[str, str]]:
+    """A column list ``name type, ...`` as pairs."""
+    return [tuple(column.split()) for column in schema.split(",")]
+
+
+def _typed(df: DataFrame, schema: str) -> dict[str, str]:
+    """Column -> SQL text of its value in ``df``, cast; missing columns are null."""
+    have = {c.lower(): c for c in df.columns}
+    return {
+        name: f"cast(`{have[name]}` as {kind})" if name in have else f"cast(null as {kind})"
+        for name, kind in _columns(schema)
+    }
+
+
 def conform(df: DataFrame, schema: str, *extra: str) -> DataFrame:
     """Exactly the columns of ``schema``: cast, missing ones null, others dropped."""
-    have = {c.lower(): c for c in df.columns}
-    fields = T.StructType.fromDDL(schema).fields
-    columns = [
-        (F.col(f"`{have[f.name.lower()]}`") if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
-        for f in fields
-    ]
-    return df.select(*extra, *columns)
+    return df.selectExpr(*extra, *[f"{value} as `{name}`" for name, value in _typed(df, schema).items()])
 
 
 def union_sources(sources: Mapping[str, DataFrame], cfg: Config | None = None) -> DataFrame:
@@ -37,7 +44,7 @@ def union_sources(sources: Mapping[str, DataFrame], cfg: Config | None = None) -
 
 
 def with_aliases(df: DataFrame, cfg: Config) -> DataFrame:
-    return df.withColumnsRenamed(dict(cfg.column_aliases))
+    return df.withColumnsRenamed(dict(cfg.column_aliases)) if cfg.column_aliases else df
 
 
 def not_deleted(df: DataFrame) -> DataFrame:
@@ -45,22 +52,23 @@ def not_deleted(df: DataFrame) -> DataFrame:
 
 
 def stage(table: str, raw: DataFrame, cfg: Config) -> DataFrame:
-    """Conform, drop soft-deleted rows, rename and cast one table."""
+    """Conform, drop soft-deleted rows, rename and cast one table, in one projection."""
     spec = STAGED[table]
     raw = with_aliases(raw, cfg)
     if SOURCE not in raw.columns:
         raw = raw.withColumn(SOURCE, F.lit(""))
-    df = conform(raw, RAW_COLUMNS[table], SOURCE)
-    if "_deleted" in df.columns:
-        df = not_deleted(df)
+    value = _typed(raw, RAW_COLUMNS[table])
+    if "_deleted" in value and "_deleted" in raw.columns:
+        raw = not_deleted(raw)
     merged = {c for _, columns in spec.fallback for c in columns}
     casts = dict(spec.cast)
     plain = [
-        (F.col(c).cast(casts[c]) if c in casts else F.col(c)).alias(spec.rename.get(c, c))
-        for c in df.columns
+        f"cast({v} as {casts[c]}) as `{spec.rename.get(c, c)}`" if c in casts else f"{v} as `{spec.rename.get(c, c)}`"
+        for c, v in value.items()
         if c not in spec.drop and c not in merged
     ]
-    return df.select(*plain, *[F.coalesce(*columns).alias(name) for name, columns in spec.fallback])
+    fallback = [f"coalesce({', '.join(value[c] for c in columns)}) as `{name}`" for name, columns in spec.fallback]
+    return raw.selectExpr(SOURCE, *plain, *fallback)
 
 
 def stage_all(raw: Mapping[str, DataFrame], cfg: Config) -> Mapping[str, DataFrame]:

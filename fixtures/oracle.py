@@ -598,17 +598,22 @@ CTES |= {
 _NAMES = re.compile("|".join(rf"\b{n}\b" for n in sorted(CTES, key=len, reverse=True)))
 
 
-def with_ctes(final: str) -> str:
-    """Put the CTEs that ``final`` needs, and those they need, in front of it."""
+def with_ctes(final: str, views: dict[str, str] | None = None, as_of: str = AS_OF) -> str:
+    """Put the CTEs that ``final`` needs, and those they need, in front of it.
+
+    ``views`` are the raw views to use instead of the usual ones, ``as_of`` their "now".
+    """
+    ctes = CTES | {f"raw_{name}": sql for name, sql in (views or {}).items()}
     needed: list[str] = []
 
     def need(sql: str) -> None:
         for name in dict.fromkeys(_NAMES.findall(sql)):
             if name not in needed:
-                need(CTES[name])
+                need(ctes[name])
                 needed.append(name)
 
     need(final)
     if not needed:
         return final
-    return "with " + ",\n".join(f"{n} as materialized ({CTES[n]})" for n in needed) + "\n" + final
+    text = "with " + ",\n".join(f"{n} as materialized ({ctes[n]})" for n in needed) + "\n" + final
+    return text.replace(f"'{AS_OF}'", f"'{as_of}'").replace(f"'{AS_OF[:10]}'", f"'{as_of[:10]}'")

@@ -15,7 +15,7 @@ from fieldtrail.sources.schemas import RAW_COLUMNS, STAGED
 from fieldtrail.sources.staging import conform, not_deleted, union_sources
 from fieldtrail.sources.tables import read_table, shared_folder, write_weeks
 from fixtures.oracle import NOW, TODAY, with_ctes
-from fixtures.views import AS_OF, raw_tables
+from fixtures.views import AS_OF, ORDER_AS_OF, ORDER_VIEWS, raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -492,6 +492,35 @@ def cumulative_flow(t: Tracker) -> DataFrame:
     return flows.cumulative_flow(t.issue_status_transitions, t.timestamp_issue_field_history)
 
 
+# --- a large log ---------------------------------------------------------------
+
+
+def _order_query(expected: str | None):
+    def register(function: Callable[[Tracker], DataFrame]):
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            raw = raw_tables(use_utc(spark), folder, ORDER_VIEWS)
+            return _plain_numbers(function(Tracker(raw, CONFIG.with_(as_of=ORDER_AS_OF))))
+
+        QUERIES[function.__name__] = run
+        if expected:
+            EXPECTED[function.__name__] = with_ctes(expected, ORDER_VIEWS, ORDER_AS_OF)
+        return function
+
+    return register
+
+
+@_order_query("select * from x_transitions")
+def order_status_transitions(t: Tracker) -> DataFrame:
+    return t.issue_status_transitions
+
+
+@_order_query(
+    f"""select source_relation, issue_id, valid_starting_on, f_status as status_id, {_FILLED_SQL} from x_scd_day"""
+)
+def order_ffill_daily_scd(t: Tracker) -> DataFrame:
+    return t.daily_scd.drop("issue_day_id", "valid_starting_at_week")
+
+
 # --- checks ------------------------------------------------------------------
 
 

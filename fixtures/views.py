@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fieldtrail.sources.tables import LazyTables
 
-TEST_TABLES = ["region", "nation", "supplier", "part", "events", "conversations", "lineitem"]
+TEST_TABLES = ["region", "nation", "supplier", "part", "events", "conversations", "orders", "lineitem"]
 
 #: The "now" of all queries.
 AS_OF = "2024-02-05 00:00:00"
@@ -117,7 +117,10 @@ RAW_VIEWS: dict[str, str] = {
         select * from (values
             (1, 'Highest'), (2, 'High'), (3, 'Medium'), (4, 'Low'), (5, 'Lowest')
         ) as t(id, name)""",
-    "resolution": "select 0 as id, 'Done' as name, 'Work is complete' as description",
+    "resolution": """
+        select * from (values
+            (0, 'Done', 'Work is complete'), (1, 'Declined', 'Not to be done'), (2, 'Duplicate', 'Done elsewhere')
+        ) as t(id, name, description)""",
     "project": """
         select n_nationkey as id, n_name as name, concat('P', n_nationkey) as key,
             cast(n_nationkey % 10 as string) as lead_id, concat('Project ', n_name) as description,
@@ -162,12 +165,40 @@ RAW_VIEWS: dict[str, str] = {
         from lineitem""",
 }
 
-#: A large change log: the status of order lines.
-ORDER_LOG = """
-    select l_orderkey as issue_id, 'status' as field_id,
-        concat(l_linestatus, l_returnflag) as value, cast(l_suppkey as string) as author_id,
-        l_shipdate + interval '1' second * l_linenumber as time
-    from lineitem"""
+#: "Now" for the order views.
+ORDER_AS_OF = "2002-01-01 00:00:00"
+
+#: A large tracker: orders as issues, their lines as changes.
+ORDER_VIEWS: dict[str, str] = {
+    **RAW_VIEWS,
+    "issue": """
+        select o_orderkey as id, false as _deleted, o_orderdate as _synced, o_orderdate as created,
+            o_orderdate as updated, o_orderdate as resolved, cast(o_custkey % 12 as string) as assignee,
+            concat('ORD-', o_orderkey) as key, o_orderpriority as summary, o_custkey % 25 as project,
+            o_orderkey % 4 as issue_type, o_orderkey % 5 as status, cast(o_custkey % 10 as string) as reporter,
+            cast(o_custkey % 10 as string) as creator, o_orderpriority as description,
+            cast(o_orderdate as date) as due_date, o_orderstatus as environment,
+            cast(null as bigint) as work_type, cast(null as bigint) as parent_id, o_orderkey % 5 + 1 as priority,
+            0 as resolution, o_orderdate as status_category_changed, cast(null as double) as work_ratio,
+            cast(floor(o_totalprice) as double) as original_estimate, cast(null as double) as _original_estimate,
+            cast(null as double) as remaining_estimate, cast(null as double) as _remaining_estimate,
+            cast(null as double) as time_spent, cast(o_custkey as double) as _time_spent
+        from orders""",
+    "issue_field_history": """
+        select case l_linenumber % 3 when 0 then 'customfield_team' when 1 then 'status' else 'project' end as field_id,
+            l_orderkey as issue_id, l_shipdate + interval '1' second * l_linenumber as time, l_shipdate as _synced,
+            true as is_active, cast(l_suppkey % 10 as string) as author_id,
+            case when l_linenumber % 3 = 1 then cast(l_partkey % 5 as string)
+                else cast(l_suppkey % 25 as string) end as value
+        from lineitem""",
+    "issue_multiselect_history": """
+        select concat('a', l_orderkey, '-', l_linenumber) as _row_id, l_shipdate as _synced,
+            l_shipdate + interval '1' second * l_linenumber as time,
+            case when l_linenumber % 4 = 3 then 'fixVersions' else 'customfield_sprint' end as field_id,
+            l_orderkey as issue_id, true as is_active, cast(l_suppkey % 10 as string) as author_id,
+            cast(l_partkey % 25 as string) as value
+        from lineitem""",
+}
 
 
 def source_tables(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
@@ -182,7 +213,9 @@ def spark_view(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame]) -
     return spark.sql(text, **{t: tables[t] for t in used})
 
 
-def raw_tables(spark: SparkSession, folder: str) -> Mapping[str, DataFrame]:
+def raw_tables(
+    spark: SparkSession, folder: str, views: Mapping[str, str] = RAW_VIEWS
+) -> Mapping[str, DataFrame]:
     """The raw tables, each made when first asked for."""
     tables = source_tables(spark, folder)
-    return LazyTables({name: partial(spark_view, spark, sql, tables) for name, sql in RAW_VIEWS.items()})
+    return LazyTables({name: partial(spark_view, spark, sql, tables) for name, sql in views.items()})
