@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtrail import Config, Tracker
-from fieldtrail.functions.dates import use_utc
 from fieldtrail.operators import daily, flows, history, instants, issues, metrics, quality, sprints
 from fieldtrail.plans.incremental import update_daily
 from fieldtrail.sources.schemas import RAW_COLUMNS, STAGED
@@ -42,7 +41,7 @@ EXPECTED: dict[str, str] = {}
 
 
 def tracker(spark: SparkSession, folder: str, cfg: Config = CONFIG) -> Tracker:
-    return Tracker(raw_tables(use_utc(spark), folder), cfg)
+    return Tracker(raw_tables(spark, folder), cfg)
 
 
 def _plain_numbers(df: DataFrame) -> DataFrame:
@@ -498,7 +497,7 @@ def cumulative_flow(t: Tracker) -> DataFrame:
 def _order_query(expected: str | None):
     def register(function: Callable[[Tracker], DataFrame]):
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            raw = raw_tables(use_utc(spark), folder, ORDER_VIEWS)
+            raw = raw_tables(spark, folder, orders=True)
             return _plain_numbers(function(Tracker(raw, CONFIG.with_(as_of=ORDER_AS_OF))))
 
         QUERIES[function.__name__] = run

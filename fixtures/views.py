@@ -7,10 +7,11 @@ tables. Ids, values and authors come from the event columns.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import partial
+from functools import cache, partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldtrail.functions.dates import use_utc
 from fieldtrail.sources.tables import LazyTables
 
 TEST_TABLES = ["region", "nation", "supplier", "part", "events", "conversations", "orders", "lineitem"]
@@ -213,9 +214,13 @@ def spark_view(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame]) -
     return spark.sql(text, **{t: tables[t] for t in used})
 
 
-def raw_tables(
-    spark: SparkSession, folder: str, views: Mapping[str, str] = RAW_VIEWS
-) -> Mapping[str, DataFrame]:
-    """The raw tables, each made when first asked for."""
+@cache
+def _views(spark: SparkSession, folder: str, orders: bool) -> Mapping[str, DataFrame]:
     tables = source_tables(spark, folder)
+    views = ORDER_VIEWS if orders else RAW_VIEWS
     return LazyTables({name: partial(spark_view, spark, sql, tables) for name, sql in views.items()})
+
+
+def raw_tables(spark: SparkSession, folder: str, *, orders: bool = False) -> Mapping[str, DataFrame]:
+    """The raw tables as plans over the test tables, each made when first asked for."""
+    return _views(use_utc(spark), folder, orders)
