@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldtrail.operators.history import KEYS
-from fieldtrail.operators.instants import DONE, IN_PROGRESS, TO_DO
+from fieldtrail.operators.instants import DONE, IN_PROGRESS, TO_DO, is_status_change, with_previous_status
+from fieldtrail.operators.timeline import SEGMENT
 
 _GROUP = ["project", "team", "status_category"]
 
@@ -58,14 +59,31 @@ def daily_status_category(intervals: DataFrame, staged: Mapping[str, DataFrame])
     )
 
 
-def cumulative_flow(transitions: DataFrame, history: DataFrame) -> DataFrame:
-    """Issues that entered a status category per day, and the running total."""
-    at = history.select(*KEYS, F.col("valid_from").alias("transition_at"), "team", "project")
+def cumulative_flow(history: DataFrame) -> DataFrame:
+    """Issues that entered a status category per day, and the running total.
+
+    ``history`` is the timestamp history. Rows of one instant (several authors) each
+    count with the categories entered at that instant; finding those is a window over
+    the instant in the order that the rows have anyway, not a join with the transitions.
+    """
+    segment = [SEGMENT] if SEGMENT in history.columns else []
+    rows = history.select(
+        *KEYS, *segment, "valid_from", "author_id", "status", "status_category_name", "team", "project"
+    )
+    instant = Window.partitionBy(*KEYS, *segment, "valid_from")
+    entered = F.collect_set(F.when(is_status_change(), F.struct("status_category_name"))).over(instant)
     by_day = Window.partitionBy(*_GROUP).orderBy("status_category_transition_date")
     return (
-        transitions.select(*KEYS, "transition_at", F.col("status_category_name").alias("status_category"))
-        .join(at, [*KEYS, "transition_at"])
-        .groupBy(F.to_date("transition_at").alias("status_category_transition_date"), *_GROUP)
+        with_previous_status(rows)
+        .withColumn("_entered", entered)
+        .select(
+            *KEYS,
+            "project",
+            "team",
+            F.to_date("valid_from").alias("status_category_transition_date"),
+            F.inline("_entered").alias("status_category"),
+        )
+        .groupBy("status_category_transition_date", *_GROUP)
         .agg(F.count_distinct(*KEYS).alias("issues_in_new_status_category"))
         .withColumn(
             "cumulative_issues_in_status_category",

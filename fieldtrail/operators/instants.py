@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldtrail.config import Config
@@ -47,16 +47,24 @@ def timestamp_issue_field_history(filled: DataFrame, staged: Mapping[str, DataFr
     return labelled.withColumn("issue_timestamp_id", key)
 
 
-def status_changes_only(history: DataFrame) -> DataFrame:
-    """Rows at which the status differs from the row before.
+def with_previous_status(history: DataFrame) -> DataFrame:
+    return along(history, KEYS, ["valid_from", "author_id"], lag={"previous_status": "status"})
+
 
-    A row whose previous status is null is kept; a null status after a known one is not.
+def is_status_change() -> Column:
+    """Whether the status differs from the row before.
+
+    A row whose previous status is null counts; a null status after a known one does not.
     """
+    previous = F.col("previous_status")
+    return previous.isNull() | (previous != F.col("status"))
+
+
+def status_changes_only(history: DataFrame) -> DataFrame:
+    """The rows at which the status changes."""
     segment = [SEGMENT] if SEGMENT in history.columns else []
     rows = history.select(*KEYS, *segment, "status", "status_category_name", "valid_from", "author_id")
-    return along(rows, KEYS, ["valid_from", "author_id"], lag={"previous_status": "status"}).filter(
-        F.col("previous_status").isNull() | (F.col("previous_status") != F.col("status"))
-    )
+    return with_previous_status(rows).filter(is_status_change())
 
 
 def status_periods(changes: DataFrame, cfg: Config) -> DataFrame:

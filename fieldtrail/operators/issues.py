@@ -32,7 +32,8 @@ def issue_epic(history: DataFrame) -> DataFrame:
 def issue_type_parents(issue: DataFrame, issue_type: DataFrame, epic: DataFrame) -> DataFrame:
     """Add type name and parent: the own parent id, else the epic link.
 
-    Only issues that are somebody's parent go into the lookup side.
+    Issues without a parent, often most of them, get join keys of their own, so that a
+    shuffle does not gather them in one task.
     """
     typed = (
         issue.join(epic, KEYS, "left")
@@ -46,13 +47,17 @@ def issue_type_parents(issue: DataFrame, issue_type: DataFrame, epic: DataFrame)
     )
     parents = typed.select(
         "source_relation",
-        F.col("issue_id").cast("string").alias("revised_parent_issue_id"),
+        F.col("issue_id").cast("string").alias("_parent"),
         F.col("issue_type").alias("parent_issue_type"),
         F.col("issue_name").alias("parent_issue_name"),
         F.col("issue_key").alias("parent_issue_key"),
     )
-    return typed.join(parents, ["source_relation", "revised_parent_issue_id"], "left").withColumn(
-        "is_parent_epic", F.lower(F.coalesce("parent_issue_type", F.lit(""))) == "epic"
+    own_key = F.concat(F.lit("no parent of "), F.col("issue_id").cast("string"))
+    return (
+        typed.withColumn("_parent", F.coalesce("revised_parent_issue_id", own_key))
+        .join(parents, ["source_relation", "_parent"], "left")
+        .drop("_parent")
+        .withColumn("is_parent_epic", F.lower(F.coalesce("parent_issue_type", F.lit(""))) == "epic")
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fieldtrail.config import Config
 from fieldtrail.functions.dates import use_utc
-from fieldtrail.operators import daily, history, instants, issues, metrics, sprints
+from fieldtrail.operators import daily, flows, history, instants, issues, metrics, sprints
 from fieldtrail.operators.timeline import find_hot, with_segments
 from fieldtrail.sources.staging import stage_all
 from fieldtrail.sources.tables import read_table, write_table, write_weeks
@@ -204,6 +204,16 @@ class Tracker:
     def sprint_enhanced(self) -> DataFrame:
         return sprints.sprint_enhanced(self.sprint_facts, self.cfg)
 
+    # --- analyses
+
+    @cached_property
+    def daily_status_category(self) -> DataFrame:
+        return flows.daily_status_category(self.day_intervals, self.staged)
+
+    @cached_property
+    def cumulative_flow(self) -> DataFrame:
+        return flows.cumulative_flow(self._timestamp_history)
+
     # --- writing
 
     def build(self, path: str) -> dict[str, DataFrame]:

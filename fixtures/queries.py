@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtrail import Config, Tracker
-from fieldtrail.operators import daily, flows, history, instants, issues, metrics, quality, sprints
+from fieldtrail.operators import daily, history, instants, issues, metrics, quality, sprints
 from fieldtrail.plans.incremental import update_daily
 from fieldtrail.sources.schemas import RAW_COLUMNS, STAGED
 from fieldtrail.sources.staging import conform, not_deleted, union_sources
@@ -483,12 +483,12 @@ def user_enhanced(t: Tracker) -> DataFrame:
 
 @query("select * from x_daily_counts")
 def daily_status_category(t: Tracker) -> DataFrame:
-    return flows.daily_status_category(t.day_intervals, t.staged)
+    return t.daily_status_category
 
 
 @query("select * from x_flow")
 def cumulative_flow(t: Tracker) -> DataFrame:
-    return flows.cumulative_flow(t.issue_status_transitions, t.timestamp_issue_field_history)
+    return t.cumulative_flow
 
 
 # --- a large log ---------------------------------------------------------------

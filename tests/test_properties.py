@@ -69,6 +69,7 @@ def test_hot_issues_change_no_result(spark, small):
     assert plain.hot_issues is None and split.hot_issues.count() == 8
     same(split.timestamp_issue_field_history, plain.timestamp_issue_field_history)
     same(split.issue_status_transitions, plain.issue_status_transitions)
+    same(split.cumulative_flow, plain.cumulative_flow)
     long = history.combined_history(plain.single_history, plain.multi_history, plain.sprint)
     same(history.value_validity(long, split.cfg, split.hot_issues), history.value_validity(long, plain.cfg))
 

@@ -223,6 +223,32 @@ def test_two_authors_at_one_instant_repeat_the_key(spark):
     assert (check.row_count, check.repeated_keys) == (2, 1)
 
 
+def test_flow_counts_every_state_of_an_instant(spark):
+    t = tracker(
+        spark,
+        Config(as_of=NOW, history_columns=("team", "project")),
+        issue=OPEN_ISSUE,
+        issue_field_history=[
+            (1, "f_team", "2024-01-02 08:00:00", "t1", "u1"),
+            (1, "status", "2024-01-02 09:00:00", "2", "u1"),
+            (1, "f_team", "2024-01-02 09:00:00", "t2", "u2"),
+            (1, "status", "2024-01-03 09:00:00", "99", "u1"),
+            (1, "status", "2024-01-03 10:00:00", "2", "u1"),
+        ],
+    )
+    got = {
+        (r.status_category_transition_date.day, r.team, r.status_category): r.cumulative_issues_in_status_category
+        for r in t.cumulative_flow.collect()
+    }
+    # The first row has no status yet; both authors' rows of 09:00 count as entering "In Progress".
+    assert got == {
+        (2, "Red", None): 1,
+        (2, "Red", "In Progress"): 1,
+        (2, "Blue", "In Progress"): 1,
+        (3, "Blue", "In Progress"): 2,
+    }
+
+
 def test_comments(spark):
     rows = {
         "issue": [*OPEN_ISSUE, (2, "2024-01-01", None, None, 1, 2, 1, None, "K-2", "Two")],
