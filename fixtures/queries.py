@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtrail import Config, Tracker
-from fieldtrail.operators import daily, history, instants, issues, metrics, quality, sprints
+from fieldtrail.operators import daily, history, instants, metrics, quality, sprints
 from fieldtrail.plans.incremental import update_daily
 from fieldtrail.sources.schemas import RAW_COLUMNS, STAGED
 from fieldtrail.sources.staging import conform, not_deleted, union_sources
 from fieldtrail.sources.tables import read_table, shared_folder, write_weeks
-from fixtures.oracle import NOW, TODAY, with_ctes
+from fixtures.oracle import NOW, with_ctes
 from fixtures.views import AS_OF, ORDER_AS_OF, ORDER_VIEWS, raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,16 +67,16 @@ def query(expected: str | None = None, name: str | None = None):
 
 @query(
     """select 'alpha' as source_relation, issue_id, field_id, time, value, author_id from raw_issue_field_history
-    union all select 'beta', issue_id, field_id, time, value, null from raw_issue_field_history"""
+    union all select 'beta', issue_id, field_id, time, value, null from raw_issue_field_history""",
+    name="union_sources",
 )
-def union_sources_(t: Tracker) -> DataFrame:
-    log = t.raw["issue_field_history"].select("issue_id", "field_id", F.col("time").cast("timestamp").alias("time"), "value", "author_id")
+def two_sources(t: Tracker) -> DataFrame:
+    log = t.raw["issue_field_history"].select(
+        "issue_id", "field_id", F.col("time").cast("timestamp").alias("time"), "value", "author_id"
+    )
     return union_sources({"Alpha": log, "Beta": log.drop("author_id")})
 
 
-QUERIES["union_sources"], EXPECTED["union_sources"] = QUERIES.pop("union_sources_"), EXPECTED.pop("union_sources_")
-
-
 @query(
     """select cast(null as timestamp) as _synced, author_id, body, created, id, is_public, issue_id,
     update_author_id, updated from raw_comment"""
@@ -557,13 +557,14 @@ def check_unique_not_null(t: Tracker) -> DataFrame:
     return out
 
 
-_OTHER_BUILD = "select d.* replace (case when d.status = 'ASIA' then 'EUROPE' else d.status end as status) exclude (sprint, sprint_name) from x_daily d"
-_THIS_BUILD = "select * exclude (sprint, sprint_name) from x_daily"
+_PROD = "select * exclude (sprint, sprint_name) from x_daily"
+_DEV = """select * exclude (sprint, sprint_name)
+    replace (case when status = 'ASIA' then 'EUROPE' else status end as status) from x_daily"""
 
 
 @query(
-    f"""select *, 'from prod' as source from ({_THIS_BUILD} except {_OTHER_BUILD.replace('exclude (sprint, sprint_name) ', '').replace('d.*', 'd.* exclude (sprint, sprint_name)')})
-    union all select *, 'from dev' as source from ({_OTHER_BUILD.replace('exclude (sprint, sprint_name) ', '').replace('d.*', 'd.* exclude (sprint, sprint_name)')} except {_THIS_BUILD})"""
+    f"""select *, 'from prod' as source from ({_PROD} except {_DEV})
+    union all select *, 'from dev' as source from ({_DEV} except {_PROD})"""
 )
 def diff_tables(t: Tracker) -> DataFrame:
     prod = t.daily_issue_field_history
