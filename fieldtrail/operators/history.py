@@ -214,17 +214,24 @@ def timestamp_changes(
     return pivot_timestamp(with_null_marker(history), cfg)
 
 
-def fill_timestamp(changes: DataFrame, cfg: Config) -> DataFrame:
-    """Carry each value forward over the change instants; ties go by author."""
-    columns = ["status", *_SPRINT_COLUMNS, *pivot_columns(cfg, daily=False)]
-    return along(changes, KEYS, ["updated_at", "author_id"], fill=columns)
+def _filled_by_instant(cfg: Config) -> list[str]:
+    return ["status", *_SPRINT_COLUMNS, *pivot_columns(cfg, daily=False)]
 
 
-def validity_periods(filled: DataFrame) -> DataFrame:
-    """When each state of an issue started and ended (null: it is the current one)."""
-    return along(filled, KEYS, ["updated_at", "author_id"], lead={"valid_until": "updated_at"}).withColumnsRenamed(
-        {"updated_at": "valid_from", "status": "status_id"}
-    )
+def fill_timestamp(changes: DataFrame, cfg: Config) -> DataFrame:
+    """Carry each value forward over the change instants; ties go by author."""
+    return along(changes, KEYS, ["updated_at", "author_id"], fill=_filled_by_instant(cfg))
+
+
+def filled_periods(changes: DataFrame, cfg: Config) -> DataFrame:
+    """The filled states with the period each was valid (no end: it is the current one)."""
+    return along(
+        changes,
+        KEYS,
+        ["updated_at", "author_id"],
+        fill=_filled_by_instant(cfg),
+        lead={"valid_until": "updated_at"},
+    ).withColumnsRenamed({"updated_at": "valid_from", "status": "status_id"})
 
 
 def lookup_exempt(cfg: Config, *, daily: bool) -> set[str]:

@@ -12,9 +12,9 @@ from fieldtrail.functions.dates import seconds_between
 from fieldtrail.functions.text import instant_text, surrogate_key
 from fieldtrail.operators.history import (
     KEYS,
+    filled_periods,
     history_columns,
     lookup_exempt,
-    validity_periods,
     without_null_marker,
 )
 from fieldtrail.operators.lookups import resolve_labels, with_status
@@ -23,13 +23,15 @@ from fieldtrail.operators.timeline import SEGMENT, along
 TO_DO, IN_PROGRESS, DONE = "To Do", "In Progress", "Done"
 
 
-def timestamp_issue_field_history(filled: DataFrame, staged: Mapping[str, DataFrame], cfg: Config) -> DataFrame:
-    """One row per issue and change (and author), with the period it was valid."""
+def timestamp_issue_field_history(changes: DataFrame, staged: Mapping[str, DataFrame], cfg: Config) -> DataFrame:
+    """One row per issue and change (and author), with the state from then on.
+
+    ``changes`` is the pivot by instant.
+    """
     columns = history_columns(cfg, daily=False)
     exempt = lookup_exempt(cfg, daily=False)
-    segment = [SEGMENT] if SEGMENT in filled.columns else []
-    periods = validity_periods(filled)
-    shown = periods.select(
+    segment = [SEGMENT] if SEGMENT in changes.columns else []
+    shown = filled_periods(changes, cfg).select(
         *KEYS,
         *segment,
         "valid_from",
@@ -129,5 +131,28 @@ def transition_direction(transitions: DataFrame) -> DataFrame:
 
 
 def issue_status_transitions(history: DataFrame, cfg: Config) -> DataFrame:
-    periods = status_periods(status_changes_only(history), cfg)
-    return transition_direction(status_transitions(periods)).drop(SEGMENT)
+    """The steps above with all windows over the status changes taken at once.
+
+    A status lasts until the next one starts, so the time in the previous status
+    needs no window of its own.
+    """
+    steps = along(
+        status_changes_only(history),
+        KEYS,
+        ["valid_from", "author_id"],
+        lead={"_next": "valid_from"},
+        lag={"previous_status_category_name": "status_category_name", "_previous": "valid_from"},
+        number="status_sequence",
+    )
+    start, until = F.col("valid_from"), F.coalesce("_next", cfg.now())
+    return transition_direction(
+        steps.withColumns(
+            {
+                "transition_at": start,
+                "transition_until": until,
+                "is_current_status": F.col("_next").isNull(),
+                "seconds_in_status": seconds_between(start, until),
+                "seconds_in_previous_status": seconds_between(F.col("_previous"), start),
+            }
+        )
+    ).drop(SEGMENT)

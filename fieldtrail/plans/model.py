@@ -110,7 +110,7 @@ class Tracker:
 
     @cached_property
     def _timestamp_history(self) -> DataFrame:
-        return instants.timestamp_issue_field_history(self.timestamp_scd, self.staged, self.cfg)
+        return instants.timestamp_issue_field_history(self.timestamp_changes, self.staged, self.cfg)
 
     @cached_property
     def timestamp_issue_field_history(self) -> DataFrame:
