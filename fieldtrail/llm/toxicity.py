@@ -19,6 +19,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .simhash import shingle_hashes
 from .store import keep
@@ -27,8 +28,10 @@ from .store import keep
 FIT_ROWS = 15_000
 #: Score of a token that says nothing: passages do not reach over more than some tens of such tokens.
 DRIFT = -0.25
-#: Standard errors that a token's log-odds must exceed zero by.
-SIGNIFICANT = 3.0
+#: Standard errors that a token's log-odds must exceed zero by, and the least score (log-odds less one error) of use.
+SIGNIFICANT, LEAST = 3.0, 1.0
+#: Lengths of the beginnings of words that are tokens too.
+STEMS = (4, 5, 6)
 #: Segments whose expected number by chance is above this do not count.
 EXPECTED = 0.05
 
@@ -39,6 +42,24 @@ def tokens(text: str | None) -> list[str]:
     return _TOKEN.findall((text or "").lower())
 
 
+def forms(token: str) -> list[str]:
+    """A token and its beginnings, so that an inflected word is known by its stem."""
+    return [token, *(token[:n] + "*" for n in STEMS if len(token) > n)]
+
+
+def hits(words: list[str], table: dict[str, float]) -> list[tuple[int, float]]:
+    """Positions and scores of the tokens that the table knows, by their best form."""
+    found, get = [], table.get
+    for i, word in enumerate(words):
+        score = get(word, 0.0)
+        for n in STEMS:
+            if len(word) > n and (other := get(word[:n] + "*", 0.0)) > score:
+                score = other
+        if score:
+            found.append((i, score))
+    return found
+
+
 def segments(scores: list[tuple[int, float]], drift: float = DRIFT) -> list[tuple[float, int, int]]:
     """All maximal segments (score, first, last) of a sequence of ``drift`` with the given positive positions.
 
@@ -82,12 +103,12 @@ class Model:
 
     def evidence(self, text: str | None) -> float:
         """How far the significant segments of a text exceed chance, in units of the extreme-value law."""
-        words, table = tokens(text), self.scores
-        hits = [(i, table[w]) for i, w in enumerate(words) if w in table]
-        if not hits:
+        words = tokens(text)
+        found = hits(words, self.scores)
+        if not found:
             return 0.0
         level = self.log_k + math.log(len(words))
-        above = (self.rate * s - level for s, _, _ in segments(hits, self.drift))
+        above = (self.rate * s - level for s, _, _ in segments(found, self.drift))
         return sum(x for x in above if x > -math.log(EXPECTED))
 
     def score(self, text: str | None) -> float:
@@ -116,15 +137,19 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) ->
     return docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id")
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def _copy_mark(texts: pd.Series) -> pd.Series:
     """A number that near copies of a text mostly share: the least hash of its runs of three words."""
     return pd.Series([min(shingle_hashes(t, 3), default=0) >> 1 for t in texts], dtype="int64")
 
 
+def _all_forms(text: str | None) -> list[str]:
+    return sorted({f for word in set(tokens(text)) for f in forms(word)})
+
+
 def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        labels, found = batch.column(1).to_pylist(), [sorted(set(tokens(t))) for t in batch.column(0).to_pylist()]
+        labels, found = batch.column(1).to_pylist(), [_all_forms(t) for t in batch.column(0).to_pylist()]
         sizes = [len(f) for f in found]
         yield pa.RecordBatch.from_arrays(
             [pa.array([w for f in found for w in f], pa.string()), pa.array(np.repeat(labels, sizes), pa.int32())],
@@ -158,10 +183,11 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Model:
         .select("token_", odds.alias("odds"), error.alias("error"), "in0")
         .where(F.col("odds") > SIGNIFICANT * F.col("error"))
         .select("token_", (F.col("odds") - F.col("error")).alias("score"), "in0")
+        .where(F.col("score") >= LEAST)
     )
     # A token needs several toxic documents, so these are far fewer than the tokens of the bounded sample.
     table = significant.toPandas().sort_values("token_")
-    scores = dict(zip(table["token_"], table["score"].clip(lower=0.1, upper=8.0)))
+    scores = dict(zip(table["token_"], table["score"].clip(upper=8.0)))
     if not scores:
         return Model({}, DRIFT, 1.0, 0.0, 1.0, -5.0)
     lengths = once.where("toxic = 0").agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 1
@@ -233,8 +259,7 @@ def find_passages(docs: DataFrame, model: Model) -> DataFrame:
             found, m = [], sent.value
             for id_, text in zip(rows["doc_id"], rows["text"]):
                 words = tokens(text)
-                hits = [(i, m.scores[w]) for i, w in enumerate(words) if w in m.scores]
-                for s, first, last in segments(hits, m.drift):
+                for s, first, last in segments(hits(words, m.scores), m.drift):
                     expected = math.exp(m.log_k + math.log(len(words)) - m.rate * s)
                     if expected <= EXPECTED:
                         found.append((id_, first, last, s, expected))
