@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, lines, mixing, simhash, toxicity
+from . import exact, lines, mixing, packing, simhash, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,6 +17,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer(name: str = "word_bpe_49k.json") -> str:
+    """The definition of a public tokenizer, read where the driver is."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as file:
+        return file.read()
+
+
+def op1_pack(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens."""
+    return packing.packed(table(spark, folder, "documents"), tokenizer())
+
+
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate groups of all documents: words in threes, three differing bits."""
     return simhash.near_groups(table(spark, folder, "documents"))
@@ -45,6 +58,7 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pack": op1_pack,
     "op2_simhash": op2_simhash,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_mix": op5_mix,
