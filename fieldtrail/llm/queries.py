@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, lines, mixing, packing, simhash, toxicity
+from . import ann, exact, lines, mixing, packing, simhash, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -57,6 +57,11 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return made.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+def op9_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest embeddings of each whose id is divisible by 100."""
+    return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_simhash": op2_simhash,
@@ -64,6 +69,7 @@ QUERIES = {
     "op5_mix": op5_mix,
     "op7_toxicity": op7_toxicity,
     "op8_line_dedup": op8_line_dedup,
+    "op9_nearest": op9_nearest,
 }
 
 ORACLE_SQL = {
