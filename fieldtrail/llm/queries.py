@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact, lines, mixing, packing, simhash, toxicity
+from . import ann, exact, language, lines, mixing, packing, simhash, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -45,6 +45,12 @@ def op5_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_plan(table(spark, folder, "documents"))
 
 
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of all documents, learnt from those that are not held out."""
+    made = language.identify(table(spark, folder, "documents"))
+    return made.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity of all documents, learnt from four fifths of the labelled ones."""
     scored = toxicity.toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
@@ -67,6 +73,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_exact_dedup": op3_exact_dedup,
     "op5_mix": op5_mix,
+    "op6_language": op6_language,
     "op7_toxicity": op7_toxicity,
     "op8_line_dedup": op8_line_dedup,
     "op9_nearest": op9_nearest,
