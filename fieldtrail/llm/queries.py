@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact, language, lines, mixing, packing, simhash, toxicity
+from . import ann, exact, html, language, lines, mixing, packing, secrets, simhash, toxicity
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -40,6 +40,11 @@ def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(table(spark, folder, "documents"))
 
 
+def op4_html(spark: SparkSession, folder: str) -> DataFrame:
+    """Title and visible text of all pages."""
+    return html.extract(table(spark, folder, "pages"))
+
+
 def op5_mix(spark: SparkSession, folder: str) -> DataFrame:
     """Words that a mix of 150% of all words takes of each document, sources weighing 3, 1, 2 in turn."""
     return mixing.mix_plan(table(spark, folder, "documents"))
@@ -68,15 +73,22 @@ def op9_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Candidates for secrets in all documents, judged by a forest that learnt from rule-labelled findings."""
+    return secrets.scan(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_simhash": op2_simhash,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_html": op4_html,
     "op5_mix": op5_mix,
     "op6_language": op6_language,
     "op7_toxicity": op7_toxicity,
     "op8_line_dedup": op8_line_dedup,
     "op9_nearest": op9_nearest,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLE_SQL = {
