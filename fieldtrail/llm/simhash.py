@@ -23,10 +23,11 @@ from .store import keep
 
 #: Fingerprints of the sample that the tree is built from, at most.
 SAMPLE = 1 << 16
-#: Leaves, at most; the tree is sent to all tasks.
+#: Leaves, at most; the tree is sent to all tasks. Their number follows the square root of that of the fingerprints:
+#: more leaves would mean more visits to shuffle, and tasks go on splitting in memory.
 MOST_LEAVES = 4096
-#: Fingerprints that a leaf should have, and beyond which one task does not take a leaf alone.
-LEAF, TASK = 2048, 100_000
+#: Fingerprints below which a task does not split any more, and beyond which one task does not take a leaf alone.
+LEAF, TASK = 2048, 250_000
 
 # For each byte, its bits as eight counters of a byte each.
 _SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").copy().view(np.uint64)[:, 0]
@@ -201,7 +202,7 @@ def fingerprint_links(prints: DataFrame, radius: int = 3) -> DataFrame:
     """a_, b_: links that join all of the distinct fingerprints fp_ that are within ``radius`` bits of one another."""
     spark = prints.sparkSession
     count = prints.count()
-    leaves = min(MOST_LEAVES, max(1, count // LEAF))
+    leaves = min(MOST_LEAVES, max(1, round(count**0.5 / 4)))
     # Hash order makes the sample a random one; it is a sixteenth of the rows at most.
     sample = prints.orderBy(F.xxhash64("fp_")).limit(min(SAMPLE, count // 16 + 1)).toPandas()["fp_"].to_numpy(np.int64)
     tree = spark.sparkContext.broadcast(Tree(sample.view(np.uint64), leaves))
