@@ -194,7 +194,9 @@ def _probe_at_shards(docs: DataFrame, index: DataFrame, min_chars: int, task_row
     probes = stored.select("row_", ids, "text").mapInArrow(hashes, schema)
     parts = probes.groupBy("shard_").agg(F.ceil(F.count("*") / F.lit(task_rows)).cast("int").alias("parts_"))
     parts = keep(parts)
-    arrays = index.join(parts, "shard_").withColumn("part_", F.explode(F.sequence(F.lit(0), F.col("parts_") - 1)))
+    # The second reading has columns of its own, so that the two sides can meet again.
+    again = parts.select(F.col("shard_").alias("shard_"), F.col("parts_").alias("parts_"))
+    arrays = index.join(again, "shard_").withColumn("part_", F.explode(F.sequence(F.lit(0), F.col("parts_") - 1)))
     dealt = probes.join(parts, "shard_").withColumn("part_", F.pmod(F.hash("row_", "line_"), "parts_").cast("int"))
 
     def probe(lines: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
