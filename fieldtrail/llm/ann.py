@@ -121,6 +121,7 @@ def first_edges(nodes: DataFrame, count: int) -> DataFrame:
     dealt = nodes.select("node_", "small_").mapInArrow(assign, "list_ int, node_ long, small_ binary")
     # One row per pivot.
     sizes = {r["list_"]: r["n"] for r in dealt.groupBy("list_").agg(F.count("*").alias("n")).collect()}
+    sizes[-1] = 1  # a map needs an entry
     parts = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, -(-n // LIST_ROWS))))
     part = F.pmod(F.xxhash64("node_"), parts[F.col("list_")]).cast("int")
 
