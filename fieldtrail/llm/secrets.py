@@ -20,7 +20,7 @@ from .store import SPACE, keep
 SPEAKING = "token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key"
 EXAMPLES = "test|example|sample|mock|fixture|dummy|doc"
 #: A long run, and what a value given to a speaking name looks like.
-RUN = r"[A-Za-z0-9+/_=.\-]{16,}"
+RUN = r"[A-Za-z0-9+/_.\-]{16,}={0,2}"
 ASSIGNED = rf"(?i)(?:{SPEAKING})[\"']?\s*[:=]\s*[\"']?[^\s\"']{{6,}}"
 #: Labelled findings of each label that the forest learns from, at most, and its size.
 FIT_ROWS, TREES, DEPTH = 10_000, 24, 8
