@@ -6,7 +6,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fieldtrail.llm import lines, mixing, packing, simhash, toxicity
 from fieldtrail.llm.queries import table, tokenizer
@@ -15,8 +14,7 @@ from fieldtrail.llm.store import shared_folder
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not predicted toxic; a null text is clean."""
-    judged = toxicity.toxicity(docs, table(spark, sf_dir, "labels"))
-    return judged.where(F.col("predicted") == 0).select(*docs.columns)
+    return toxicity.without_toxic(docs, table(spark, sf_dir, "labels"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -131,17 +131,23 @@ def mixed(docs: DataFrame, weights=(3, 1, 2), share: float = 1.5, most: float =
     The document at a source's cut is there with its first words only. Documents without words are in no budget; they
     stay once.
     """
-    sizes = keep(sized(docs).select(*SOURCE, "size_", "key_"))
-    joined = sized(docs).join(keep(cuts(sizes, weights, share, most)), SOURCE)
+    # The row itself is one column, so that its names cannot clash.
+    rows = sized(docs.select("doc_id", "text", "source", F.struct(*docs.columns).alias("doc_")))
+    plan = keep(cuts(keep(rows.select(*SOURCE, "size_", "key_")), weights, share, most))
+    joined = rows.join(plan, SOURCE)
     tail = taken_last()
     passes = F.when(F.col("size_") == 0, F.lit(1)).otherwise(F.col("epochs_") + F.when(tail > 0, 1).otherwise(0))
     part = F.array_join(
         F.slice(F.regexp_extract_all("text", F.lit(f"[{SPACE}]*[^{SPACE}]+"), F.lit(0)), 1, tail.cast("int")), ""
     )
     cut = (F.col("pass_") > F.col("epochs_")) & (tail < F.col("size_"))
-    text = F.when(cut, part).otherwise(F.col("text"))
-    rows = joined.where(passes > 0).withColumn("pass_", F.explode(F.sequence(F.lit(1), passes.cast("int"))))
-    out = rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    out = joined.where(passes > 0).withColumn("pass_", F.explode(F.sequence(F.lit(1), passes.cast("int"))))
+    out = out.withColumn("text", F.when(cut, part).otherwise(F.col("text"))).withColumn("cut_text_", cut)
+
+    def column(name: str):
+        own = F.col("doc_").getField(name)
+        if name == "text":
+            return F.col("text")
+        return F.when(F.col("cut_text_"), F.length("text").cast("long")).otherwise(own) if name == "n_chars" else own
+
+    return out.select(*(column(c).alias(c) for c in docs.columns))

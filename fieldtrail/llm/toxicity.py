@@ -234,20 +234,30 @@ def _logistic(points: pd.DataFrame, ridge: float = 1e-3) -> tuple[float, float]:
     return max(float(w[0]), 0.0), float(w[1])
 
 
+def scorer(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS):
+    """A function of a text column that gives its score, learnt from ``docs`` and ``labels``."""
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, most))
+
+    @F.pandas_udf(T.DoubleType())
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series([model.value.score(t) for t in texts], dtype="float64")
+
+    return score
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> DataFrame:
     """``docs`` with score (0 to 1) and predicted (1 if score is 0.5 or more), from whole texts.
 
     A null or empty text has no passage and gets the score of such texts. Tables without usable labels give low scores.
     Repeated rows each give a row; an empty table gives none. Columns named score or predicted are replaced.
     """
-    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, most))
+    scored = docs.withColumn("score", scorer(docs, labels, most)("text"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        return texts.map(model.value.score, na_action=None).astype(float)
 
-    scored = docs.withColumn("score", score("text"))
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+def without_toxic(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> DataFrame:
+    """``docs``, unchanged, without those that score 0.5 or more. A null text stays."""
+    return docs.where(scorer(docs, labels, most)("text") < 0.5)
 
 
 def find_passages(docs: DataFrame, model: Model) -> DataFrame:
