@@ -267,10 +267,112 @@ def near_groups(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
     )
 
 
-def one_of_each_group(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
-    """``docs`` without the documents that are not the first (smallest doc_id) of their group.
+# --- groups by similarity --------------------------------------------------------
+#
+# Texts that share four fifths of their shingles have fingerprints some ten bits apart, where no tree can rule anything
+# out any more. There, the fingerprints of small parts of a text take over: shingles are dealt into parts by hash, so
+# that some part of two similar texts is the same. Whatever is found is compared word by word in the end.
+
+#: Shingles that a part should have, parts that are looked at, and bits that similar texts differ in at most: at 0.8,
+#: nine or ten are usual, with a deviation of three.
+PART, PARTS, FAR = 6, 16, 24
+
+
+def part_prints(hashes: np.ndarray) -> list[int]:
+    """Fingerprints of parts of a text's distinct shingles, dealt out as finely as their number asks for, and once more
+    as finely for texts that are a little longer."""
+    found = []
+    fine = max(0, (len(hashes) // PART).bit_length() - 1)
+    for k in (fine, fine + 1):
+        part = hashes & np.uint64((1 << k) - 1)
+        seen = part < PARTS
+        order = np.lexsort((hashes[seen], part[seen]))
+        own, of = hashes[seen][order], part[seen][order]
+        for piece in np.split(own, np.flatnonzero(np.diff(of)) + 1) if len(own) else ():
+            found.append(xxhash.xxh64_intdigest(piece.tobytes(), k) - (1 << 63))
+    return found
+
+
+def sketches(docs: DataFrame, width: int) -> DataFrame:
+    """doc_id, words_ (hash of all words), n_ (distinct shingles), fp_ and parts_ of each row."""
 
-    Only the numbers of what goes are joined with the texts. Rows with a null doc_id stay.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns: list[list] = [[], [], [], []]
+            for text in batch.column(1):
+                text = text.as_py()
+                hashes = np.array(shingle_hashes(text, width), dtype=np.uint64)
+                fp = majority_bits(hashes, np.array([len(hashes)]))[0]
+                distinct = np.unique(hashes)
+                words = xxhash.xxh3_128_hexdigest(b" ".join((text or "").encode().lower().split()))
+                for column, value in zip(columns, (words, len(distinct), int(fp.view(np.int64)), part_prints(distinct))):
+                    column.append(value)
+            kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "words_", "n_", "fp_", "parts_"])
+
+    schema = "doc_id long, words_ string, n_ long, fp_ long, parts_ array<long>"
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+
+
+def _candidates(texts: DataFrame, radius: int, similarity: float) -> DataFrame:
+    """a_, b_ (a_ > b_): pairs of ``texts`` that are worth a comparison.
+
+    With the first and the last of each part's texts, not all pairs of them; and along the links of the tree.
+    """
+    own = texts.select("doc_id", F.explode("parts_").alias("part_"))
+    ends = own.groupBy("part_").agg(F.min("doc_id").alias("first_"), F.max("doc_id").alias("last_")).where("first_ < last_")
+    by_part = own.join(ends, "part_").select(F.col("doc_id").alias("a_"), F.explode(F.array("first_", "last_")).alias("b_"))
+    prints = keep(texts.groupBy("fp_").agg(F.min("doc_id").alias("least_")))
+    links = fingerprint_links(prints.select("fp_"), radius)
+    ids = lambda side: prints.select(F.col("fp_").alias(side), F.col("least_").alias(f"of_{side}"))
+    by_tree = links.join(ids("a_"), "a_").join(ids("b_"), "b_").select(F.col("of_a_").alias("a_"), F.col("of_b_").alias("b_"))
+    same = texts.join(prints, "fp_").select(F.col("doc_id").alias("a_"), F.col("least_").alias("b_"))
+    pairs = by_part.unionByName(by_tree).unionByName(same).where("a_ <> b_")
+    pairs = pairs.select(F.greatest("a_", "b_").alias("a_"), F.least("a_", "b_").alias("b_")).distinct()
+    known = lambda side: texts.select(*(F.col(c).alias(c + side) for c in ("doc_id", "n_", "fp_")))
+    joined = pairs.join(known("a"), F.col("a_") == F.col("doc_ida")).join(known("b"), F.col("b_") == F.col("doc_idb"))
+    sizes = F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")
+    near = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= FAR
+    return joined.where(sizes & near).select("a_", "b_")
+
+
+def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 3) -> DataFrame:
+    """doc_id and component_id (smallest doc_id of its group) of each document that has an id.
+
+    Texts of the same words link, and texts whose sets of shingles of ``width`` words have a Jaccard similarity of
+    ``similarity`` or more; groups follow links. Blank and null texts are texts of the same (no) words.
+    """
+    rows = keep(sketches(docs.where("doc_id is not null"), width))
+    least = rows.groupBy("words_").agg(F.min("doc_id").alias("text_"))
+    # One row per text from here on. (Rows that repeat an id with other words are texts of one document.)
+    texts = keep(rows.join(least, "words_").where("doc_id = text_").dropDuplicates(["doc_id"]))
+    pairs = keep(_candidates(texts, radius, similarity))
+    chosen = pairs.select(F.col("a_").alias("doc_id")).union(pairs.select("b_")).distinct()
+    bodies = docs.select(F.col("doc_id").cast("long"), "text").join(chosen, "doc_id").dropDuplicates(["doc_id"])
+    bodies = keep(bodies)
+    side = lambda s: bodies.select(F.col("doc_id").alias(f"{s}_"), F.col("text").alias(f"text_{s}"))
+
+    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for a, b in zip(batch.column(2), batch.column(3)):
+                x, y = (set(shingle_hashes(t.as_py(), width)) for t in (a, b))
+                good.append(len(x & y) >= similarity * len(x | y))
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a_", "b_"]).filter(pa.array(good, pa.bool_()))
+
+    both = pairs.join(side("a"), "a_").join(side("b"), "b_").select("a_", "b_", "text_a", "text_b")
+    linked = components(both.mapInArrow(verified, "a_ long, b_ long"))
+    of_text = linked.select(F.col("node_").alias("text_"), "component_")
+    named = rows.join(least, "words_").select("doc_id", "text_").join(of_text, "text_", "left")
+    return named.select("doc_id", F.coalesce("component_", "text_").alias("component_id"))
+
+
+def one_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """``docs`` without the documents that are not the first (smallest doc_id) of their group by ``similar_groups``.
+
+    Only the numbers of what goes are joined with the texts. Rows with a null doc_id stay, and rows that repeat the
+    first's doc_id stay with it.
     """
-    gone = near_groups(docs, width, radius).where("doc_id <> component_id").select("doc_id").distinct()
+    gone = similar_groups(docs, width, similarity).where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(keep(gone), "doc_id", "left_anti").select(*docs.columns)

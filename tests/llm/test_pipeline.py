@@ -43,7 +43,7 @@ def test_stages_one_after_the_other(spark, small, tmp_path):
     assert ids[1] == sorted(r.doc_id for r in judged)
     want = {r.doc_id: r.text for r in rows_of(lines.dedup_lines(kept[1]))}
     assert {r.doc_id: r.text for r in rows_of(kept[2])} == want
-    groups = rows_of(simhash.near_groups(kept[2]))
+    groups = rows_of(simhash.similar_groups(kept[2]))
     assert ids[3] == sorted({r.component_id for r in groups})
     taken = {r.doc_id: r.taken for r in rows_of(mixing.mix_plan(kept[3])) if r.taken}
     mixed = collections.Counter()

@@ -114,9 +114,41 @@ def test_components_of_paths_stars_and_loops(spark):
     assert rows_of(components(spark.createDataFrame([], "a_ long, b_ long"))) == []
 
 
+def jaccard(a, b, width=5):
+    x, y = (
+        {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
+        for w in ((t or "").lower().split() for t in (a, b))
+    )
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+def test_groups_by_similarity_against_all_pairs(make_docs):
+    """Copies with one word in fifty changed: far apart for the tree, but similar."""
+    rng = random.Random(14)
+    vocabulary = [f"v{i}" for i in range(2000)]
+    rows, number = [], iter(range(10_000))
+    passage = [rng.choice(vocabulary) for _ in range(60)]
+    for _ in range(60):
+        base = [rng.choice(vocabulary) for _ in range(rng.choice([3, 8, 60, 120, 400, 1500]))]
+        base = base + passage if rng.random() < 0.3 else base
+        for copy in range(rng.choice([1, 2, 3, 5])):
+            words = list(base)
+            for _ in range(copy and rng.choice([0, max(1, len(words) // 60), len(words) // 8])):
+                words[rng.randrange(len(words))] = rng.choice(vocabulary)
+            rows.append((next(number), " ".join(words)))
+    want = connected({(i, j) for i, a in rows for j, b in rows if i > j and jaccard(a, b) >= 0.8})
+    got = {}
+    for r in rows_of(simhash.similar_groups(make_docs(rows))):
+        got.setdefault(r.component_id, set()).add(r.doc_id)
+    assert {frozenset(g) for g in got.values() if len(g) > 1} == want
+    assert all(least == min(g) for least, g in got.items())
+    assert len(want) > 25
+
+
 def test_one_of_each_group_stays(make_docs):
     text = " ".join(f"w{i}" for i in range(400))
-    docs = make_docs([(5, text), (3, text), (4, text + " end"), (1, "something else entirely here"), (None, text)])
+    docs = make_docs([(5, text), (3, text), (4, text + " end"), (1, "something else entirely here"), (None, text), (7, ""), (6, None)])
     made = simhash.one_of_each_group(docs)
     assert made.columns == docs.columns
-    assert sorted(str(r.doc_id) for r in rows_of(made)) == ["1", "3", "None"]
+    assert sorted(str(r.doc_id) for r in rows_of(made)) == ["1", "3", "6", "None"]
+    assert rows_of(simhash.one_of_each_group(docs.limit(0))) == []
