@@ -32,7 +32,8 @@ class Config:
     using_teams: bool = True
     include_comments: bool = True
     include_conversations: bool = True
-    conversation_char_limit: int = 16_777_216
+    #: Longer conversations show a fixed sentence instead of their text; by default none does.
+    conversation_char_limit: int | None = None
     #: One row per sprint and team; otherwise one per sprint.
     sprint_include_teams: bool = True
     #: Keep the letter case of source names in ``source_relation``.
@@ -44,10 +45,8 @@ class Config:
     #: The instant every "now" refers to, as UTC text; fixed when the run starts.
     as_of: str = field(default_factory=_utc_now)
 
-    #: An issue with at least this many changes is split over several tasks ...
+    #: An issue with at least this many changes is split over several tasks.
     hot_rows: int = 5_000_000
-    #: ... for the largest issues up to this many (the list is broadcast).
-    hot_top: int = 256
 
     def __post_init__(self) -> None:
         if self.field_grain not in ("field_id", "field_name"):

@@ -110,6 +110,11 @@ def day_intervals(filled: DataFrame, issue: DataFrame, cfg: Config) -> DataFrame
     )
 
 
+def calendar_ends(intervals: DataFrame) -> DataFrame:
+    """First and last day of each issue in the daily history."""
+    return intervals.groupBy(*KEYS).agg(F.min("from_day").alias("first"), F.max("to_day").alias("last"))
+
+
 def labelled_intervals(intervals: DataFrame, staged: Mapping[str, DataFrame], cfg: Config) -> DataFrame:
     """Replace ids by labels and the null marker by null."""
     columns = history_columns(cfg, daily=True)

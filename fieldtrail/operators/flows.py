@@ -11,7 +11,7 @@ from fieldtrail.operators.history import KEYS
 from fieldtrail.operators.instants import DONE, IN_PROGRESS, TO_DO, is_status_change, with_previous_status
 from fieldtrail.operators.timeline import SEGMENT
 
-_GROUP = ["project", "team", "status_category"]
+_GROUP = ["source_relation", "project", "team", "status_category"]
 
 
 def _status_categories(staged: Mapping[str, DataFrame]) -> DataFrame:

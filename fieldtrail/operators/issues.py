@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldtrail.config import Config
@@ -12,9 +12,6 @@ from fieldtrail.functions.dates import seconds_between
 from fieldtrail.functions.text import joined
 from fieldtrail.operators.history import KEYS
 
-# Of the conversations beyond the limit, the largest this many are set aside by a
-# broadcast; any other issue has less than 1/1000 of all comment text.
-_HUGE_CONVERSATIONS = 1000
 TOO_LONG = "conversation too long to render"
 
 
@@ -35,17 +32,15 @@ def issue_type_parents(issue: DataFrame, issue_type: DataFrame, epic: DataFrame)
     Issues without a parent, often most of them, get join keys of their own, so that a
     shuffle does not gather them in one task.
     """
+    types = issue_type.select("source_relation", "issue_type_id", F.col("issue_type_name").alias("issue_type"))
     typed = (
         issue.join(epic, KEYS, "left")
         .withColumn("revised_parent_issue_id", F.coalesce(F.col("parent_issue_id").cast("string"), "epic_issue_id"))
         .drop("epic_issue_id")
-        .join(
-            issue_type.select("source_relation", "issue_type_id", F.col("issue_type_name").alias("issue_type")),
-            ["source_relation", "issue_type_id"],
-            "left",
-        )
+        .join(types, ["source_relation", "issue_type_id"], "left")
     )
-    parents = typed.select(
+    # What a parent shows does not need the change log.
+    parents = issue.join(types, ["source_relation", "issue_type_id"], "left").select(
         "source_relation",
         F.col("issue_id").cast("string").alias("_parent"),
         F.col("issue_type").alias("parent_issue_type"),
@@ -85,8 +80,8 @@ def issue_users(issue: DataFrame, user: DataFrame) -> DataFrame:
 def issue_comments(comment: DataFrame, user: DataFrame, cfg: Config) -> DataFrame:
     """Number of comments and their text, one line each, oldest first.
 
-    Comments by unknown users do not count. The lengths are summed first, so text
-    is gathered only for conversations within the limit.
+    Comments by unknown users do not count. A conversation is one text by definition of the
+    result, so all of its lines meet in one row.
     """
     line = F.concat(
         F.date_format("created_at", "yyyy-MM-dd HH:mm:ss"),
@@ -99,22 +94,19 @@ def issue_comments(comment: DataFrame, user: DataFrame, cfg: Config) -> DataFram
         user.select("source_relation", F.col("user_id").alias("author_user_id"), "user_display_name"),
         ["source_relation", "author_user_id"],
     ).select(*KEYS, "comment_id", "created_at", line.alias("line"))
+    count = F.count("comment_id").alias("count_comments")
     if not cfg.include_conversations:
-        return lines.groupBy(*KEYS).agg(F.count("comment_id").alias("count_comments"))
-    totals = lines.groupBy(*KEYS).agg(
-        F.count("comment_id").alias("count_comments"),
-        F.coalesce(F.sum(F.length("line") + 1), F.lit(0)).alias("_length"),
-    )
-    fits = F.col("_length") <= cfg.conversation_char_limit
-    huge = totals.filter(~fits).orderBy(F.desc("_length"), *KEYS).limit(_HUGE_CONVERSATIONS).select(*KEYS)
-    texts = (
-        lines.join(F.broadcast(huge), KEYS, "left_anti")
-        .join(totals.filter(fits).select(*KEYS), KEYS, "left_semi")
-        .groupBy(*KEYS)
-        .agg(joined("line", separator="\n", order="created_at, comment_id").alias("_text"))
-    )
-    return totals.join(texts, KEYS, "left").select(
-        *KEYS, "count_comments", F.when(~fits, F.lit(TOO_LONG)).otherwise(F.col("_text")).alias("conversation")
+        return lines.groupBy(*KEYS).agg(count)
+    text = joined("line", separator="\n", order="created_at, comment_id").alias("conversation")
+    if cfg.conversation_char_limit is None:
+        return lines.groupBy(*KEYS).agg(count, text)
+    length = F.coalesce(F.sum(F.length("line") + 1), F.lit(0)).alias("_length")
+    too_long = F.col("_length") > cfg.conversation_char_limit
+    return (
+        lines.groupBy(*KEYS)
+        .agg(count, length, text)
+        .withColumn("conversation", F.when(too_long, F.lit(TOO_LONG)).otherwise(F.col("conversation")))
+        .drop("_length")
     )
 
 
@@ -166,21 +158,19 @@ def issue_sprint(multi_history: DataFrame, sprint: DataFrame) -> DataFrame:
 def issue_versions(multi_history: DataFrame, version: DataFrame) -> DataFrame:
     """Names of the versions set by the latest change, affected and fixed ones apart."""
     names = version.select("source_relation", F.col("version_id").alias("_version_id"), "version_name")
-    batches = (
-        multi_history.filter(F.col("field_id").isin("versions", "fixVersions"))
-        .withColumn("_version_id", F.col("field_value").try_cast("long"))
-        .join(names, ["source_relation", "_version_id"], "left")
-        .groupBy(*KEYS, "field_id", "updated_at")
-        .agg(joined("version_name").alias("names"))
-    )
+    changes = multi_history.filter(F.col("field_id").isin("versions", "fixVersions"))
+    # Of each issue and field, the rows of the last instant only.
+    newest = F.rank().over(Window.partitionBy(*KEYS, "field_id").orderBy(F.desc("updated_at")))
+    latest = changes.withColumn("_rank", newest).filter(F.col("_rank") == 1).drop("_rank")
 
-    def latest(field_id: str):
-        is_field = F.col("field_id") == field_id
-        return F.max(F.when(is_field, F.struct("updated_at", "names")))["names"]
+    def of(field_id: str):
+        return joined(f"case when field_id = '{field_id}' then version_name end")
 
     return (
-        batches.groupBy(*KEYS)
-        .agg(latest("versions").alias("affects_versions"), latest("fixVersions").alias("fixes_versions"))
+        latest.withColumn("_version_id", F.col("field_value").try_cast("long"))
+        .join(names, ["source_relation", "_version_id"], "left")
+        .groupBy(*KEYS)
+        .agg(of("versions").alias("affects_versions"), of("fixVersions").alias("fixes_versions"))
         .filter("affects_versions is not null or fixes_versions is not null")
     )
 

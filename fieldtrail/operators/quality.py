@@ -15,11 +15,16 @@ WARN_HOURS, ERROR_HOURS = 72, 96
 
 
 def freshness_check(tables: Mapping[str, DataFrame], cfg: Config, loaded_at: str = "_synced") -> DataFrame:
-    """How old the newest row of each raw table is."""
+    """How old the newest row of each raw table is; a table that does not say when it was loaded is too old."""
+
+    def loaded(df: DataFrame):
+        known = loaded_at.lower() in map(str.lower, df.columns)
+        return (F.col(loaded_at) if known else F.lit(None)).cast("timestamp")
+
     newest = reduce(
         DataFrame.unionByName,
         [
-            df.agg(F.max(F.col(loaded_at).cast("timestamp")).alias("max_loaded_at")).select(
+            df.agg(F.max(loaded(df)).alias("max_loaded_at")).select(
                 F.lit(name).alias("table_name"), "max_loaded_at"
             )
             for name, df in tables.items()
@@ -49,6 +54,42 @@ def check_unique_not_null(table: str, df: DataFrame, key: Sequence[str]) -> Data
     )
 
 
+#: The ids of the tables that others look up; a repeated one would multiply their rows.
+DIMENSIONS: dict[str, str] = {
+    "component": "component_id",
+    "field": "field_id",
+    "field_option": "field_id",
+    "issue": "issue_id",
+    "issue_type": "issue_type_id",
+    "priority": "priority_id",
+    "project": "project_id",
+    "resolution": "resolution_id",
+    "sprint": "sprint_id",
+    "status": "status_id",
+    "status_category": "status_category_id",
+    "team": "team_id",
+    "user": "user_id",
+    "version": "version_id",
+}
+
+
+def check_dimensions(staged: Mapping[str, DataFrame]) -> DataFrame:
+    """:func:`check_unique_not_null` of the ids of all dimension tables in use."""
+    checks = [
+        check_unique_not_null(table, staged[table], ["source_relation", key])
+        for table, key in DIMENSIONS.items()
+        if table in staged
+    ]
+    return reduce(DataFrame.unionByName, checks)
+
+
+def require_unique_ids(staged: Mapping[str, DataFrame]) -> None:
+    """Raise if a dimension has an id twice, or a null one; an action over the ids."""
+    wrong = check_dimensions(staged).filter("repeated_keys > 0 or rows_with_null_key > 0").collect()
+    if wrong:
+        raise ValueError(f"ids are repeated or null in {', '.join(sorted(r['table_name'] for r in wrong))}")
+
+
 def diff_tables(
     before: DataFrame, after: DataFrame, ignore: Sequence[str] = (), names: tuple[str, str] = ("prod", "dev")
 ) -> DataFrame:
@@ -96,8 +137,8 @@ def reconcile_first_sprint_day(daily_sprint: DataFrame, multi: DataFrame, field:
     return (
         shown.join(logged, pair, "full_outer")
         .filter(
-            (F.col("first_date_source") != F.col("first_date_end"))
-            & (F.col("first_date_source") >= F.to_date("sprint_started_at"))
+            ~F.col("first_date_source").eqNullSafe(F.col("first_date_end"))
+            & F.coalesce(F.col("first_date_source") >= F.to_date("sprint_started_at"), F.lit(True))
         )
         .select(*pair, "first_date_source", "first_date_end")
     )
@@ -124,6 +165,6 @@ def reconcile_sprint_issue_count(
     )
     return (
         shown.join(logged, key, "full_outer")
-        .filter(F.col("sprint_issues_source") != F.col("sprint_issues_end"))
+        .filter(~F.col("sprint_issues_source").eqNullSafe(F.col("sprint_issues_end")))
         .select(*key, "sprint_issues_source", "sprint_issues_end")
     )

@@ -113,17 +113,16 @@ def sprint_issue_facts(daily_sprint: DataFrame, cfg: Config) -> DataFrame:
     """
     day = F.col("date_day")
     on_start = day == F.to_date("sprint_started_at")
-    ahead = (day < F.to_date("sprint_started_at")) & (day == cfg.today())
     on_end = day == F.to_date("sprint_ended_at")
     facts = [
         F.max(F.col("is_sprint_active") & F.col("is_issue_open")).alias("_open"),
         F.max("is_issue_resolved_in_sprint").alias("_resolved"),
-        F.max(F.when(on_start | ahead, F.lit(1))).alias("_committed"),
+        F.max(F.when(on_start, F.lit(1))).alias("_committed"),
     ]
     for c in point_columns(cfg):
         done = F.when(F.col("is_issue_resolved_in_sprint"), F.col(c)).otherwise(F.lit(0))
         facts += [
-            F.sum(F.when(on_start | ahead, F.coalesce(c, F.lit(0)))).alias(f"_{c}_committed"),
+            F.sum(F.when(on_start, F.coalesce(c, F.lit(0)))).alias(f"_{c}_committed"),
             F.sum(F.when(on_end, F.coalesce(c, F.lit(0)))).alias(f"_{c}_end"),
             F.sum(F.when(on_end, done)).alias(f"_{c}_completed"),
         ]

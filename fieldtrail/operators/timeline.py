@@ -10,63 +10,54 @@ in a small table with one row per segment.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldtrail.config import Config
+from fieldtrail.sources.tables import read_written, write_table
 
-SEGMENT = "_segment"
-_MAX_SEGMENTS = 1000
+SEGMENT, _SECOND = "_segment", "_second"
 
 
-def find_hot(df: DataFrame, keys: Sequence[str], time: str, cfg: Config) -> DataFrame | None:
-    """The largest entities with the instants at which to cut them, or None.
+def _second(time: str) -> Column:
+    return F.unix_seconds(F.col(time).cast("timestamp"))
 
-    At most ``hot_top`` entities with 1,000 cuts each, so the result is small
-    enough for the driver and for a broadcast; an entity beyond the list has at
-    most 1/hot_top of all rows.
+
+def find_hot(df: DataFrame, keys: Sequence[str], time: str, cfg: Config, path: str) -> DataFrame | None:
+    """The seconds of the entities with ``hot_rows`` rows or more, each with its segment; None if there are none.
+
+    An action: what it finds is written below ``path``, and read from there ever after. Any number of entities may be
+    hot, and any number of segments be cut from one; a segment has about ``hot_rows`` rows, or one second.
     """
     keys = list(keys)
-    large = (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("rows"))
-        .filter(F.col("rows") >= cfg.hot_rows)
-        .orderBy(F.desc("rows"), *keys)
-        .limit(cfg.hot_top)
-        .collect()
-    )
-    if not large:
+    counts = df.groupBy(*keys).agg(F.count("*").alias("rows")).filter(F.col("rows") >= cfg.hot_rows)
+    write_table(counts, f"{path}/entities")
+    entities = read_written(counts, f"{path}/entities")
+    if entities.isEmpty():
         return None
-    spark = df.sparkSession
-    listed = spark.createDataFrame(large)
-    pieces = min(_MAX_SEGMENTS, max(2, math.ceil(max(r["rows"] for r in large) / cfg.hot_rows)))
-    cuts = [i / pieces for i in range(1, pieces)]
-    found = (
-        df.join(F.broadcast(listed.select(*keys)), keys)
-        .groupBy(*keys)
-        .agg(F.array_distinct(F.percentile_approx(F.unix_micros(time), cuts, 10_000)).alias("_cuts"))
-        .collect()
+    seconds = (
+        df.withColumn(_SECOND, _second(time))
+        .join(entities.select(*keys), keys, "left_semi")
+        .groupBy(*keys, _SECOND)
+        .agg(F.count("*").alias("rows"))
     )
-    # Plain values from here on: every use of the cuts sees the same ones.
-    return spark.createDataFrame(found)
+    before = F.sum("rows").over(Window.partitionBy(*keys).orderBy(_SECOND)) - F.col("rows")
+    segments = seconds.select(*keys, _SECOND, F.floor(before / cfg.hot_rows).cast("int").alias(SEGMENT))
+    write_table(segments, f"{path}/segments")
+    return read_written(segments, f"{path}/segments")
 
 
 def with_segments(df: DataFrame, hot: DataFrame | None, keys: Sequence[str], time: str) -> DataFrame:
     """Add the segment number: -1 for ordinary entities, else 0, 1, ... along time.
 
-    It is a function of the instant, so rows of one instant stay together.
+    It is a function of the second, so rows of one instant stay together.
     """
     if hot is None:
         return df
-    before = F.size(F.filter("_cuts", lambda cut: cut < F.unix_micros(time)))
-    return (
-        df.join(F.broadcast(hot), list(keys), "left")
-        .withColumn(SEGMENT, F.when(F.col("_cuts").isNull(), F.lit(-1)).otherwise(before))
-        .drop("_cuts")
-    )
+    joined = df.withColumn(_SECOND, _second(time)).join(hot, [*keys, _SECOND], "left").drop(_SECOND)
+    return joined.withColumn(SEGMENT, F.coalesce(SEGMENT, F.lit(-1)))
 
 
 def _pack(columns: Sequence[str]) -> Column:
@@ -132,8 +123,7 @@ def along(
             **{f"_local_{c}": F.last(c, ignorenulls=True).over(so_far) for c in fill},
         }
     )
-    # At most hot_top x 1,000 rows, see find_hot.
-    merged = local.join(F.broadcast(carried), [*keys, SEGMENT], "left")
+    merged = local.join(carried, [*keys, SEGMENT], "left")
     following, preceding = F.coalesce("_lead", "_next"), F.coalesce("_lag", "_previous")
     new = {out: following[c] for out, c in lead.items()}
     new |= {out: preceding[c] for out, c in lag.items()}

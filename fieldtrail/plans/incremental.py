@@ -10,18 +10,21 @@ from pyspark.sql import functions as F
 from fieldtrail.config import Config
 from fieldtrail.operators import daily, history
 from fieldtrail.plans.model import Tracker
-from fieldtrail.sources.tables import read_table, write_weeks
+from fieldtrail.sources.tables import drop_weeks, read_written, stored_weeks, write_table, write_weeks
 
 SAFE_START = date(2010, 1, 1)
 
 
-def week_cut(table: DataFrame, week: str, cfg: Config) -> date:
+def monday(day: date) -> date:
+    return day - timedelta(days=day.weekday())
+
+
+def week_cut(weeks: list[date], cfg: Config) -> date:
     """The Monday from which to rebuild: the last stored week less the lookback.
 
-    Reads partition values only. An empty table counts from a date before all changes.
+    A table without weeks counts from a date before all changes.
     """
-    start = table.agg(F.max(week)).first()[0] or SAFE_START
-    return start - timedelta(days=start.weekday()) - timedelta(weeks=cfg.lookback_weeks)
+    return monday(weeks[-1] if weeks else SAFE_START) - timedelta(weeks=cfg.lookback_weeks)
 
 
 def seed_rows(changes: DataFrame, cut: date, cfg: Config) -> DataFrame:
@@ -42,34 +45,63 @@ def seed_rows(changes: DataFrame, cut: date, cfg: Config) -> DataFrame:
     )
 
 
-def rebuild_from(tracker: Tracker, changes: DataFrame, cut: date | None) -> DataFrame:
-    """Daily rows of the weeks from ``cut`` on (None: of all), from the stored daily changes."""
-    cfg = tracker.cfg
+def changes_since(changes: DataFrame, cut: date | None, cfg: Config) -> DataFrame:
+    """The stored daily changes from ``cut`` on, and one row per issue for all before it."""
     if cut is None:
-        filled = history.fill_daily(changes, cfg)
-        intervals = daily.day_intervals(filled, tracker.staged["issue"], cfg)
-        return daily.explode_days(daily.labelled_intervals(intervals, tracker.staged, cfg))
+        return changes
     recent = changes.filter(F.col("valid_starting_at_week") >= F.lit(cut))
-    rows = seed_rows(changes, cut, cfg).unionByName(recent.drop("valid_starting_at_week", "issue_day_id"))
-    intervals = daily.day_intervals(history.fill_daily(rows, cfg), tracker.staged["issue"], cfg)
-    recent_days = intervals.filter(F.col("to_day") >= F.lit(cut)).withColumn(
-        "from_day", F.greatest("from_day", F.lit(cut))
+    return seed_rows(changes, cut, cfg).unionByName(recent.drop("valid_starting_at_week", "issue_day_id"))
+
+
+def earliest_difference(before: DataFrame, now: DataFrame) -> date | None:
+    """The earliest day that an issue has in one of two calendars only, as after a late resolution or a deletion."""
+    old = before.withColumnsRenamed({"first": "old_first", "last": "old_last"})
+    both = old.join(now, history.KEYS, "full_outer")
+    one_sided = F.coalesce("old_first", "first")
+    day = (
+        F.when(F.col("old_first").isNull() | F.col("first").isNull(), one_sided)
+        .when(F.col("old_first") != F.col("first"), F.least("old_first", "first"))
+        # The day after the earlier end; that end itself is no longer, or not yet, the last day.
+        .when(F.col("old_last") != F.col("last"), F.least("old_last", "last"))
     )
-    return daily.explode_days(daily.labelled_intervals(recent_days, tracker.staged, cfg))
+    return both.agg(F.min(day)).first()[0]
+
+
+def daily_from(tracker: Tracker, intervals: DataFrame, cut: date | None) -> DataFrame:
+    """Daily rows of the weeks from ``cut`` on (None: of all)."""
+    if cut is not None:
+        intervals = intervals.filter(F.col("to_day") >= F.lit(cut)).withColumn(
+            "from_day", F.greatest("from_day", F.lit(cut))
+        )
+    return daily.explode_days(daily.labelled_intervals(intervals, tracker.staged, tracker.cfg))
+
+
+def replace_weeks(df: DataFrame, path: str, week: str, cut: date | None) -> None:
+    """Replace the weeks of a table from ``cut`` on (None: all of them), those that have no rows any more included."""
+    if cut is None:
+        write_weeks(df, path, week)
+        return
+    before = [w for w in stored_weeks(df.sparkSession, path, week) if w >= cut]
+    recent = f"{path}_recent"
+    write_weeks(df, recent, week)
+    now = stored_weeks(df.sparkSession, recent, week)
+    write_weeks(read_written(df, recent), path, week, whole=False)
+    drop_weeks(df.sparkSession, path, week, set(before) - set(now))
 
 
 def update_daily(tracker: Tracker, path: str) -> DataFrame:
     """Bring the stored daily history up to date and return it.
 
-    The first run builds everything. Later runs read the change logs and replace the
-    stored weeks from the cut on; a change that arrives later than the lookback needs
-    a full build.
+    The first run builds everything. Later runs read the change logs of the last weeks and replace the stored weeks
+    from the cut on. When the calendar of an issue has changed further back (it was resolved, reopened, deleted or
+    added without a recent change), the cut goes back to there. A change that arrives in the logs later than the
+    lookback needs a full build.
     """
     spark, cfg = tracker.spark, tracker.cfg
     path = path.rstrip("/")
     changes_path, daily_path = f"{path}/_shared/daily_changes", f"{path}/daily_issue_field_history"
-    stored = read_table(spark, daily_path)
-    cut = None if stored is None else week_cut(stored, "date_week", cfg)
+    weeks = stored_weeks(spark, daily_path, "date_week")
+    cut = week_cut(weeks, cfg) if weeks else None
     since = F.lit(True) if cut is None else F.col("updated_at") >= F.lit(cut).cast("timestamp")
     s = tracker.staged
     fresh = history.daily_changes(
@@ -79,7 +111,21 @@ def update_daily(tracker: Tracker, path: str) -> DataFrame:
         tracker.sprint,
         cfg,
     )
-    write_weeks(fresh, changes_path, "valid_starting_at_week")
-    changes = read_table(spark, changes_path)
-    write_weeks(rebuild_from(tracker, changes, cut), daily_path, "date_week")
-    return read_table(spark, daily_path)
+    replace_weeks(fresh, changes_path, "valid_starting_at_week", cut)
+    changes = read_written(fresh, changes_path)
+
+    def intervals(start: date | None) -> DataFrame:
+        filled = history.fill_daily(changes_since(changes, start, cfg), cfg)
+        return daily.day_intervals(filled, s["issue"], cfg)
+
+    # Two small tables, one row per issue, take turns: the last run's stays until this one has succeeded.
+    now = daily.calendar_ends(intervals(cut))
+    write_table(now, f"{path}/_shared/calendar_now")
+    now = read_written(now, f"{path}/_shared/calendar_now")
+    if cut is not None:
+        changed = earliest_difference(read_written(now, f"{path}/_shared/calendar"), now)
+        cut = min(cut, monday(changed)) if changed else cut
+    result = daily_from(tracker, intervals(cut), cut)
+    replace_weeks(result, daily_path, "date_week", cut)
+    write_table(now, f"{path}/_shared/calendar")
+    return read_written(result, daily_path)

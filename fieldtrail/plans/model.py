@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from fieldtrail.config import Config
 from fieldtrail.functions.dates import use_utc
-from fieldtrail.operators import daily, flows, history, instants, issues, metrics, sprints
+from fieldtrail.operators import daily, flows, history, instants, issues, metrics, quality, sprints
 from fieldtrail.operators.timeline import find_hot, with_segments
 from fieldtrail.sources.staging import stage_all
-from fieldtrail.sources.tables import read_table, write_table, write_weeks
+from fieldtrail.sources.tables import read_written, write_table, write_weeks
 
 
 class Tracker:
@@ -89,15 +89,18 @@ class Tracker:
 
     # --- history by instant
 
-    @cached_property
-    def hot_issues(self) -> DataFrame | None:
-        """Issues with too many changes for one task; looks at the logs' keys once."""
+    #: Where to cut the timelines that are too long for one task; set by :meth:`split_long_timelines`.
+    hot_issues: DataFrame | None = None
+
+    def split_long_timelines(self, path: str) -> Tracker:
+        """Find issues with ``hot_rows`` changes or more and cut their timelines, for what is asked for afterwards.
+
+        An action over the keys of the logs; its result is stored below ``path``. :meth:`build` does it.
+        """
         keys = [*history.KEYS, "updated_at"]
-        logs = [
-            history.relevant_fields(log, self.cfg, daily=False).select(*keys)
-            for log in (self.single_history, self.multi_history)
-        ]
-        return find_hot(logs[0].unionByName(logs[1]), history.KEYS, "updated_at", self.cfg)
+        logs = [log.select(*keys) for log in (self.single_history, self.multi_history)]
+        self.hot_issues = find_hot(logs[0].unionByName(logs[1]), history.KEYS, "updated_at", self.cfg, path)
+        return self
 
     @cached_property
     def timestamp_changes(self) -> DataFrame:
@@ -219,16 +222,19 @@ class Tracker:
     def build(self, path: str) -> dict[str, DataFrame]:
         """Write all result tables below ``path`` and return them as read back.
 
-        Tables that others need are stored first and stand in for their plans.
+        Tables that others need are stored first and stand in for their plans. What was below ``path`` is replaced.
         """
         path = path.rstrip("/")
+        quality.require_unique_ids(self.staged)
+        self.split_long_timelines(f"{path}/_shared/timelines")
         target = f"{path}/_shared/daily_changes"
         write_weeks(self.daily_changes, target, "valid_starting_at_week")
-        self.__dict__["daily_changes"] = read_table(self.spark, target)
+        self.__dict__["daily_changes"] = read_written(self.daily_changes, target)
         for name in ("day_intervals", "_timestamp_history"):
             target = f"{path}/_shared/{name.lstrip('_')}"
             write_table(getattr(self, name), target)
-            self.__dict__[name] = read_table(self.spark, target)
+            self.__dict__[name] = read_written(getattr(self, name), target)
+        write_table(daily.calendar_ends(self.day_intervals), f"{path}/_shared/calendar")
         written = {}
         for name, week in self.TABLES.items():
             if name in ("daily_sprint_issue_history", "sprint_enhanced") and not self.cfg.using_sprints:
@@ -238,7 +244,7 @@ class Tracker:
                 write_weeks(df, f"{path}/{name}", week)
             else:
                 write_table(df, f"{path}/{name}")
-            written[name] = self.__dict__[name] = read_table(self.spark, f"{path}/{name}")
+            written[name] = self.__dict__[name] = read_written(df, f"{path}/{name}")
             if name == "issue_enhanced":
                 self.__dict__["issue_measures"] = self.__dict__["assigned_issue"] = written[name]
         return written

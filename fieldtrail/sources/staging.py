@@ -58,8 +58,8 @@ def stage(table: str, raw: DataFrame, cfg: Config) -> DataFrame:
     if SOURCE not in raw.columns:
         raw = raw.withColumn(SOURCE, F.lit(""))
     value = _typed(raw, RAW_COLUMNS[table])
-    if "_deleted" in value and "_deleted" in raw.columns:
-        raw = not_deleted(raw)
+    if "_deleted" in value:
+        raw = raw.filter(f"not coalesce({value['_deleted']}, false)")
     merged = {c for _, columns in spec.fallback for c in columns}
     casts = dict(spec.cast)
     plain = [

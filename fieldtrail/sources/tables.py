@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -32,8 +32,8 @@ class LazyTables(Mapping):
         return name in self._makers
 
 
-def write_weeks(df: DataFrame, path: str, week: str) -> None:
-    """Replace the weeks present in ``df``; other weeks of the table stay.
+def write_weeks(df: DataFrame, path: str, week: str, *, whole: bool = True) -> None:
+    """Write a table by week: the whole table, or only the weeks present in ``df``, the others staying.
 
     The rebalance hint gathers a week in few files and lets adaptive execution
     split a week that is too large for one task.
@@ -41,12 +41,30 @@ def write_weeks(df: DataFrame, path: str, week: str) -> None:
     (
         df.hint("rebalance", week)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "static" if whole else "dynamic")
         .partitionBy(week)
         .parquet(path)
     )
 
 
+def stored_weeks(spark: SparkSession, path: str, week: str) -> list[date]:
+    """The weeks a table has, from the names of its folders; no file is opened."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(root) if status.isDirectory()]
+    values = [n.partition("=")[2] for n in names if n.startswith(f"{week}=")]
+    return sorted(date.fromisoformat(v) for v in values if v != "__HIVE_DEFAULT_PARTITION__")
+
+
+def drop_weeks(spark: SparkSession, path: str, week: str, weeks: Iterable[date]) -> None:
+    """Remove weeks of a table that has no rows in them any more."""
+    for value in weeks:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{week}={value.isoformat()}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
@@ -61,14 +79,14 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the cluster's ``spark.checkpoint.dir``.
+def read_written(df: DataFrame, path: str) -> DataFrame:
+    """What was written of ``df`` to ``path``; also if that has no files, as a table by week without rows."""
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    Only a local session may do without that setting.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder in the one that the session's driver and executors share (``spark.checkpoint.dir``)."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="fieldtrail-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     return f"{base.rstrip('/')}/fieldtrail/{purpose}-{uuid.uuid4().hex}"

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +14,10 @@ from fieldtrail import Config, Tracker
 from fieldtrail.operators import daily, history, instants, metrics, quality, sprints
 from fieldtrail.plans.incremental import update_daily
 from fieldtrail.sources.schemas import RAW_COLUMNS, STAGED
-from fieldtrail.sources.staging import conform, not_deleted, union_sources
+from fieldtrail.sources.staging import conform, stage, union_sources
 from fieldtrail.sources.tables import read_table, shared_folder, write_weeks
 from fixtures.oracle import NOW, with_ctes
-from fixtures.views import AS_OF, ORDER_AS_OF, ORDER_VIEWS, raw_tables
+from fixtures.views import AS_OF, ORDER_AS_OF, ORDER_VIEWS, RAW_VIEWS, raw_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,19 +47,35 @@ def tracker(spark: SparkSession, folder: str, cfg: Config = CONFIG) -> Tracker:
     return Tracker(raw_tables(spark, folder), cfg)
 
 
+def split(t: Tracker) -> Tracker:
+    """The tracker with its long timelines cut; a session without a shared folder, as in tests, gets one here."""
+    ready(t.spark)
+    return t.split_long_timelines(shared_folder(t.spark, "timelines"))
+
+
+def ready(spark: SparkSession) -> None:
+    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fieldtrail-"))
+
+
 def _plain_numbers(df: DataFrame) -> DataFrame:
     decimals = [c for c, t in df.dtypes if t.startswith("decimal")]
     return df.withColumns({c: F.col(c).cast("double") for c in decimals}) if decimals else df
 
 
-def query(expected: str | None = None, name: str | None = None):
+def query(expected: str | None = None, name: str | None = None, cfg: Config = CONFIG):
     """Register a function of a tracker as a query."""
 
     def register(function: Callable[[Tracker], DataFrame]):
         key = name or function.__name__
-        QUERIES[key] = lambda spark, folder: _plain_numbers(function(tracker(spark, folder)))
+
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ready(spark)
+            return _plain_numbers(function(tracker(spark, folder, cfg)))
+
+        QUERIES[key] = run
         if expected:
-            EXPECTED[key] = with_ctes(expected)
+            EXPECTED[key] = expected if expected.startswith("with ") else with_ctes(expected)
         return function
 
     return register
@@ -87,7 +106,7 @@ def conform_schema(t: Tracker) -> DataFrame:
 
 def _stage_query(table: str) -> None:
     @query(f"select * from stg_{table}", name=f"stage_{table}")
-    def stage(t: Tracker) -> DataFrame:
+    def staged(t: Tracker) -> DataFrame:
         return t.staged[table]
 
 
@@ -95,23 +114,49 @@ for _table in STAGED:
     _stage_query(_table)
 
 
-@query("select 'version' as table_name, version_id as id, release_date, start_date from stg_version")
+def _staged_columns(table: str) -> list[str]:
+    """The columns that a staged table has, by the fixed names of its specification."""
+    spec = STAGED[table]
+    merged = {c for _, columns in spec.fallback for c in columns}
+    raw = [c.split()[0] for c in RAW_COLUMNS[table].split(",")]
+    plain = [spec.rename.get(c, c) for c in raw if c not in spec.drop and c not in merged]
+    return [*plain, *(name for name, _ in spec.fallback)]
+
+
+def _filled_sql(table: str) -> str:
+    counts = " + ".join(f"count({c})" for c in _staged_columns(table))
+    return f"select '{table}' as table_name, count(*) as row_count, {counts} as filled_cells from stg_{table}"
+
+
+@query(" union all ".join(map(_filled_sql, STAGED)))
 def stage_rename_cast(t: Tracker) -> DataFrame:
-    return t.staged["version"].select(
-        F.lit("version").alias("table_name"), F.col("version_id").alias("id"), "release_date", "start_date"
-    )
+    """Rows and filled cells of every staged table, under its new column names."""
+    tables = [
+        t.staged[table].agg(
+            F.lit(table).alias("table_name"),
+            F.count("*").alias("row_count"),
+            reduce(lambda a, b: a + b, [F.count(c) for c in _staged_columns(table)]).alias("filled_cells"),
+        )
+        for table in STAGED
+    ]
+    return reduce(DataFrame.unionByName, tables)
 
 
 @query(
-    """select 'issue' as table_name, id from raw_issue where not coalesce(_deleted, false)
-    union all select 'sprint', id from raw_sprint where not coalesce(_deleted, false)"""
+    " union all ".join(
+        f"select '{name} {flag}' as table_name, id from raw_{name} where not coalesce(_deleted, false)"
+        for name in ("issue", "sprint")
+        for flag in ("_deleted", "_DELETED")
+    )
 )
 def soft_delete_filter(t: Tracker) -> DataFrame:
-    kept = [
-        not_deleted(conform(t.raw[name], RAW_COLUMNS[name])).select(F.lit(name).alias("table_name"), "id")
-        for name in ("issue", "sprint")
-    ]
-    return kept[0].unionByName(kept[1])
+    """Rows that stay, whatever the case of the flag's name."""
+    kept = []
+    for name in ("issue", "sprint"):
+        for flag in ("_deleted", "_DELETED"):
+            staged = stage(name, t.raw[name].withColumnRenamed("_deleted", flag), t.cfg)
+            kept.append(staged.select(F.lit(f"{name} {flag}").alias("table_name"), F.col(f"{name}_id").alias("id")))
+    return reduce(DataFrame.unionByName, kept)
 
 
 @query(
@@ -138,17 +183,19 @@ def write_week_partitions(t: Tracker) -> DataFrame:
     return read_table(t.spark, path)
 
 
+def _loaded_sql(table: str) -> str:
+    when = "max(_synced)" if re.search(r"\b_synced\b", RAW_VIEWS[table]) else "cast(null as timestamp)"
+    return f"select '{table}' as table_name, {when} as max_loaded_at from raw_{table}"
+
+
 @query(
     f"""select table_name, max_loaded_at, date_diff('second', max_loaded_at, {NOW}) / 3600.0 as age_hours,
     case when max_loaded_at is null or date_diff('second', max_loaded_at, {NOW}) > 96 * 3600 then 'error'
         when date_diff('second', max_loaded_at, {NOW}) > 72 * 3600 then 'warn' else 'pass' end as freshness
-    from (select 'issue' as table_name, max(_synced) as max_loaded_at from raw_issue
-        union all select 'issue_field_history', max(_synced) from raw_issue_field_history
-        union all select 'issue_multiselect_history', max(_synced) from raw_issue_multiselect_history)"""
+    from ({' union all '.join(map(_loaded_sql, RAW_VIEWS))}) group by all"""
 )
 def freshness_check(t: Tracker) -> DataFrame:
-    names = ("issue", "issue_field_history", "issue_multiselect_history")
-    return quality.freshness_check({n: t.raw[n] for n in names}, t.cfg)
+    return quality.freshness_check({n: t.raw[n] for n in RAW_VIEWS}, t.cfg)
 
 
 # --- history -----------------------------------------------------------------
@@ -193,7 +240,7 @@ def _long_by_day(t: Tracker) -> DataFrame:
         order by updated_at, field_value nulls first) as valid_ending_at from x_long_day"""
 )
 def value_validity(t: Tracker) -> DataFrame:
-    return history.value_validity(_long_by_day(t), t.cfg)
+    return history.value_validity(_long_by_day(t), t.cfg, split(t).hot_issues)
 
 
 @query("select * from x_relevant_day")
@@ -236,7 +283,7 @@ def pivot_daily(t: Tracker) -> DataFrame:
 
 @query("select * from x_pivot_t")
 def pivot_timestamp(t: Tracker) -> DataFrame:
-    return history.drop_segment(t.timestamp_changes)
+    return history.drop_segment(split(t).timestamp_changes)
 
 
 _FILLED = ["sprint", "sprint_name", "team", "assignee", "components", "project", "quarter", "story_points"]
@@ -255,7 +302,7 @@ def ffill_daily_scd(t: Tracker) -> DataFrame:
     from x_scd_t"""
 )
 def ffill_timestamp_scd(t: Tracker) -> DataFrame:
-    return history.drop_segment(t.timestamp_scd)
+    return history.drop_segment(split(t).timestamp_scd)
 
 
 @query(
@@ -274,7 +321,7 @@ def daily_issue_field_history(t: Tracker) -> DataFrame:
 
 @query("select * from x_states")
 def timestamp_issue_field_history(t: Tracker) -> DataFrame:
-    return t.timestamp_issue_field_history
+    return split(t).timestamp_issue_field_history
 
 
 @query(
@@ -310,29 +357,67 @@ def incremental_lookback(t: Tracker) -> DataFrame:
     return update_daily(t, path)
 
 
+@query(
+    with_ctes("select * from x_daily", {"issue": RAW_VIEWS["issue"].replace(
+        "case when user_id % 3 = 0 then max(ts) end as resolved",
+        "case when user_id % 2 = 0 then timestamp '2024-04-20 00:00:00' end as resolved")}, "2024-05-15 00:00:00")
+)
+def incremental_resolved_later(t: Tracker) -> DataFrame:
+    """Three runs over four months. Half of the issues are resolved in the third, which no change log shows."""
+    path = shared_folder(t.spark, "incremental")
+    later = F.when(F.col("id") % 2 == 0, F.lit("2024-04-20").cast("timestamp"))
+    for as_of, resolved in (
+        (AS_OF, F.lit(None).cast("timestamp")),
+        ("2024-03-20 00:00:00", F.lit(None).cast("timestamp")),
+        ("2024-05-15 00:00:00", later),
+    ):
+        raw = dict(t.raw) | {"issue": t.raw["issue"].withColumn("resolved", resolved)}
+        made = update_daily(Tracker(raw, t.cfg.with_(as_of=as_of)), path)
+    return made
+
+
 # --- transitions -------------------------------------------------------------
 
 
 @query("select * exclude (author_id) from x_moves")
 def status_changes_only(t: Tracker) -> DataFrame:
-    return instants.status_changes_only(t.timestamp_issue_field_history).drop("author_id")
+    return history.drop_segment(instants.status_changes_only(split(t)._timestamp_history)).drop("author_id")
 
 
 @query("select * exclude (author_id) from x_periods")
 def status_periods(t: Tracker) -> DataFrame:
-    changes = instants.status_changes_only(t.timestamp_issue_field_history)
-    return instants.status_periods(changes, t.cfg).drop("author_id")
+    changes = instants.status_changes_only(split(t)._timestamp_history)
+    return history.drop_segment(instants.status_periods(changes, t.cfg)).drop("author_id")
 
 
 @query("select * exclude (author_id) from x_steps")
 def status_transitions(t: Tracker) -> DataFrame:
-    changes = instants.status_changes_only(t.timestamp_issue_field_history)
-    return instants.status_transitions(instants.status_periods(changes, t.cfg)).drop("author_id")
+    changes = instants.status_changes_only(split(t)._timestamp_history)
+    return history.drop_segment(instants.status_transitions(instants.status_periods(changes, t.cfg))).drop("author_id")
 
 
 @query("select * from x_transitions")
 def transition_direction(t: Tracker) -> DataFrame:
-    return t.issue_status_transitions
+    return split(t).issue_status_transitions
+
+
+#: So few rows make an issue hot that most test issues are split.
+HOT = CONFIG.with_(hot_rows=60)
+
+
+@query("select * from x_states", cfg=HOT)
+def hot_timestamp_history(t: Tracker) -> DataFrame:
+    return split(t).timestamp_issue_field_history
+
+
+@query("select * from x_transitions", cfg=HOT)
+def hot_status_transitions(t: Tracker) -> DataFrame:
+    return split(t).issue_status_transitions
+
+
+@query("select * from x_flow", cfg=HOT)
+def hot_cumulative_flow(t: Tracker) -> DataFrame:
+    return split(t).cumulative_flow
 
 
 # --- issues ------------------------------------------------------------------
@@ -488,7 +573,7 @@ def daily_status_category(t: Tracker) -> DataFrame:
 
 @query("select * from x_flow")
 def cumulative_flow(t: Tracker) -> DataFrame:
-    return t.cumulative_flow
+    return split(t).cumulative_flow
 
 
 # --- a large log ---------------------------------------------------------------
@@ -510,7 +595,7 @@ def _order_query(expected: str | None):
 
 @_order_query("select * from x_transitions")
 def order_status_transitions(t: Tracker) -> DataFrame:
-    return t.issue_status_transitions
+    return split(t).issue_status_transitions
 
 
 @_order_query(
@@ -531,30 +616,35 @@ def _check_sql(table: str, relation: str, key: str) -> str:
         from (select {key}, count(*) as n from {relation} group by {key})"""
 
 
+#: Result table, its relation in SQL, its key; the last two are no keys, so that the check has something to find.
+_KEYS = [
+    ("daily_issue_field_history", "x_daily", "issue_day_id"),
+    ("timestamp_issue_field_history", "x_states", "issue_timestamp_id"),
+    ("issue_status_transitions", "x_transitions", "source_relation, issue_id, status_sequence"),
+    ("issue_enhanced", "x_issue_enhanced", "issue_id, source_relation"),
+    ("project_enhanced", "x_project_enhanced", "project_id, source_relation"),
+    ("user_enhanced", "x_user_enhanced", "user_id, source_relation"),
+    ("daily_sprint_issue_history", "x_sprint_days", "sprint_issue_day_id"),
+    ("sprint_enhanced", "x_sprint_enhanced", "sprint_id, source_relation, team"),
+    ("issue_field_history", "stg_issue_field_history", "issue_id, field_id"),
+    ("issue_multiselect_history", "stg_issue_multiselect_history", "field_value"),
+]
+
+
 @query(
     " union all ".join(
-        [
-            _check_sql("daily_issue_field_history", "x_daily", "issue_day_id"),
-            _check_sql("timestamp_issue_field_history", "x_states", "issue_timestamp_id"),
-            _check_sql("issue_enhanced", "x_issue_enhanced", "issue_id, source_relation"),
-            _check_sql("issue_field_history", "stg_issue_field_history", "issue_id, field_id"),
-            _check_sql("issue_multiselect_history", "stg_issue_multiselect_history", "field_value"),
-        ]
+        [_check_sql(*key) for key in _KEYS]
+        + [_check_sql(table, f"stg_{table}", f"source_relation, {key}") for table, key in quality.DIMENSIONS.items()]
     )
 )
 def check_unique_not_null(t: Tracker) -> DataFrame:
-    check = quality.check_unique_not_null
+    """All result tables, all dimensions, and two logs."""
+    split(t)
     results = [
-        check("daily_issue_field_history", t.daily_issue_field_history, ["issue_day_id"]),
-        check("timestamp_issue_field_history", t.timestamp_issue_field_history, ["issue_timestamp_id"]),
-        check("issue_enhanced", t.issue_enhanced, ["issue_id", "source_relation"]),
-        check("issue_field_history", t.staged["issue_field_history"], ["issue_id", "field_id"]),
-        check("issue_multiselect_history", t.staged["issue_multiselect_history"], ["field_value"]),
+        quality.check_unique_not_null(table, t.staged[table] if table in t.staged else getattr(t, table), key.split(", "))
+        for table, _, key in _KEYS
     ]
-    out = results[0]
-    for df in results[1:]:
-        out = out.unionByName(df)
-    return out
+    return reduce(DataFrame.unionByName, results).unionByName(quality.check_dimensions(t.staged))
 
 
 _PROD = "select * exclude (sprint, sprint_name) from x_daily"
@@ -577,7 +667,8 @@ def _first_day_sql(build: str, day: str) -> str:
         from (select source_relation, issue_id, sprint_id, sprint_started_at, min({day}) as first_date_end
             from x_sprint_days group by 1, 2, 3, 4)
         full outer join x_first_logged using (source_relation, issue_id, sprint_id)
-        where first_date_source <> first_date_end and first_date_source >= cast(sprint_started_at as date)"""
+        where first_date_source is distinct from first_date_end
+            and coalesce(first_date_source >= cast(sprint_started_at as date), true)"""
 
 
 @query(_first_day_sql("right", "date_day") + " union all " + _first_day_sql("a day late", "date_day + 1"))
@@ -603,7 +694,7 @@ def reconcile_first_sprint_day(t: Tracker) -> DataFrame:
         join stg_issue i on i.issue_id = m.issue_id and i.source_relation = m.source_relation
         join stg_sprint s on cast(s.sprint_id as varchar) = m.field_value and s.source_relation = m.source_relation
         where m.field_name = 'sprint' group by 1, 2) using (source_relation, sprint_id)
-    where sprint_issues_source <> sprint_issues_end"""
+    where sprint_issues_source is distinct from sprint_issues_end"""
 )
 def reconcile_sprint_issue_count(t: Tracker) -> DataFrame:
     s = t.staged

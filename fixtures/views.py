@@ -83,45 +83,45 @@ RAW_VIEWS: dict[str, str] = {
         select concat('d', event_id), ts, ts, case when event_id % 4 = 0 then 'fixVersions' else 'versions' end,
             user_id, true, cast(event_id % 10 as string), cast({_V} % 7 as string)
         from events where event_type = 'purchase'""",
+    # The names that the definitions of the tables ask for; all else comes from the test tables.
     "field": """
-        select * from (values
-            ('status', 'Status', false, false),
-            ('customfield_team', 'Team', false, true),
-            ('assignee', 'Assignee', false, false),
-            ('project', 'Project', false, false),
-            ('components', 'Components', false, false),
-            ('customfield_quarter', 'Quarter', false, true),
-            ('customfield_points', 'Story Points', false, true),
-            ('customfield_epic', 'Epic Link', false, true),
-            ('customfield_sprint', 'Sprint', true, true),
-            ('resolutiondate', 'Resolved', false, false),
-            ('fixVersions', 'Fix versions', true, false),
-            ('versions', 'Affects versions', true, false)
-        ) as t(id, name, is_array, is_custom)""",
-    "field_option": """
-        select * from (values
-            (0, 'Q1'), (1, 'Q2'), (2, 'Q3'), (3, 'Q4')
-        ) as t(id, name)""",
+        select id, case id when 'status' then 'Status' when 'customfield_team' then 'Team'
+                when 'assignee' then 'Assignee' when 'project' then 'Project' when 'components' then 'Components'
+                when 'customfield_quarter' then 'Quarter' when 'customfield_points' then 'Story Points'
+                when 'customfield_epic' then 'Epic Link' when 'customfield_sprint' then 'Sprint'
+                when 'resolutiondate' then 'Resolved' when 'fixVersions' then 'Fix versions'
+                else 'Affects versions' end as name,
+            id in ('customfield_sprint', 'fixVersions', 'versions') as is_array, id like 'customfield%' as is_custom
+        from (
+            select case event_type when 'view' then 'status'
+                when 'click' then case when event_id % 4 = 1 then 'project' else 'customfield_team' end
+                when 'signup' then case when event_id % 4 = 1 then 'customfield_quarter' else 'assignee' end
+                when 'purchase' then case event_id % 4 when 0 then 'fixVersions' when 1 then 'versions'
+                    else 'customfield_sprint' end
+                else case event_id % 5 when 0 then 'resolutiondate' when 1 then 'customfield_epic'
+                    when 2 then 'customfield_points' else 'components' end end as id
+            from events group by 1
+        ) as t""",
+    "field_option": "select p_size % 4 as id, min(p_brand) as name from part group by p_size % 4",
     "status": """
         select r_regionkey as id, r_name as name, concat('Status ', r_name) as description,
             r_regionkey % 3 as status_category_id
         from region""",
     "status_category": """
-        select * from (values
-            (0, 'To Do'), (1, 'In Progress'), (2, 'Done')
-        ) as t(id, name)""",
+        select r_regionkey % 3 as id,
+            case r_regionkey % 3 when 0 then 'To Do' when 1 then 'In Progress' else 'Done' end as name
+        from region group by r_regionkey % 3""",
     "issue_type": """
-        select * from (values
-            (0, 'Epic', false), (1, 'Story', false), (2, 'Bug', false), (3, 'Sub-task', true)
-        ) as t(id, name, subtask)""",
+        select p_size % 4 as id, case when p_size % 4 = 0 then 'Epic' else max(p_type) end as name,
+            p_size % 4 = 3 as subtask
+        from part group by p_size % 4""",
     "priority": """
-        select * from (values
-            (1, 'Highest'), (2, 'High'), (3, 'Medium'), (4, 'Low'), (5, 'Lowest')
-        ) as t(id, name)""",
+        select cast(substring(o_orderpriority, 1, 1) as bigint) as id, substring(o_orderpriority, 3) as name
+        from orders group by o_orderpriority""",
     "resolution": """
-        select * from (values
-            (0, 'Done', 'Work is complete'), (1, 'Declined', 'Not to be done'), (2, 'Duplicate', 'Done elsewhere')
-        ) as t(id, name, description)""",
+        select row_number() over (order by l_returnflag) - 1 as id, l_returnflag as name,
+            concat('Returned ', l_returnflag, ', last ', max(l_linestatus)) as description
+        from lineitem group by l_returnflag""",
     "project": """
         select n_nationkey as id, n_name as name, concat('P', n_nationkey) as key,
             cast(n_nationkey % 10 as string) as lead_id, concat('Project ', n_name) as description,

@@ -22,6 +22,7 @@ def spark(tmp_path_factory):
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
     yield session
     session.stop()
 

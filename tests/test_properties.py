@@ -12,7 +12,7 @@ from fieldtrail.functions.median import grouped_median
 from fieldtrail.operators import history
 from fieldtrail.operators.timeline import SEGMENT, along, find_hot, with_segments
 from fieldtrail.plans.incremental import update_daily, week_cut
-from fieldtrail.sources.tables import read_table, shared_folder, write_weeks
+from fieldtrail.sources.tables import read_table, shared_folder, stored_weeks, write_weeks
 from fixtures.queries import CONFIG, FEW, tracker
 
 
@@ -41,10 +41,10 @@ def timeline(spark):
 
 
 @pytest.mark.parametrize("hot_rows", [20, 150])
-def test_split_timeline_equals_whole_timeline(timeline, hot_rows):
-    cfg = Config(hot_rows=hot_rows, hot_top=2)
-    hot = find_hot(timeline, ["key"], "at", cfg)
-    assert 1 <= hot.count() <= 2
+def test_split_timeline_equals_whole_timeline(spark, timeline, hot_rows):
+    cfg = Config(hot_rows=hot_rows)
+    hot = find_hot(timeline, ["key"], "at", cfg, shared_folder(spark, "test"))
+    assert hot.select("key").distinct().count() == timeline.groupBy("key").count().filter(f"count >= {hot_rows}").count()
     split = with_segments(timeline, hot, ["key"], "at")
     assert split.filter(F.col(SEGMENT) > 0).count() > 0
     options = dict(fill=["a", "b"], lead={"next_at": "at", "next_b": "b"}, lag={"last_a": "a"}, number="n")
@@ -52,8 +52,8 @@ def test_split_timeline_equals_whole_timeline(timeline, hot_rows):
     same(along(split, ["key"], ["at", "tie"], **options).drop(SEGMENT), whole)
 
 
-def test_ordinary_entities_are_not_split(timeline):
-    assert find_hot(timeline, ["key"], "at", Config(hot_rows=10_000)) is None
+def test_ordinary_entities_are_not_split(spark, timeline):
+    assert find_hot(timeline, ["key"], "at", Config(hot_rows=10_000), shared_folder(spark, "test")) is None
 
 
 def test_one_fill_equals_two_step_fill(timeline):
@@ -65,8 +65,8 @@ def test_one_fill_equals_two_step_fill(timeline):
 
 def test_hot_issues_change_no_result(spark, small):
     plain = tracker(spark, small)
-    split = tracker(spark, small, CONFIG.with_(hot_rows=60, hot_top=8))
-    assert plain.hot_issues is None and split.hot_issues.count() == 8
+    split = tracker(spark, small, CONFIG.with_(hot_rows=60)).split_long_timelines(shared_folder(spark, "test"))
+    assert plain.hot_issues is None and split.hot_issues.select("issue_id").distinct().count() > 2
     same(split.timestamp_issue_field_history, plain.timestamp_issue_field_history)
     same(split.issue_status_transitions, plain.issue_status_transitions)
     same(split.cumulative_flow, plain.cumulative_flow)
@@ -90,10 +90,13 @@ def test_medians(spark):
 
 
 def test_week_cut(spark):
-    cfg = Config(lookback_weeks=1)
-    df = spark.createDataFrame([(dt.date(2024, 1, 22),), (dt.date(2024, 1, 8),)], "w date")
-    assert week_cut(df, "w", cfg) == dt.date(2024, 1, 15)
-    assert week_cut(df.filter("false"), "w", cfg).weekday() == 0
+    cfg, path = Config(lookback_weeks=1), shared_folder(spark, "test")
+    df = spark.createDataFrame([(1, dt.date(2024, 1, 22)), (1, dt.date(2024, 1, 8)), (1, None)], "v int, w date")
+    assert stored_weeks(spark, path, "w") == []
+    write_weeks(df, path, "w")
+    assert stored_weeks(spark, path, "w") == [dt.date(2024, 1, 8), dt.date(2024, 1, 22)]
+    assert week_cut(stored_weeks(spark, path, "w"), cfg) == dt.date(2024, 1, 15)
+    assert week_cut([], cfg).weekday() == 0
 
 
 @pytest.mark.parametrize("late", [False, True])
@@ -125,7 +128,7 @@ def test_weeks_not_written_stay(spark):
         "w", F.col("w").cast("date")
     )
     write_weeks(df, path, "w")
-    write_weeks(df.filter("v = 2").withColumn("v", F.lit(20).cast("long")), path, "w")
+    write_weeks(df.filter("v = 2").withColumn("v", F.lit(20).cast("long")), path, "w", whole=False)
     assert sorted(r.v for r in read_table(spark, path).collect()) == [1, 20]
     assert read_table(spark, path + "-missing") is None
 
@@ -162,3 +165,51 @@ def test_few_tables(spark, small):
     same(bare.daily_issue_field_history, t.daily_issue_field_history)
     assert bare.issue_enhanced.count() == t.staged["issue"].count()
     assert bare.project_enhanced.count() == 25
+
+
+def test_second_full_build_leaves_nothing_behind(spark, small):
+    path = shared_folder(spark, "test")
+    tracker(spark, small).build(path)
+    fewer = tracker(spark, small)
+    raw = dict(fewer.raw) | {"issue": fewer.raw["issue"].filter("id < 3")}
+    written = Tracker(raw, CONFIG).build(path)
+    fresh = Tracker(raw, CONFIG)
+    same(written["daily_issue_field_history"], fresh.daily_issue_field_history)
+    same(written["daily_sprint_issue_history"], fresh.daily_sprint_issue_history)
+
+
+def test_build_of_a_site_without_sprint_days_or_changes(spark, small):
+    whole = tracker(spark, small)
+    for gone in ({"issue_multiselect_history"}, {"issue_multiselect_history", "issue_field_history"}):
+        raw = dict(whole.raw) | {name: whole.raw[name].filter("false") for name in gone}
+        written = Tracker(raw, CONFIG).build(shared_folder(spark, "test"))
+        assert written["daily_sprint_issue_history"].count() == 0
+        assert written["issue_enhanced"].count() == whole.staged["issue"].count()
+        path = shared_folder(spark, "test")
+        assert update_daily(Tracker(raw, CONFIG), path).count() == Tracker(raw, CONFIG).daily_issue_field_history.count()
+        same(update_daily(whole, path), whole.daily_issue_field_history)
+
+
+def test_incremental_follows_resolutions_deletions_and_new_issues(spark, small):
+    """Four runs over five months; what happens to issues leaves no trace in the change logs."""
+    base = tracker(spark, small)
+    day = lambda text: F.lit(text).cast("timestamp")
+    issue = base.raw["issue"].withColumn("resolved", F.lit(None).cast("timestamp"))
+    path = shared_folder(spark, "test")
+    states = [
+        ("2024-02-05 00:00:00", issue.filter("id <> 4")),
+        ("2024-04-10 00:00:00", issue),
+        ("2024-06-20 00:00:00", issue.withColumn("resolved", F.when(F.col("id") % 2 == 0, day("2024-06-01")))),
+        ("2024-06-21 00:00:00", issue.withColumn("_deleted", F.col("id") == 3)),
+    ]
+    for as_of, rows_then in states:
+        t = Tracker(dict(base.raw) | {"issue": rows_then}, CONFIG.with_(as_of=as_of))
+        same(update_daily(t, path), t.daily_issue_field_history)
+
+
+@pytest.mark.parametrize("flag", ["_deleted", "_DELETED", "_Deleted"])
+def test_deleted_rows_go_in_any_case_of_the_flag(spark, small, flag):
+    t = tracker(spark, small)
+    raw = dict(t.raw) | {"issue": t.raw["issue"].withColumnRenamed("_deleted", flag)}
+    assert Tracker(raw, CONFIG).staged["issue"].count() == t.staged["issue"].count()
+    assert t.raw["issue"].count() > 0
