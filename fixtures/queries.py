@@ -576,6 +576,60 @@ def cumulative_flow(t: Tracker) -> DataFrame:
     return split(t).cumulative_flow
 
 
+# --- two sources ---------------------------------------------------------------
+
+#: Column with an issue's id, of the tables that a source has for itself; all others are the same in both.
+_OF_ISSUES = {"issue": "id", "issue_field_history": "issue_id", "issue_multiselect_history": "issue_id", "comment": "issue_id"}
+_PARITY = {"even": 0, "odd": 1}
+
+
+def _both_sources(t: Tracker) -> Tracker:
+    """Even issues in one source and odd ones in another, both numbered from 0, so that ids collide."""
+
+    def part(name: str, parity: int) -> DataFrame:
+        df = t.raw[name]
+        if name not in _OF_ISSUES:
+            return df
+        id_ = _OF_ISSUES[name]
+        return df.filter(F.col(id_) % 2 == parity).withColumn(id_, F.expr(f"{id_} div 2"))
+
+    raw = {name: union_sources({s: part(name, p) for s, p in _PARITY.items()}) for name in RAW_VIEWS}
+    return Tracker(raw, t.cfg)
+
+
+def _both_sql(relation: str, drop: str = "source_relation") -> str:
+    """The results of each source alone, one below the other; keys that depend on the source's name are left out."""
+    parts = []
+    for source, parity in _PARITY.items():
+        views = {
+            name: f"select * replace ({id_} // 2 as {id_}) from ({RAW_VIEWS[name]}) where {id_} % 2 = {parity}"
+            for name, id_ in _OF_ISSUES.items()
+        }
+        alone = with_ctes(f"select * exclude ({drop}) from {relation}", views)
+        parts.append(f"{source} as (select *, '{source}' as source_relation from ({alone}))")
+    return f"with {', '.join(parts)} select * from even union all by name select * from odd"
+
+
+@query(_both_sql("x_daily", "source_relation, issue_day_id"))
+def sources_daily_history(t: Tracker) -> DataFrame:
+    return _both_sources(t).daily_issue_field_history.drop("issue_day_id")
+
+
+@query(_both_sql("x_transitions"))
+def sources_status_transitions(t: Tracker) -> DataFrame:
+    return split(_both_sources(t)).issue_status_transitions
+
+
+@query(_both_sql("x_project_enhanced"))
+def sources_project_enhanced(t: Tracker) -> DataFrame:
+    return _both_sources(t).project_enhanced
+
+
+@query(_both_sql("x_flow"))
+def sources_cumulative_flow(t: Tracker) -> DataFrame:
+    return split(_both_sources(t)).cumulative_flow
+
+
 # --- a large log ---------------------------------------------------------------
 
 

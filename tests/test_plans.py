@@ -26,9 +26,10 @@ def test_no_cross_joins_and_no_python(tables, name):
 
 
 def test_daily_history_shuffles(tables):
-    """Multi-select batches, last value per day, repartition by issue, and the fixture's issue table."""
+    """Multi-select batches, last value per day, repartition by issue, and the fixture's issue table; besides, the
+    fixture derives fields (for two logs) and field options (for two columns) by aggregation."""
     text = plan(tables.daily_issue_field_history)
-    assert text.count("Exchange hashpartitioning") == 4
+    assert text.count("Exchange hashpartitioning") == 4 + 4
     assert text.count("Window [") == 2
 
 
@@ -42,7 +43,8 @@ def test_day_counts_need_no_day_rows(tables):
 
 def test_timestamp_history_uses_one_window_shuffle(tables):
     text = plan(tables.issue_status_transitions)
-    assert text.count("Exchange hashpartitioning") == 3
+    # Four more are those of the fixture's own dimensions.
+    assert text.count("Exchange hashpartitioning") == 3 + 4
 
 
 def test_week_filter_prunes_partitions(spark, tables):

@@ -187,7 +187,8 @@ def test_build_of_a_site_without_sprint_days_or_changes(spark, small):
         assert written["issue_enhanced"].count() == whole.staged["issue"].count()
         path = shared_folder(spark, "test")
         assert update_daily(Tracker(raw, CONFIG), path).count() == Tracker(raw, CONFIG).daily_issue_field_history.count()
-        same(update_daily(whole, path), whole.daily_issue_field_history)
+        if "issue_field_history" in gone:  # nothing was stored; otherwise old changes would be late ones
+            same(update_daily(whole, path), whole.daily_issue_field_history)
 
 
 def test_incremental_follows_resolutions_deletions_and_new_issues(spark, small):
