@@ -6,9 +6,14 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Pin the session time zone; days and weeks are UTC days and weeks."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+UTC_NAMES = {"UTC", "Etc/UTC", "GMT", "Z", "+00:00"}
+
+
+def require_utc(spark: SparkSession) -> SparkSession:
+    """The session, if its time zone is UTC: days and weeks are UTC days and weeks."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_NAMES:
+        raise ValueError(f"set spark.sql.session.timeZone to UTC; it is {zone}")
     return spark
 
 

@@ -230,21 +230,24 @@ def with_durations(issue: DataFrame, cfg: Config) -> DataFrame:
     )
 
 
-def issue_measures(issue: DataFrame, assign_resolution: DataFrame, staged: Mapping[str, DataFrame], cfg: Config) -> DataFrame:
-    """The columns of the enhanced issue that project and user metrics read, without the rest."""
+def issue_labels(issue: DataFrame, staged: Mapping[str, DataFrame]) -> DataFrame:
+    """Type and project of each issue, with the columns of the issue table that metrics read; no change log."""
     types = staged["issue_type"].select(
         "source_relation", "issue_type_id", F.col("issue_type_name").alias("issue_type")
     )
     projects = staged["project"].select("source_relation", "project_id", "project_name")
-    df = (
+    return (
         issue.select(
             *KEYS, "project_id", "issue_type_id", "issue_name", "assignee_user_id", "created_at", "resolved_at"
         )
-        .join(assign_resolution, KEYS, "left")
         .join(types, ["source_relation", "issue_type_id"], "left")
         .join(projects, ["source_relation", "project_id"], "left")
     )
-    return with_durations(df, cfg)
+
+
+def issue_measures(labels: DataFrame, assign_resolution: DataFrame, cfg: Config) -> DataFrame:
+    """The columns of the enhanced issue that project and user metrics read, without the rest."""
+    return with_durations(labels.join(assign_resolution, KEYS, "left"), cfg)
 
 
 def issue_enhanced(joined_issue: DataFrame, latest: DataFrame, cfg: Config) -> DataFrame:

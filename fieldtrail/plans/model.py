@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldtrail.config import Config
-from fieldtrail.functions.dates import use_utc
+from fieldtrail.functions.dates import require_utc
 from fieldtrail.operators import daily, flows, history, instants, issues, metrics, quality, sprints
 from fieldtrail.operators.timeline import find_hot, with_segments
 from fieldtrail.sources.staging import stage_all
@@ -39,7 +39,7 @@ class Tracker:
     def __init__(self, raw: Mapping[str, DataFrame], cfg: Config | None = None) -> None:
         self.cfg = cfg or Config()
         self.raw = raw
-        self.spark = use_utc(raw["issue"].sparkSession)
+        self.spark = require_utc(raw["issue"].sparkSession)
 
     # --- staged tables and change logs
 
@@ -160,11 +160,13 @@ class Tracker:
 
     # --- projects and users
 
+    @cached_property
+    def issue_labels(self) -> DataFrame:
+        return issues.issue_labels(self.staged["issue"], self.staged)
+
     @cached_property
     def issue_measures(self) -> DataFrame:
-        return issues.issue_measures(
-            self.staged["issue"], self.issue_parts["assign_resolution"], self.staged, self.cfg
-        )
+        return issues.issue_measures(self.issue_labels, self.issue_parts["assign_resolution"], self.cfg)
 
     @cached_property
     def project_metrics(self) -> DataFrame:
@@ -172,7 +174,7 @@ class Tracker:
 
     @cached_property
     def project_enhanced(self) -> DataFrame:
-        return metrics.project_enhanced(self.issue_measures, self.project_metrics, self.staged, self.cfg)
+        return metrics.project_enhanced(self.issue_labels, self.project_metrics, self.staged, self.cfg)
 
     @cached_property
     def user_metrics(self) -> DataFrame:
@@ -180,7 +182,7 @@ class Tracker:
 
     @cached_property
     def user_enhanced(self) -> DataFrame:
-        return metrics.user_enhanced(self.issue_measures, self.user_metrics, self.staged["user"])
+        return metrics.user_enhanced(self.issue_labels, self.user_metrics, self.staged["user"])
 
     # --- sprints
 
@@ -246,5 +248,6 @@ class Tracker:
                 write_table(df, f"{path}/{name}")
             written[name] = self.__dict__[name] = read_written(df, f"{path}/{name}")
             if name == "issue_enhanced":
-                self.__dict__["issue_measures"] = self.__dict__["assigned_issue"] = written[name]
+                for shared in ("issue_labels", "issue_measures", "assigned_issue"):
+                    self.__dict__[shared] = written[name]
         return written

@@ -52,6 +52,7 @@ class Staged:
     cast: tuple[tuple[str, str], ...] = ()
 
 
+#: The names that staged columns have by definition.
 STAGED: dict[str, Staged] = {
     "comment": Staged(
         {"author_id": "author_user_id", "created": "created_at", "id": "comment_id",
