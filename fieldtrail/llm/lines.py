@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .mph import Shard
-from .store import SPACE_CHARS, keep
+from .store import SPACE_CHARS, keep, release
 
 #: The id that null counts as: smaller than any other.
 NO_ID = -(2**63)
@@ -165,6 +165,7 @@ def _probe_in_place(docs: DataFrame, index: DataFrame, min_chars: int) -> DataFr
                 if keeper[j] != (NO_ID if ids[i] is None else ids[i]):
                     drops[i].add(k)
             yield _results(ids, texts, drops, batch.column(2))
+        release()
 
     return docs.mapInArrow(run, _result_type(docs))
 

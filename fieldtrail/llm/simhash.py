@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import keep
+from .store import keep, release
 
 #: Fingerprints of the sample that the tree is built from, at most.
 SAMPLE = 1 << 16
@@ -310,6 +310,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
             kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
             arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], ["doc_id", "words_", "n_", "fp_", "parts_"])
+        release()
 
     schema = "doc_id long, words_ string, n_ long, fp_ long, parts_ array<long>"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
@@ -360,6 +361,7 @@ def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, rad
                 x, y = (set(shingle_hashes(t.as_py(), width)) for t in (a, b))
                 good.append(len(x & y) >= similarity * len(x | y))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a_", "b_"]).filter(pa.array(good, pa.bool_()))
+        release()
 
     both = pairs.join(side("a"), "a_").join(side("b"), "b_").select("a_", "b_", "text_a", "text_b")
     linked = components(both.mapInArrow(verified, "a_ long, b_ long"))

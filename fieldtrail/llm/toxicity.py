@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .simhash import shingle_hashes
-from .store import keep
+from .store import keep, release
 
 #: Labelled documents of each label that the model is learnt from, at most; chosen by hash. This bounds fitting only.
 FIT_ROWS = 15_000
@@ -239,8 +239,10 @@ def scorer(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS):
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, most))
 
     @F.pandas_udf(T.DoubleType())
-    def score(texts: pd.Series) -> pd.Series:
-        return pd.Series([model.value.score(t) for t in texts], dtype="float64")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([model.value.score(t) for t in texts], dtype="float64")
+        release()
 
     return score
 
