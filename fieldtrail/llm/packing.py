@@ -18,10 +18,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import keep
+from .store import keep, release
 
-#: Words whose ids a task remembers, at most.
-REMEMBERED = 400_000
+#: Words, and parts of words (which cost more to encode), whose ids a task remembers, about.
+WORDS, WORD_PARTS = 150_000, 350_000
 #: Rows of one size that one task ranks, about.
 CELL_ROWS = 100_000
 #: Parts of one size, at most; with the sizes, this bounds the table of counts.
@@ -34,10 +34,13 @@ class Encoder:
     """Token ids of texts by a tokenizer that drops white space, so that words are encoded apart and remembered.
 
     Words between ASCII white space are encoded many at once, with a mark between them. Words of Latin letters need no
-    normalisation but lower case if the tokenizer's only purpose for it is that and composing; ``plain`` says so.
+    normalisation but lower case if the tokenizer's only purpose for it is that and composing; ``plain`` says so. Of
+    those, letters and the punctuation after them are tokens apart, and each is remembered for itself.
     """
 
     MARK = "\x01"
+    # An apostrophe may start a token together with letters.
+    TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
     def __init__(self, definition: str, plain: bool = True) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -50,40 +53,62 @@ class Encoder:
             self.bare.normalizer = normalizers.Sequence([])
         (self.mark,) = self.full.encode(self.MARK, add_special_tokens=False).ids
         self.known: dict[bytes, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
 
-    def _encode(self, words: list[str], tokenizer) -> list[bytes]:
-        joined = f" {self.MARK} ".join(words)
-        ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
-        marks = np.flatnonzero(ids == self.mark)
-        starts, ends = np.concatenate(([0], marks + 1)), np.concatenate((marks, [len(ids)]))
-        return [ids[a:b].tobytes() for a, b in zip(starts, ends)]
+    def _encode(self, words: list[str], tokenizer) -> Iterator[bytes]:
+        for i in range(0, len(words), 2000):
+            joined = f" {self.MARK} ".join(words[i : i + 2000])
+            ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+            flat, start = ids.tobytes(), 0
+            for mark in [*np.flatnonzero(ids == self.mark).tolist(), len(ids)]:
+                yield flat[4 * start : 4 * mark]
+                start = mark + 1
 
     def learn(self, words: set[bytes]) -> None:
         """Encode words that are not known yet."""
-        latin, other = [], []
+        split, other, new = [], [], set()
         for word in words:
             text = word.decode()
             if self.MARK in text or "<|" in text:  # a text may spell out a special token, or the mark
                 ids = self.full.encode(text, add_special_tokens=False).ids
                 self.known[word] = np.array(ids, dtype="<u4").tobytes()
             elif self.plain and (text.isascii() or max(text) <= "\xff"):
-                latin.append((word, text.lower()))
+                text = text.lower()
+                core = text.rstrip(self.TAIL)
+                parts = (core, text[len(core) :]) if core.isalpha() else (text, "")
+                new.update(parts)
+                split.append((word, parts))
             else:
                 other.append((word, text))
-        for group, tokenizer in ((latin, self.bare), (other, self.full)):
-            for i in range(0, len(group), 2000):
-                part = group[i : i + 2000]
-                self.known.update(zip((w for w, _ in part), self._encode([t for _, t in part], tokenizer)))
-
-    def ids(self, text: str | None) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit numbers."""
-        words = (text or "").encode().split()
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        if new := {w for w in words if w not in known}:
+        fresh = list(new.difference(self.parts))
+        self.parts.update(zip(fresh, self._encode(fresh, self.bare)))
+        for word, (core, tail) in split:
+            self.known[word] = self.parts[core] + self.parts[tail]
+        self.known.update(zip((w for w, _ in other), self._encode([t for _, t in other], self.full)))
+
+    def ids(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit numbers."""
+        split = [(t or "").encode().split() for t in texts]
+        if len(self.known) > WORDS:
+            self.known.clear()
+        if len(self.parts) > WORD_PARTS:
+            self.parts = {"": b""}
+        if new := set().union(*split).difference(self.known):
             self.learn(new)
-        return b"".join([known[w] for w in words])
+        for words in split:
+            yield b"".join(map(self.known.__getitem__, words))
+
+
+def _portions(texts: pa.Array, chars: int = 1_000_000) -> Iterator[list[str | None]]:
+    """The texts of a column, a bounded number of characters (or one text) at once."""
+    portion, size = [], 0
+    for text in texts:
+        portion.append(text.as_py())
+        size += len(portion[-1] or "")
+        if size >= chars:
+            yield portion
+            portion, size = [], 0
+    yield portion
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, with_ids: bool = False) -> DataFrame:
@@ -98,8 +123,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, with_ids: bool
         step = 4 * capacity
         for batch in batches:
             rows: list[list] = [[], [], [], [], [], []]
-            for id_, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encoder.ids(text.as_py()) + bytes(4)
+            encoded = (ids for portion in _portions(batch.column(1)) for ids in encoder.ids(portion))
+            for id_, ids in zip(batch.column(0).to_pylist(), encoded):
+                ids += bytes(4)
                 for k, at in enumerate(range(0, len(ids), step)):
                     cut = ids[at : at + step]
                     values = (id_, k, k * capacity, len(cut) // 4, zlib.crc32(cut), cut if with_ids else None)
@@ -107,6 +133,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, with_ids: bool
                         column.append(value)
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(list(map(pa.array, rows, kinds)), names)
+        del encoder
+        release()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
     names = [c.split()[0] for c in schema.split(", ")]
