@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .store import keep, release
 
 #: Words, and parts of words (which cost more to encode), whose ids a task remembers, about.
-WORDS, WORD_PARTS = 150_000, 350_000
+WORDS, WORD_PARTS = 300_000, 600_000
 #: Rows of one size that one task ranks, about.
 CELL_ROWS = 100_000
 #: Parts of one size, at most; with the sizes, this bounds the table of counts.
