@@ -129,7 +129,9 @@ def fit(docs: DataFrame, most: int = FIT_ROWS, landmarks: int = LANDMARKS, ridge
     # Runs that no landmark has add nothing to any kernel value.
     shared = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(bits[marks]))[:RUNS])
     sizes = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
-    x = np.unpackbits(bits, axis=1)[:, shared].astype(np.float32) / np.sqrt(sizes)[:, None].astype(np.float32)
+    # A few texts at a time: unpacked, all runs of all texts would take eight times as much.
+    x = np.concatenate([np.unpackbits(b, axis=1)[:, shared].astype(np.float32) for b in np.array_split(bits, 32)])
+    x /= np.sqrt(sizes)[:, None].astype(np.float32)
     z = x[marks]
     values, vectors = np.linalg.eigh((z @ z.T).astype(float))
     good = values > 1e-6 * values.max()
