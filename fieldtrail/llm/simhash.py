@@ -273,9 +273,8 @@ def near_groups(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
 # out any more. There, the fingerprints of small parts of a text take over: shingles are dealt into parts by hash, so
 # that some part of two similar texts is the same. Whatever is found is compared word by word in the end.
 
-#: Shingles that a part should have, parts that are looked at, and bits that similar texts differ in at most: at 0.8,
-#: nine or ten are usual, with a deviation of three.
-PART, PARTS, FAR = 6, 16, 24
+#: Shingles that a part should have, and parts that are looked at.
+PART, PARTS = 6, 16
 
 
 def part_prints(hashes: np.ndarray) -> list[int]:
@@ -331,11 +330,10 @@ def _candidates(texts: DataFrame, radius: int, similarity: float) -> DataFrame:
     same = texts.join(prints, "fp_").select(F.col("doc_id").alias("a_"), F.col("least_").alias("b_"))
     pairs = by_part.unionByName(by_tree).unionByName(same).where("a_ <> b_")
     pairs = pairs.select(F.greatest("a_", "b_").alias("a_"), F.least("a_", "b_").alias("b_")).distinct()
-    known = lambda side: texts.select(*(F.col(c).alias(c + side) for c in ("doc_id", "n_", "fp_")))
+    known = lambda side: texts.select(*(F.col(c).alias(c + side) for c in ("doc_id", "n_")))
     joined = pairs.join(known("a"), F.col("a_") == F.col("doc_ida")).join(known("b"), F.col("b_") == F.col("doc_idb"))
     sizes = F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b")
-    near = F.bit_count(F.col("fp_a").bitwiseXOR(F.col("fp_b"))) <= FAR
-    return joined.where(sizes & near).select("a_", "b_")
+    return joined.where(sizes).select("a_", "b_")
 
 
 def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 3) -> DataFrame:

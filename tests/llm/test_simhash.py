@@ -145,6 +145,21 @@ def test_groups_by_similarity_against_all_pairs(make_docs):
     assert len(want) > 25
 
 
+def test_repeated_phrases_do_not_part_similar_texts(make_docs):
+    """Fingerprints count repeats, similarity does not: the repeated run makes them unlike."""
+    rng, rows = random.Random(21), []
+    for i in range(0, 20, 2):
+        base = [f"w{rng.randrange(5000)}" for _ in range(100)]
+        phrase = base[-1:] if i % 4 else [f"p{i}", f"q{i}"]
+        rows += [(i, " ".join(base)), (i + 1, " ".join(base + phrase * 300))]
+    assert all(jaccard(rows[i][1], rows[i + 1][1]) >= 0.8 for i in range(0, 20, 2))
+    want = connected({(i, j) for i, a in rows for j, b in rows if i > j and jaccard(a, b) >= 0.8})
+    got = {}
+    for r in rows_of(simhash.similar_groups(make_docs(rows))):
+        got.setdefault(r.component_id, set()).add(r.doc_id)
+    assert {frozenset(g) for g in got.values() if len(g) > 1} == want
+
+
 def test_one_of_each_group_stays(make_docs):
     text = " ".join(f"w{i}" for i in range(400))
     docs = make_docs([(5, text), (3, text), (4, text + " end"), (1, "something else entirely here"), (None, text), (7, ""), (6, None)])
