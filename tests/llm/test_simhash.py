@@ -160,6 +160,31 @@ def test_repeated_phrases_do_not_part_similar_texts(make_docs):
     assert {frozenset(g) for g in got.values() if len(g) > 1} == want
 
 
+def test_no_similar_pair_is_lost(make_docs, monkeypatch):
+    """Short texts that share no part, and similar texts among many that share a long passage."""
+    monkeypatch.setattr(simhash, "BLOCK", 20)
+    rng, rows = random.Random(22), []
+    draw = lambda n: [f"w{rng.randrange(9000)}" for _ in range(n)]
+    for _ in range(60):
+        base = draw(rng.randrange(24, 120))
+        copy = list(base)
+        for _ in range(max(1, len(base) // 50)):
+            copy[rng.randrange(len(base))] = "changed"
+        rows += [base, copy]
+    passage = draw(160)
+    for i in range(120):
+        own = draw(60) if i < 40 or rng.random() < 0.5 else rows[-1][160:]
+        rows.append(passage + [*own[:30], f"x{i}", *own[31:]])
+    rng.shuffle(rows)
+    rows = [(i, " ".join(words)) for i, words in enumerate(rows)]
+    want = connected({(i, j) for i, a in rows for j, b in rows if i > j and jaccard(a, b) >= 0.8})
+    got = {}
+    for r in rows_of(simhash.similar_groups(make_docs(rows))):
+        got.setdefault(r.component_id, set()).add(r.doc_id)
+    assert {frozenset(g) for g in got.values() if len(g) > 1} == want
+    assert len(want) > 40
+
+
 def test_one_of_each_group_stays(make_docs):
     text = " ".join(f"w{i}" for i in range(400))
     docs = make_docs([(5, text), (3, text), (4, text + " end"), (1, "something else entirely here"), (None, text), (7, ""), (6, None)])
