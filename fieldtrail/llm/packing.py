@@ -4,7 +4,8 @@ Pieces and gaps are put in one order by size. A sweep over it pairs each gap wit
 opening and closing brackets pair: pieces open, gaps close, and partners have the same depth. Depths come from counts
 of equal sizes, so the sweep is a count, a running sum over sizes, and a look at the successor within a depth; pieces
 that want the same gaps are told apart by their rank. All pairs of a round are placed at once, gaps shrink, and the next
-round begins. Pieces larger than every gap get new sequences, as many to one as fit.
+round begins. Pieces larger than every gap get new sequences, as many to one as fit. When pieces are far more than gaps, a gap
+takes as many pieces of one size as fit in one round.
 """
 
 from __future__ import annotations
@@ -209,6 +210,63 @@ def opened(rows: DataFrame, capacity: int, parts: int) -> DataFrame:
     return placed.unionByName(gaps)
 
 
+def fill_plan(pieces: dict[int, int], gaps: dict[int, int]) -> list[tuple[int, int, int, int, int, int, int]]:
+    """Gaps for many small pieces, given how many have each size: (piece size, first piece, pieces, gap size, first gap,
+    gaps, pieces of a gap), pieces and gaps numbered within their size. Large pieces go to large gaps, and each gap
+    takes as many pieces of one size as fit."""
+    plan, room = [], [[size, 0, n] for size, n in sorted(gaps.items(), reverse=True)]
+    for size in sorted(pieces, reverse=True):
+        first, left = 0, pieces[size]
+        while left and room and room[0][0] >= size:
+            gap, start, n = room[0]
+            each = gap // size
+            used = min(n, -(-left // each))
+            taken = min(left, used * each)
+            plan.append((size, first, taken, gap, start, used, each))
+            first, left = first + taken, left - taken
+            room[0][1:] = start + used, n - used
+            if used == n:
+                room.pop(0)
+    return plan
+
+
+def fill(state: DataFrame, capacity: int, parts: int) -> DataFrame:
+    """One round for far more pieces than gaps: the new state and PLACED rows as ``sweep`` gives them."""
+    counted: dict[int, dict[int, int]] = {PIECE: {}, GAP: {}}
+    for r in state.groupBy("kind_", "size_").agg(F.count("*").alias("n")).collect():  # as many rows as sizes
+        counted[r["kind_"]][r["size_"]] = r["n"]
+    plan = list(enumerate(fill_plan(counted[PIECE], counted[GAP])))
+    ranked = _cells(state, ["kind_", "size_"], parts, [], F.col("n_"), ["kind_", "size_"])
+    ranked = ranked.select("kind_", "size_", "id_", (F.col("before_") + F.col("rank_") - 1).alias("number_"))
+    spark = state.sparkSession
+    rows = [(PIECE, p[0], p[1], p[1] + p[2], i, p[6]) for i, p in plan] + [(GAP, p[3], p[4], p[4] + p[5], i, 1) for i, p in plan]
+    # A step ends with a size of pieces or with one of gaps, so there are fewer steps than sizes of both.
+    steps = spark.createDataFrame(rows, "kind_ int, size_ int, from_ long, to_ long, step_ int, each_ long")
+    within = (F.col("number_") >= F.col("from_")) & (F.col("number_") < F.col("to_"))
+    dealt = ranked.join(F.broadcast(steps), ["kind_", "size_"]).where(within).withColumn("offset_", F.col("number_") - F.col("from_"))
+    ones = dealt.where(F.col("kind_") == PIECE).select(
+        "step_",
+        F.floor(F.col("offset_") / F.col("each_")).alias("gap_"),
+        (F.col("offset_") % F.col("each_")).alias("place_"),
+        "size_",
+        "id_",
+    )
+    gaps = dealt.where(F.col("kind_") == GAP).select(
+        "step_", F.col("offset_").alias("gap_"), F.col("size_").alias("room_"), F.col("id_").alias("seq_")
+    )
+    met = keep(ones.join(gaps, ["step_", "gap_"]))
+    at = (capacity - F.col("room_") + F.col("place_") * F.col("size_")).cast("int")
+    placed = met.select(F.lit(PLACED).alias("kind_"), "size_", "id_", "seq_", at.alias("at_"))
+    taken = met.groupBy("seq_").agg(F.sum("size_").alias("taken_"))
+    of_gap = taken.select(F.lit(GAP).alias("kind_"), F.col("seq_").alias("id_"), "taken_")
+    of_piece = met.select(F.lit(PIECE).alias("kind_"), "id_", F.col("size_").cast("long").alias("taken_"))
+    rest = state.join(of_gap.unionByName(of_piece), ["kind_", "id_"], "left")
+    size = F.col("size_") - F.coalesce("taken_", F.lit(0))  # nothing is left of a piece that found a place
+    none = F.lit(None)
+    rest = rest.select("kind_", size.cast("int").alias("size_"), "id_", none.cast("long").alias("seq_"), none.cast("int").alias("at_"))
+    return rest.where("size_ > 0").unionByName(placed)
+
+
 def best_fit(sizes: DataFrame, capacity: int) -> DataFrame:
     """id_, seq_, at_: the sequence and place of each piece of ``sizes`` (id_, distinct, and size_ up to ``capacity``)."""
     size, none = F.col("size_").cast("int"), F.lit(None)
@@ -231,7 +289,6 @@ def best_fit(sizes: DataFrame, capacity: int) -> DataFrame:
     gaps = rows.where(first & (F.col("size_") < capacity)).withColumns({"kind_": F.lit(GAP), "size_": capacity - size})
     state = keep(rows.where(~first).unionByName(placed).unionByName(gaps))
     done = [state.where(F.col("kind_") == PLACED)]
-    fullest = None
     while True:
         pieces_, gap = F.when(F.col("kind_") == PIECE, F.col("size_")), F.when(F.col("kind_") == GAP, F.col("size_"))
         left_before = left
@@ -241,15 +298,16 @@ def best_fit(sizes: DataFrame, capacity: int) -> DataFrame:
         if not left:
             break
         parts = min(MOST_CELLS, 1 + n // CELL_ROWS)
-        # When a round places hardly any of what is left, gaps are too few to wait for.
         fullest = room or 0
-        if done[1:] and (left_before - left) * 100 < left:
-            fullest = 0
+        # When a round places hardly any of what is left, gaps are too few to take one piece each.
+        few = done[1:] and (left_before - left) * 100 < left
         todo = state.where((F.col("kind_") == PIECE) | (F.col("kind_") == GAP) & (F.col("size_") >= low))
         too_large = (F.col("kind_") == PIECE) & (F.col("size_") > fullest)
         if high > fullest:
             new = opened(todo.where(too_large).select("size_", "id_"), capacity, parts)
             state = keep(todo.where(~too_large).unionByName(new))
+        elif few:
+            state = keep(fill(todo.select("kind_", "size_", "id_"), capacity, parts))
         else:
             state = keep(sweep(todo.select("kind_", "size_", "id_"), capacity, parts))
         done.append(state.where(F.col("kind_") == PLACED))
