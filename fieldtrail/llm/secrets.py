@@ -22,6 +22,13 @@ EXAMPLES = "test|example|sample|mock|fixture|dummy|doc"
 #: A long run, and what a value given to a speaking name looks like.
 RUN = r"[A-Za-z0-9+/_.\-]{16,}={0,2}"
 ASSIGNED = rf"(?i)(?:{SPEAKING})[\"']?\s*[:=]\s*[\"']?[^\s\"']{{6,}}"
+#: That value itself: up to a closing quote; or else up to "&", signs that close, or the next name and its sign.
+VALUE = (
+    r"((?<=[\"'])[^\s\"']{6,}(?=[\"'])|[^\s\"'&]{6,}?(?=[,;)}\]>]*(?:[\s\"'&]|$)|[,;?][\"']?[\w.\-]+[\"']?[:=]))"
+)
+WITHIN = rf"(?i)(?:{SPEAKING})[\"']?[:=][\"']?{VALUE}"
+#: The same with its name in the words before.
+ACROSS = rf"(?i)(?:{SPEAKING})[\"']?(?:\s+[:=]\s*|[:=]\s+)[\"']?{VALUE}\S*$"
 #: Labelled findings of each label that the forest learns from, at most, and its size.
 FIT_ROWS, TREES, DEPTH = 10_000, 24, 8
 #: Share of documents that a word of four to eight letters must be in to count as dictionary, and documents at least.
@@ -63,9 +70,13 @@ def findings(docs: DataFrame, path_col: str = "source") -> DataFrame:
     rows = docs.select("doc_id", F.col(path_col).cast("string").alias("path"), F.explode(_bound(words, found)).alias("f_"))
     rows = rows.select("doc_id", "path", "f_.*")
     runs = F.filter(F.regexp_extract_all("word", run, F.lit(0)), lambda c: c.rlike(digit))
-    # A short value of a speaking name: what is inside of quotes and signs.
+    # Values of speaking names, however short, beside the runs.
+    nearest = F.concat_ws(" ", F.get("before", F.lit(1)), F.get("before", F.lit(2)), "word")
+    values = F.concat(F.regexp_extract_all("word", F.lit(WITHIN), F.lit(1)), F.array(F.regexp_extract(nearest, ACROSS, 1)))
+    every = F.array_distinct(F.concat(runs, F.filter(values, lambda c: c != "")))
+    # A word near a name, but no clear value of it: what is inside of quotes and signs.
     value = F.regexp_extract("word", r"([^\s\"'=:]{6,})[\"',;]*$", 1)
-    every = F.when(F.size(runs) > 0, runs).otherwise(F.array(value))
+    every = F.when(F.size(every) > 0, every).otherwise(F.array(value))
     return rows.withColumn("candidate", F.explode(every)).where("candidate <> ''")
 
 

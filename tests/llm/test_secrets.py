@@ -64,6 +64,24 @@ def test_candidates(make_docs):
     assert got[1, 1, "hunter2x"] == (["", "", "password:"], "and")
 
 
+def test_short_values_beside_runs_and_signs(make_docs):
+    rows = [
+        (1, '{"id":"a1b2c3d4e5f6a7b8","password":"hunter22"}'),
+        (2, '{"password":"hunter22"}'),
+        (3, "https://h/?user=me&password=hunter22&x=1"),
+        (4, "pwd=ab:cd=ef12 secret: hunter=2:x4"),
+        (5, '{"token":"abcdef1","pwd":"ghijkl2","n":3}'),
+        (6, "{password:hunter22,user:bob}"),
+    ]
+    got = {}
+    for r in rows_of(secrets.findings(make_docs(rows))):
+        got.setdefault(r.doc_id, []).append(r.candidate)
+    assert got[1] == ["a1b2c3d4e5f6a7b8", "hunter22"]
+    assert got[2] == ["hunter22"] and got[3] == ["hunter22"] and got[6] == ["hunter22"]
+    assert got[4] == ["ab:cd=ef12", "hunter=2:x4"]
+    assert got[5] == ["abcdef1", "ghijkl2"]
+
+
 def test_coverage_is_the_share_of_letters_in_words(spark):
     words = spark.createDataFrame([("order",), ("orders",), ("ness",)], "part string")
     candidates = spark.createDataFrame([("Orders12",), ("orderness",), ("zzz",), ("0123456789",)], "candidate string")
