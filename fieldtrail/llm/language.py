@@ -46,8 +46,10 @@ def symbols(text: str | None) -> np.ndarray:
     if not _TABLE:
         _TABLE.append(_symbols())
     points = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    # Beyond the first plane, writing is told apart from signs only roughly.
-    return np.where(points < 1 << 16, _TABLE[0][points & 0xFFFF], 27 + (points & 0xFF) % (SYMBOLS - 27)).astype(np.int32)
+    found = _TABLE[0][points & 0xFFFF]
+    for point in np.unique(points[points >= 1 << 16]).tolist() if (points >= 1 << 16).any() else ():
+        found[points == point] = 27 + (point & 0xFF) % (SYMBOLS - 27) if chr(point).isalpha() else 0
+    return found
 
 
 def runs(text: str | None) -> tuple[np.ndarray, bool]:

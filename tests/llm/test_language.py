@@ -50,3 +50,7 @@ def test_odd_rows(odd_docs, no_docs, docs):
     assert rows_of(language.identify(no_docs)) == []
     unknown = docs.withColumn("lang", language.F.lit(None).cast("string")).limit(5)
     assert {(r.lang_pred, r.score) for r in rows_of(language.identify(unknown))} == {("und", 0.0)}
+
+
+def test_only_letters_beyond_the_first_plane_count():
+    assert [language.runs(t)[1] for t in ("😀 🚀", "🚀 𝔘", "𠀀", "1 ☃")] == [False, True, True, False]
