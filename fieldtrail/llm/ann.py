@@ -3,8 +3,8 @@
 Equal vectors become one node first. A first graph comes from lists around sampled pivots. Then each round joins every
 node's neighbours with their own neighbours, and proposes the neighbours of a common node to one another; the nearest
 stay. Queries start at their own node and walk: the nearest nodes not visited yet are joined with the graph, until none
-of the nearest is left to visit. While walking, vectors are 8-bit numbers with a scale; the last comparison uses the
-original ones.
+of the nearest is left to visit. All of it uses the original numbers, in 4 bytes if that loses nothing, as rounded ones
+tell near-copies apart only by chance.
 """
 
 from __future__ import annotations
@@ -45,21 +45,27 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(F.size("vector_") == (best["n"] if best else 0)).dropDuplicates(["vec_id", "vector_"])
 
 
-def packed(vectors: np.ndarray) -> list[bytes]:
-    """Each vector as a scale (4 bytes) and 8-bit components."""
-    scale = (np.abs(vectors).max(axis=1, keepdims=True) / 127).astype("<f4")
-    scale[scale == 0] = 1  # below what 4 bytes can tell from zero
-    small = np.rint(np.clip(vectors / scale, -127, 127)).astype(np.int8)
-    return [row.tobytes() for row in np.concatenate([scale.view(np.int8), small], axis=1)]
+def packed(vectors: np.ndarray, wide: bool) -> list[bytes]:
+    """Each vector as the size of a number (4 bytes) and its numbers, of 8 bytes if ``wide``, else of 4."""
+    numbers = np.ascontiguousarray(vectors, dtype="<f8" if wide else "<f4").view(np.int8)
+    size = np.full((len(vectors), 1), 8 if wide else 4, dtype="<i4").view(np.int8)
+    return [row.tobytes() for row in np.concatenate([size, numbers], axis=1)]
 
 
 def unpacked(column: pa.Array) -> np.ndarray:
     """The vectors of a column of ``packed`` ones."""
     values = column.to_pylist()
     if not values:
-        return np.zeros((0, 1), dtype=np.float32)
+        return np.zeros((0, 1))
     raw = np.frombuffer(b"".join(values), dtype=np.int8).reshape(len(values), -1)
-    return raw[:, :4].copy().view("<f4") * raw[:, 4:].astype(np.float32)
+    return raw[:, 4:].copy().view(f"<f{raw[0, 0]}").astype(np.float64)
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows: with neighbours and their vectors, rows are large."""
+    for batch in batches:
+        for start in range(0, len(batch), 1000):
+            yield batch.slice(start, 1000)
 
 
 def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -77,12 +83,14 @@ def nodes_of(vectors: DataFrame) -> DataFrame:
     can need), of ``usable`` vectors. Of a vector that many rows share, only these ids are shuffled."""
     order = Window.partitionBy("vector_").orderBy("vec_id")
     few = vectors.withColumn("rank_", F.row_number().over(order)).where(F.col("rank_") <= NEIGHBOURS)
+    exact = F.forall("vector_", lambda x: x.cast("float").cast("double") == x)
+    wide = not vectors.where(~exact).isEmpty()
     grouped = few.groupBy("vector_").agg(F.min("vec_id").alias("node_"), F.sort_array(F.collect_set("vec_id")).alias("members_"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.array(batch.column(0).to_pylist(), dtype=np.float64)
-            small = packed(rows) if len(rows) else []
+            small = packed(rows, wide) if len(rows) else []
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(small, pa.binary())], [*batch.schema.names, "small_"])
 
     return grouped.mapInArrow(run, "vector_ array<double>, node_ long, members_ array<long>, small_ binary")
@@ -155,9 +163,7 @@ def _visit(pairs: DataFrame, graph: DataFrame) -> DataFrame:
     """node_, other_, far_: for rows of node_, small_, bound_, at_, the neighbours of at_ that are nearer than bound_."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not len(batch):
-                continue
+        for batch in _slices(batches):
             row, _, other, vectors = _lists(batch.column(3))
             own, ids, bound = unpacked(batch.column(1)), batch.column(0).to_numpy(), batch.column(2).to_numpy()
             far = ((own[row] - vectors) ** 2).sum(axis=1)
@@ -172,7 +178,7 @@ def _propose(graph: DataFrame) -> DataFrame:
     """node_, other_, far_: what each node's neighbours are to one another, the nearest of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             row, _, other, vectors = _lists(batch.column(0))
             ends = np.searchsorted(row, np.arange(len(batch) + 1))
             out: list[tuple] = []
@@ -253,7 +259,7 @@ def nearest(
     queries = keep(asked.join(nodes.select("vector_", "node_"), "vector_").select(F.col("vec_id").alias("query_id"), "node_"))
     found = walk(graph, queries.select("node_").distinct(), beam)
     order = Window.partitionBy("node_").orderBy("far_", "other_")
-    # 8-bit distances err by about a hundredth: several times k candidates go into the exact comparison.
+    # Distances of the walk are rounded to 4 bytes in the end: several times k go into the exact comparison.
     few = found.withColumn("rank_", F.row_number().over(order)).where(F.col("rank_") <= 5 * k + 14)
     own = queries.select("node_").distinct().select("node_", F.col("node_").alias("other_"))
     pairs = few.select("node_", "other_").unionByName(own)

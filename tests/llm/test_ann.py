@@ -45,6 +45,15 @@ def test_recall_and_exact_scores(spark):
         assert all(s == pytest.approx(math.sqrt(((vectors[q] - vectors[j]) ** 2).sum()), abs=1e-12) for s, j in answers)
 
 
+def test_near_copies_are_told_apart(spark):
+    rng = np.random.default_rng(12)
+    middle = rng.normal(size=16)
+    rows = [(i, (middle + 1e-4 * rng.normal(size=16) if i % 3 else rng.normal(size=16)).tolist()) for i in range(3000)]
+    got, want = found(nearest(table(spark, rows), F.col("vec_id") % 100 == 0)), brute(rows)
+    hits = [len({j for _, j in got[q]} & {j for _, j in want[q]}) / 10 for q in want if q % 3]
+    assert np.mean(hits) >= 0.95
+
+
 def test_equal_vectors_and_ties(spark):
     rng = np.random.default_rng(11)
     rows = [(i, [1.0, 2.0, 3.0] if i % 3 == 0 else rng.normal(size=3).round(1).tolist()) for i in range(700)]
