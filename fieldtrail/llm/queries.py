@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,8 +12,9 @@ from . import ann, exact, html, language, lines, mixing, packing, secrets, simha
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A table of the data folder. Only a session without any shared folder, as in tests, is given one here."""
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+    """A table of the data folder. Only a session on one machine, as in tests, is given a folder of its own here."""
+    unset = not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir())
+    if unset and re.match(r"local($|\[)", spark.sparkContext.master):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fieldtrail-"))
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -60,24 +60,29 @@ def majority_bits(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def prints_of(texts: pa.Array, width: int) -> np.ndarray:
+    """The fingerprint of each text."""
+    prints, start = [np.zeros(0, dtype=np.uint64)], 0
+    while start < len(texts):  # a bounded number of characters at once
+        stop, chars, rows = start, 0, []
+        while stop < len(texts) and chars < 2_000_000:
+            rows.append(texts[stop].as_py())
+            chars += len(rows[-1] or "")
+            stop += 1
+        hashes = [shingle_hashes(t, width) for t in rows]
+        sizes = np.array([len(h) for h in hashes], dtype=np.int64)
+        flat = np.array([x for h in hashes for x in h], dtype=np.uint64)
+        prints.append(majority_bits(flat, sizes))
+        start = stop
+    return np.concatenate(prints)
+
+
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     """doc_id and fp_ (64 bits) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints, texts, start = [], batch.column(1), 0
-            while start < len(batch):  # a bounded number of characters at once
-                stop, chars, rows = start, 0, []
-                while stop < len(batch) and chars < 2_000_000:
-                    rows.append(texts[stop].as_py())
-                    chars += len(rows[-1] or "")
-                    stop += 1
-                hashes = [shingle_hashes(t, width) for t in rows]
-                sizes = np.array([len(h) for h in hashes], dtype=np.int64)
-                flat = np.array([x for h in hashes for x in h], dtype=np.uint64)
-                prints.append(majority_bits(flat, sizes))
-                start = stop
-            fp = np.concatenate(prints) if prints else np.zeros(0, dtype=np.uint64)
+            fp = prints_of(batch.column(1), width)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp_"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp_ long")
@@ -248,238 +253,45 @@ def fingerprint_links(prints: DataFrame, radius: int = 3) -> DataFrame:
     return dealt.groupBy("leaf_", "part_").applyInPandas(links, "a_ long, b_ long")
 
 
-def near_groups(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
-    """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id linked, itself included).
-
-    Documents link if their fingerprints differ in ``radius`` bits at most; groups follow links. A null or blank text
-    has fingerprint zero and links like any other. A null doc_id is in its group but never names it, unless all are
-    null. Repeated rows each give a row. An empty table gives no rows. Other columns are ignored.
-    """
-    rows = keep(fingerprints(docs, width))
-    prints = keep(rows.groupBy("fp_").agg(F.min("doc_id").alias("least_")))
+def firsts(rows: DataFrame, first, radius: int) -> DataFrame:
+    """fp_ and first_: for each fingerprint of ``rows``, the smallest ``first`` (a column of ``rows``) in its group."""
+    prints = keep(rows.groupBy("fp_").agg(F.min(first).alias("least_")))
     linked = components(fingerprint_links(prints, radius))
     root = F.coalesce("component_", "fp_").alias("root_")
     named = keep(prints.join(linked.withColumnRenamed("node_", "fp_"), "fp_", "left").select("fp_", "least_", root))
-    groups = named.groupBy("root_").agg(F.min("least_").alias("component_id"))
-    by_print = named.join(groups, "root_").select("fp_", "component_id")
-    return rows.join(by_print, "fp_").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp_"), 16, "0")).alias("fingerprint"), "component_id"
-    )
-
-
-# --- groups by similarity --------------------------------------------------------
-#
-# Texts that share four fifths of their shingles have fingerprints some ten bits apart, where no tree can rule anything
-# out any more. Most links are found first in cheap ways: by the tree, and by fingerprints of small parts of a text, as
-# some part of two similar texts often is the same. What is still apart then goes into a join that loses nothing: if all
-# shingles are put in one order, similar texts share one of their first few (their prefixes), which are as many as a
-# text can have without a partner. The order puts shingles that many texts of a sample hold last. Whatever is found is
-# compared word by word in the end.
-
-#: Texts that the order of shingles is learnt from, about, and shingles that it knows to be frequent, at most. Any order
-#: gives the same links; a better one gives fewer pairs to look at.
-ORDER_ROWS, FREQUENT = 20_000, 1 << 20
-#: Texts of one prefix shingle that one side of a join takes, about: more are dealt into blocks.
-BLOCK = 1000
-#: Shingles that a part should have, and parts that are looked at.
-PART, PARTS = 6, 16
-
-
-def part_prints(hashes: np.ndarray) -> list[int]:
-    """Fingerprints of parts of a text's distinct shingles, dealt out as finely as their number asks for, and once more
-    as finely for texts that are a little longer."""
-    found = []
-    fine = max(0, (len(hashes) // PART).bit_length() - 1)
-    for k in (fine, fine + 1):
-        part = hashes & np.uint64((1 << k) - 1)
-        seen = part < PARTS
-        order = np.lexsort((hashes[seen], part[seen]))
-        own, of = hashes[seen][order], part[seen][order]
-        for piece in np.split(own, np.flatnonzero(np.diff(of)) + 1) if len(own) else ():
-            found.append(xxhash.xxh64_intdigest(piece.tobytes(), k) - (1 << 63))
-    return found
-
-
-def frequent_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of shingles that several texts of a sample hold (in order), and how many do."""
-    share = min(1.0, ORDER_ROWS / max(1, docs.count()))
-    drawn = F.pmod(F.xxhash64(F.lit("order"), "doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)) + 1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for text in batch.column(0):
-                hashes = np.unique(np.array(shingle_hashes(text.as_py(), width), dtype=np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64))], ["hash_"])
-
-    counts = docs.where(drawn).select("text").mapInArrow(run, "hash_ long").groupBy("hash_").agg(F.count("*").alias("n_"))
-    most = counts.where("n_ > 1").orderBy(F.desc("n_"), "hash_").limit(FREQUENT).toPandas()
-    order = np.argsort(known := most["hash_"].to_numpy(np.int64).view(np.uint64))
-    return known[order], most["n_"].to_numpy(np.int64)[order]
-
-
-def prefix_size(n, similarity: float):
-    """How many of ``n`` shingles similar texts cannot all lack; the margin is for rounding only."""
-    return n - np.ceil(n * (similarity - 1e-9)).astype(np.int64) + 1
-
-
-def prefix(distinct: np.ndarray, similarity: float, known: np.ndarray, counts: np.ndarray) -> tuple[list[int], int, int]:
-    """The first of a text's distinct shingles in the order by frequency and hash; frequency and hash of the last."""
-    if not len(distinct):
-        return [], 0, 0
-    often = np.zeros(len(distinct), dtype=np.int64)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, distinct), len(known) - 1)
-        often = np.where(known[at] == distinct, counts[at], 0)
-    signed = distinct.view(np.int64)
-    first = np.lexsort((signed, often))[: int(prefix_size(np.int64(len(distinct)), similarity))]
-    return signed[first].tolist(), int(often[first[-1]]), int(signed[first[-1]])
-
-
-def sketches(docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """doc_id, words_ (hash of all words), n_ (distinct shingles), fp_, parts_, and prefix_ with its last_ (frequency and
-    hash of the last shingle in it) of each row."""
-    order = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, width))
-    last = pa.struct([("often", pa.int64()), ("hash", pa.int64())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns: list[list] = [[], [], [], [], [], []]
-            for text in batch.column(1):
-                text = text.as_py()
-                hashes = np.array(shingle_hashes(text, width), dtype=np.uint64)
-                fp = majority_bits(hashes, np.array([len(hashes)]))[0]
-                distinct = np.unique(hashes)
-                words = xxhash.xxh3_128_hexdigest(b" ".join((text or "").encode().lower().split()))
-                first, often, end = prefix(distinct, similarity, *order.value)
-                values = (words, len(distinct), int(fp.view(np.int64)), part_prints(distinct), first, {"often": often, "hash": end})
-                for column, value in zip(columns, values):
-                    column.append(value)
-            kinds = (pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), last)
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names)
-        release()
-
-    schema = (
-        "doc_id long, words_ string, n_ long, fp_ long, parts_ array<long>, prefix_ array<long>, "
-        "last_ struct<often: long, hash: long>"
-    )
-    names = ["doc_id", "words_", "n_", "fp_", "parts_", "prefix_", "last_"]
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
-
-
-def _fitting(similarity: float):
-    """Whether the texts a and b of a pair may be so similar, by their sizes."""
-    return F.least("n_a", "n_b") >= (similarity - 1e-9) * F.greatest("n_a", "n_b")
+    groups = named.groupBy("root_").agg(F.min("least_").alias("first_"))
+    return named.join(groups, "root_").select("fp_", "first_")
 
 
-def _possible(shared, similarity: float):
-    """Whether they may be by the number of prefix shingles that they share.
+def near_groups(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
+    """One row per document: doc_id, fingerprint (16 hex digits), component_id (smallest doc_id linked, itself included).
 
-    All shingles in the prefix that ends first are at or before the other's end, so those that are shared beyond are
-    among the shingles after that prefix.
+    Documents link if their fingerprints differ in ``radius`` bits at most; groups follow links. A null or blank text
+    has fingerprint zero and links like any other. A null doc_id is in its group but never names it, unless all are
+    null. Repeated rows each give a row. An empty table gives no rows. Other columns are ignored. Texts of any length
+    are read whole; a task holds one text, or texts of two million characters, at once.
     """
-    rest = lambda s: F.ceil(F.col(f"n_{s}") * (similarity - 1e-9)) - 1
-    beyond = (
-        F.when(F.col("last_a") < F.col("last_b"), rest("a"))
-        .when(F.col("last_a") > F.col("last_b"), rest("b"))
-        .otherwise(F.least(rest("a"), rest("b")))
+    rows = keep(fingerprints(docs, width))
+    return rows.join(firsts(rows, F.col("doc_id"), radius), "fp_").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp_"), 16, "0")).alias("fingerprint"), F.col("first_").alias("component_id")
     )
-    wanted = (F.col("n_a") + F.col("n_b")) * (similarity / (1 + similarity))
-    return shared + beyond >= wanted - 1e-6 * wanted
 
 
-def _easy_candidates(texts: DataFrame, radius: int, similarity: float) -> DataFrame:
-    """a_, b_ (a_ > b_): pairs of ``texts`` that are worth a comparison, by parts and by the tree.
+def one_of_each_group(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
+    """One row of ``docs`` for each group of ``near_groups``: that of the smallest doc_id, with all its columns.
 
-    With the first and the last of each part's texts, not all pairs of them; and along the links of the tree.
+    Of rows that share that doc_id, one stays; a null doc_id comes last. Rows are numbered and written once together
+    with their fingerprints, so only numbers are joined with the texts. An empty table gives no rows.
     """
-    own = texts.select("doc_id", F.explode("parts_").alias("part_"))
-    ends = own.groupBy("part_").agg(F.min("doc_id").alias("first_"), F.max("doc_id").alias("last_")).where("first_ < last_")
-    by_part = own.join(ends, "part_").select(F.col("doc_id").alias("a_"), F.explode(F.array("first_", "last_")).alias("b_"))
-    prints = keep(texts.groupBy("fp_").agg(F.min("doc_id").alias("least_")))
-    links = fingerprint_links(prints.select("fp_"), radius)
-    ids = lambda side: prints.select(F.col("fp_").alias(side), F.col("least_").alias(f"of_{side}"))
-    by_tree = links.join(ids("a_"), "a_").join(ids("b_"), "b_").select(F.col("of_a_").alias("a_"), F.col("of_b_").alias("b_"))
-    same = texts.join(prints, "fp_").select(F.col("doc_id").alias("a_"), F.col("least_").alias("b_"))
-    pairs = by_part.unionByName(by_tree).unionByName(same).where("a_ <> b_")
-    pairs = pairs.select(F.greatest("a_", "b_").alias("a_"), F.least("a_", "b_").alias("b_")).distinct()
-    columns = ("doc_id", "n_", "last_", "prefix_")
-    known = lambda side: texts.select(*(F.col(c).alias(c + side) for c in columns))
-    joined = pairs.join(known("a"), F.col("a_") == F.col("doc_ida")).join(known("b"), F.col("b_") == F.col("doc_idb"))
-    shared = F.size(F.array_intersect("prefix_a", "prefix_b"))
-    return joined.where(_fitting(similarity)).where(_possible(shared, similarity)).select("a_", "b_")
-
-
-def _prefix_candidates(texts: DataFrame, similarity: float) -> DataFrame:
-    """a_, b_ (a_ > b_): all pairs of ``texts`` with other component_ that may be similar."""
-    own = texts.select("doc_id", "n_", "last_", "component_", F.explode("prefix_").alias("hash_"))
-    counts = own.groupBy("hash_").agg(
-        F.count("*").alias("rows_"), F.min("component_").alias("low_"), F.max("component_").alias("high_")
-    )
-    counts = counts.where("low_ < high_").select("hash_", F.ceil(F.col("rows_") / BLOCK).cast("int").alias("blocks_"))
-    # The texts of a frequent shingle are dealt into blocks, and each block meets each.
-    own = keep(own.join(counts, "hash_").withColumn("block_", F.pmod(F.xxhash64("doc_id"), F.col("blocks_")).cast("int")))
-    others = F.explode(F.sequence(F.lit(0), F.col("blocks_") - 1))
-
-    def side(s: str, mine: str, its: str) -> DataFrame:
-        columns = [F.col(c).alias(c.rstrip("_") + "_" + s) for c in ("doc_id", "n_", "last_", "component_")]
-        return own.select("hash_", *columns, F.col("block_").alias(mine), others.alias(its))
-
-    both = side("a", "i_", "j_").join(side("b", "j_", "i_"), ["hash_", "i_", "j_"])
-    both = both.where((F.col("doc_id_a") > F.col("doc_id_b")) & (F.col("component_a") != F.col("component_b")))
-    pairs = both.where(_fitting(similarity)).groupBy("doc_id_a", "doc_id_b").agg(
-        F.count("*").alias("shared_"), *(F.first(f"{c}_{s}").alias(f"{c}_{s}") for c in ("n", "last") for s in "ab")
-    )
-    return pairs.where(_possible(F.col("shared_"), similarity)).select(F.col("doc_id_a").alias("a_"), F.col("doc_id_b").alias("b_"))
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The ``pairs`` (kept) that are similar, their texts compared word by word."""
-    chosen = pairs.select(F.col("a_").alias("doc_id")).union(pairs.select("b_")).distinct()
-    bodies = docs.select(F.col("doc_id").cast("long"), "text").join(chosen, "doc_id").dropDuplicates(["doc_id"])
-    bodies = keep(bodies)
-    side = lambda s: bodies.select(F.col("doc_id").alias(f"{s}_"), F.col("text").alias(f"text_{s}"))
-
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = []
-            for a, b in zip(batch.column(2), batch.column(3)):
-                x, y = (set(shingle_hashes(t.as_py(), width)) for t in (a, b))
-                good.append(len(x & y) >= similarity * len(x | y))
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a_", "b_"]).filter(pa.array(good, pa.bool_()))
-        release()
 
-    both = pairs.join(side("a"), "a_").join(side("b"), "b_").select("a_", "b_", "text_a", "text_b")
-    links = keep(both.mapInArrow(verified, "a_ long, b_ long"))
-    discard(bodies)
-    return links
-
-
-def similar_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8, radius: int = 3) -> DataFrame:
-    """doc_id and component_id (smallest doc_id of its group) of each document that has an id.
-
-    Texts of the same words link, and texts whose sets of shingles of ``width`` words have a Jaccard similarity of
-    ``similarity`` or more; groups follow links. Blank and null texts are texts of the same (no) words.
-    """
-    rows = keep(sketches(docs.where("doc_id is not null"), width, similarity))
-    least = rows.groupBy("words_").agg(F.min("doc_id").alias("text_"))
-    # One row per text from here on. (Rows that repeat an id with other words are texts of one document.)
-    texts = keep(rows.join(least, "words_").where("doc_id = text_").dropDuplicates(["doc_id"]))
-    easy = _verified(keep(_easy_candidates(texts, radius, similarity)), docs, width, similarity)
-    near = components(easy).withColumnRenamed("node_", "doc_id")
-    apart = texts.join(near, "doc_id", "left").withColumn("component_", F.coalesce("component_", "doc_id"))
-    hard = _verified(keep(_prefix_candidates(apart, similarity)), docs, width, similarity)
-    linked = components(easy.unionByName(hard))
-    of_text = linked.select(F.col("node_").alias("text_"), "component_")
-    named = rows.join(least, "words_").select("doc_id", "text_").join(of_text, "text_", "left")
-    return named.select("doc_id", F.coalesce("component_", "text_").alias("component_id"))
-
-
-def one_of_each_group(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` without the documents that are not the first (smallest doc_id) of their group by ``similar_groups``.
-
-    Only the numbers of what goes are joined with the texts. Rows with a null doc_id stay, and rows that repeat the
-    first's doc_id stay with it.
-    """
-    gone = similar_groups(docs, width, similarity).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(keep(gone), "doc_id", "left_anti").select(*docs.columns)
+    @F.arrow_udf("long")
+    def fingerprint(texts: pa.Array) -> pa.Array:
+        return pa.array(prints_of(texts, width).view(np.int64))
+
+    # All columns in one, so that none of their names can clash.
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc_")
+    rows = keep(docs.select(whole, fingerprint(F.col("text")).alias("fp_"), F.monotonically_increasing_id().alias("row_")))
+    id_ = F.col("doc_.doc_id").cast("long")
+    chosen = firsts(rows, F.struct(id_.isNull().alias("no_id"), id_.alias("id"), F.col("row_").alias("row")), radius)
+    stays = keep(chosen.select(F.col("first_.row").alias("row_")).distinct())
+    return rows.join(stays, "row_", "left_semi").select("doc_.*")
