@@ -8,7 +8,8 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact, html, language, lines, mixing, packing, secrets, simhash, toxicity
+from . import ann, exact, html, language, lines, mixing, packing, repeats, secrets, simhash, toxicity
+from .store import SPACE
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -80,6 +81,23 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(table(spark, folder, "documents"))
 
 
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """doc_id and text, where a tenth of the texts (crc32 of the id divisible by 10) end in a repetition of own words."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(f"[^{SPACE}]+"), F.lit(0)))
+    tenth = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("words"), F.size(words).alias("n"))
+    placed = tenth.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    placed = placed.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    tail = F.expr("flatten(array_repeat(slice(words, int(a + 1), int(p)), int((n - a + p - 1) div p)))")
+    made = F.array_join(F.slice(F.concat(F.expr("slice(words, 1, int(a))"), tail), 1, F.col("n")), " ")
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), made).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in all documents, a tenth of which are given a repetition at their end."""
+    return repeats.periodic_runs(with_periodic_tails(table(spark, folder, "documents")), whole=False)
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_simhash": op2_simhash,
@@ -91,6 +109,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_nearest": op9_nearest,
     "op10_secrets": op10_secrets,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE_SQL = {
