@@ -8,7 +8,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact, html, language, lines, mixing, packing, repeats, secrets, simhash, toxicity
+from . import ann, exact, html, language, lines, minhash, mixing, packing, repeats, secrets, simhash, toxicity
 from .store import SPACE
 
 
@@ -81,6 +81,11 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(table(spark, folder, "documents"))
 
 
+def op11_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate groups of all documents: sets of words in threes that are 85% alike."""
+    return minhash.near_groups(table(spark, folder, "documents"))
+
+
 def with_periodic_tails(docs: DataFrame) -> DataFrame:
     """doc_id and text, where a tenth of the texts (crc32 of the id divisible by 10) end in a repetition of own words."""
     h = F.crc32(F.col("doc_id").cast("string"))
@@ -109,6 +114,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_nearest": op9_nearest,
     "op10_secrets": op10_secrets,
+    "op11_minhash": op11_minhash,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
