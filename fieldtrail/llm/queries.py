@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 import tempfile
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, exact, html, language, lines, minhash, mixing, packing, repeats, secrets, simhash, toxicity
+from . import ann, exact, html, language, lines, minhash, mixing, packing, repeats, secrets, simhash, spelling, toxicity
 from .store import SPACE
 
 
@@ -86,6 +87,17 @@ def op11_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_groups(table(spark, folder, "documents"))
 
 
+def misspelt(doc_id: int | None, word: str) -> str:
+    """The word without one letter in about one of 31 documents; a null id is written as nothing."""
+    h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{word}".encode())
+    return word if h % 31 else word[: h % len(word)] + word[h % len(word) + 1 :]
+
+
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of seven letters or more that are one letter apart, with letters left out here and there."""
+    return spelling.spelling_variants(table(spark, folder, "documents"), misspelt)
+
+
 def with_periodic_tails(docs: DataFrame) -> DataFrame:
     """doc_id and text, where a tenth of the texts (crc32 of the id divisible by 10) end in a repetition of own words."""
     h = F.crc32(F.col("doc_id").cast("string"))
@@ -115,6 +127,7 @@ QUERIES = {
     "op9_nearest": op9_nearest,
     "op10_secrets": op10_secrets,
     "op11_minhash": op11_minhash,
+    "op12_spelling": op12_spelling,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
