@@ -9,7 +9,8 @@ the level that fills the last place: after one or two for all but short texts.
 Texts that agree on a band of places are candidates. Text with text in one bucket would be too many, so candidates are
 looked at in rounds: each text of a bucket is compared with a chosen one of its part of the bucket, and the chosen ones
 with one another's first; groups are formed; and only texts whose groups still differ within a bucket go on. In the end,
-all texts of a bucket that are not of its largest group are compared with all others, if sizes and signatures allow.
+all texts of a bucket that are not of its largest group are compared with all others, within tasks, and only links that
+join groups come out.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ from .store import discard, keep, release
 #: Bands, and places of each. Texts with a similarity of 0.85 share no band with a chance below 1 in 2,000,000.
 BANDS, ROWS = 20, 4
 PLACES = BANDS * ROWS
-#: Parts of a bucket in a round; rounds; rows of a bucket that one task compares with the rest in the end.
-PARTS, ROUNDS, BLOCK = 64, 3, 4000
+#: Parts of a bucket in a round; rounds; shingles of a bucket that one task compares with as many others in the end.
+PARTS, ROUNDS, BLOCK = 64, 2, 1_000_000
 
 _GOLDEN = 0x9E3779B97F4A7C15
 
@@ -45,6 +46,10 @@ def shingles(text: str | None, width: int = 3) -> set[tuple[bytes, ...]]:
     return set(zip(*(words[i:] for i in range(width)))) if len(words) >= width else {tuple(words)}
 
 
+def hashes_of(distinct: set[tuple[bytes, ...]]) -> np.ndarray:
+    return np.fromiter((xxhash.xxh64_intdigest(b" ".join(s), 42) for s in distinct), np.uint64, len(distinct))
+
+
 def _random(hashes: np.ndarray, level: int) -> np.ndarray:
     """A number for each hash and level (the finaliser of a splittable generator)."""
     x = hashes + np.uint64((level + 1) * _GOLDEN & (1 << 64) - 1)
@@ -89,15 +94,13 @@ SKETCH = T.StructType(
         T.StructField("words", T.BinaryType()),
         T.StructField("n", T.LongType()),
         T.StructField("keys", T.ArrayType(T.LongType())),
-        T.StructField("sig", T.BinaryType()),
     ]
 )
 
 
 def sketch(column, width: int):
-    """Of a text column: a digest of its words, the size of its set, a number per band (none without words), and a byte
-    per place of its signature."""
-    kinds = {"words": pa.binary(), "n": pa.int64(), "keys": pa.list_(pa.int64()), "sig": pa.binary()}
+    """Of a text column: a digest of its words, the size of its set, and a number per band (none without words)."""
+    kinds = {"words": pa.binary(), "n": pa.int64(), "keys": pa.list_(pa.int64())}
 
     @F.arrow_udf(SKETCH)
     def made(texts: pa.Array) -> pa.Array:
@@ -105,11 +108,10 @@ def sketch(column, width: int):
         for text in texts:
             text = text.as_py()
             distinct = shingles(text, width)
-            hashes = np.fromiter((xxhash.xxh64_intdigest(b" ".join(s), 42) for s in distinct), np.uint64, len(distinct))
-            values = signature(hashes)
+            values = signature(hashes_of(distinct))
             # Which words there are, whatever stands between them.
             words = hashlib.sha256(b" ".join((text or "").encode().lower().split())).digest()
-            rows.append((words, len(distinct), band_keys(values) if distinct else [], values.astype(np.uint8).tobytes()))
+            rows.append((words, len(distinct), band_keys(values) if distinct else []))
         columns = list(zip(*rows)) or [()] * len(kinds)
         return pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds.values())], list(kinds))
 
@@ -139,63 +141,77 @@ def _with_chosen(own: DataFrame, turn: int, percent: int) -> DataFrame:
     return _ordered(both.select(F.col("row_").alias("a_"), F.col("one_.row_").alias("b_")))
 
 
-def least_agreeing(percent: int) -> int:
-    """Places that texts of this similarity agree on but for a chance of about one in a thousand millions."""
-    p = percent / 100
-    return int(PLACES * p - 6 * (PLACES * p * (1 - p)) ** 0.5)
-
-
-def _rest(own: DataFrame, sigs: DataFrame, percent: int) -> DataFrame:
-    """a_, b_: in buckets of several groups, the rows outside of the largest group with all rows of other groups, if
-    sizes and signatures allow. The rows of a bucket are dealt into blocks, so that a task has BLOCK on a side."""
-    sizes = own.groupBy("key_", "group_").agg(F.count("*").alias("rows_"))
-    most = sizes.groupBy("key_").agg(
-        F.count("*").alias("groups_"), F.max(F.struct("rows_", "group_")).alias("top_"), F.sum("rows_").alias("all_")
-    )
-    most = most.where("groups_ > 1").select(
+def links_between(left: list[tuple], right: list[tuple], percent: int) -> Iterator[tuple[int, int]]:
+    """Links of rows (row, group, hashes of the set) of ``left`` with those of ``right`` that join all groups which any
+    link joins: a forest, not all links. An index of the right side counts what a set shares with all others at once."""
+    flat = np.concatenate([r[2] for r in right])
+    sizes = np.array([len(r[2]) for r in right])
+    names, codes = np.unique(flat, return_inverse=True)
+    order = np.argsort(codes, kind="stable")
+    holders = np.repeat(np.arange(len(right)), sizes)[order]
+    starts = np.searchsorted(codes[order], np.arange(len(names) + 1))
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
+    for row, group, hashes in left:
+        at = np.minimum(np.searchsorted(names, hashes), len(names) - 1)
+        at = at[names[at] == hashes]
+        shared = np.zeros(len(right), dtype=np.int64)
+        for k in at.tolist():
+            shared[holders[starts[k] : starts[k + 1]]] += 1
+        for k in np.flatnonzero(100 * shared >= percent * (len(hashes) + sizes - shared)).tolist():
+            one, other = find(group), find(right[k][1])
+            if one != other:
+                root[one] = other
+                yield row, right[k][0]
+
+
+def _rest(open_: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """a_, b_: links in buckets of several groups, of the rows outside of a bucket's largest group with all its rows.
+
+    Sets are compared where they are, as hashes, and only links that join groups come out. The rows of a bucket are
+    dealt into blocks by the size of their sets, so that a task has about BLOCK hashes on either side, or one set.
+    """
+    sizes = open_.groupBy("key_", "group_").agg(F.sum("n_").alias("size_"))
+    most = sizes.groupBy("key_").agg(F.max(F.struct("size_", "group_")).alias("top_"), F.sum("size_").alias("all_"))
+    most = most.select(
         "key_",
         F.col("top_.group_").alias("main_"),
         F.ceil(F.col("all_") / BLOCK).cast("int").alias("blocks_"),
-        F.ceil((F.col("all_") - F.col("top_.rows_")) / BLOCK).cast("int").alias("others_"),
+        F.ceil((F.col("all_") - F.col("top_.size_")) / BLOCK).cast("int").alias("others_"),
     )
-    rows = own.join(most, "key_").join(sigs, "row_").withColumn("other_", F.col("group_") != F.col("main_"))
-    rows = keep(rows)
+    rows = open_.join(most, "key_").withColumn("other_", F.col("group_") != F.col("main_"))
+
+    @F.arrow_udf("array<long>")
+    def hashed(column: pa.Array) -> pa.Array:
+        return pa.array([hashes_of(shingles(t.as_py(), width)).view(np.int64) for t in column], pa.list_(pa.int64()))
+
+    sets = keep(texts.join(open_.select("row_").distinct(), "row_", "left_semi").select("row_", hashed(F.col("text")).alias("set_")))
     deal = lambda n: F.pmod(F.xxhash64("row_"), F.col(n)).cast("int")
     copies = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["key_", "row_", "group_", "n_", "sig"]
+    columns = ["key_", "row_", "group_"]
     left = rows.where("other_").select(*columns, F.lit(True).alias("left_"), deal("others_").alias("i_"), copies("blocks_").alias("j_"))
     right = rows.select(*columns, F.lit(False).alias("left_"), copies("others_").alias("i_"), deal("blocks_").alias("j_"))
 
-    enough = least_agreeing(percent)
-
-    def compared(group: Iterator[tuple]) -> tuple[np.ndarray, np.ndarray]:
-        ids, groups, n, sig, is_left = group
-        at, to = np.flatnonzero(is_left), np.flatnonzero(~is_left)
-        found: list[np.ndarray] = []
-        step = max(1, (1 << 24) // max(1, len(to) * PLACES))
-        for k in range(0, len(at), step):
-            some = at[k : k + step]
-            small, large = np.minimum(n[some, None], n[to]), np.maximum(n[some, None], n[to])
-            good = (groups[some, None] != groups[to]) & (100 * small >= percent * large)
-            good &= (sig[some, None, :] == sig[None, to, :]).sum(axis=2) >= enough
-            a, b = np.nonzero(good)
-            found.append(np.stack([ids[some[a]], ids[to[b]]]))
-        pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), dtype=np.int64)
-        return pairs[0], pairs[1]
-
     def run(table: pa.Table) -> pa.Table:
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), dtype=np.uint8).reshape(-1, PLACES)
-        numbers = (table.column(c).to_numpy() for c in ("row_", "group_", "n_"))
-        a, b = compared((*numbers, sig, np.array(table.column("left_").to_pylist(), dtype=bool)))
-        return pa.table({"a_": a, "b_": b})
+        sides: tuple[list, list] = ([], [])
+        sets_ = (np.array(x, dtype=np.int64) for x in table.column("set_").to_pylist())
+        for row, group, is_left, own in zip(*(table.column(c).to_pylist() for c in ("row_", "group_", "left_")), sets_):
+            sides[0 if is_left else 1].append((row, group, own))
+        found = list(links_between(*sides, percent)) if sides[0] and sides[1] else []
+        return pa.table({"a_": pa.array([a for a, _ in found], pa.int64()), "b_": pa.array([b for _, b in found], pa.int64())})
 
-    return left.unionByName(right).groupBy("key_", "i_", "j_").applyInArrow(run, "a_ long, b_ long")
+    return left.unionByName(right).join(sets, "row_").groupBy("key_", "i_", "j_").applyInArrow(run, "a_ long, b_ long")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The ``pairs`` whose full sets are similar. ``texts`` has row_ and text."""
     chosen = pairs.select(F.col("a_").alias("row_")).union(pairs.select("b_")).distinct()
-    bodies = keep(texts.select("row_", "text").join(chosen, "row_", "left_semi"))
+    bodies = keep(texts.join(chosen, "row_", "left_semi"))
     side = lambda s: bodies.select(F.col("row_").alias(f"{s}_"), F.col("text").alias(f"text_{s}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +245,7 @@ def near_groups(docs: DataFrame, width: int = 3, percent: int = 85) -> DataFrame
     # Rows are numbered, as ids may repeat, and written with their texts, so that the numbers stay.
     made = docs.select(F.col("doc_id").cast("long"), "text", sketch(F.col("text"), width).alias("s_"))
     made = keep(made.withColumn("row_", F.monotonically_increasing_id()))
-    made = made.select("doc_id", "row_", "text", F.col("s_.words").alias("words_"), F.col("s_.n").alias("n_"), "s_.keys", "s_.sig")
+    made = made.select("doc_id", "row_", "text", F.col("s_.words").alias("words_"), F.col("s_.n").alias("n_"), "s_.keys")
     # Texts of the same words are one from here on.
     least = keep(made.where("n_ > 0").groupBy("words_").agg(F.min("row_").alias("row_")))
     of_texts = made.join(least.select("row_"), "row_", "left_semi")
@@ -237,7 +253,7 @@ def near_groups(docs: DataFrame, width: int = 3, percent: int = 85) -> DataFrame
     counts = bands.groupBy("key_").agg(F.count("*").alias("rows_")).where("rows_ > 1").select("key_")
     own = keep(bands.join(counts, "key_"))  # a bucket of one text needs no more
     met = own.select("row_").distinct()
-    texts = keep(made.select("row_", "text", "sig").join(met, "row_", "left_semi"))
+    texts = keep(made.select("row_", "text").join(met, "row_", "left_semi"))
     group, links, tried = own.select("row_", F.col("row_").alias("group_")).distinct(), [], []
     for turn in range(ROUNDS + 1):
         named = own.join(group, "row_")
@@ -247,7 +263,7 @@ def near_groups(docs: DataFrame, width: int = 3, percent: int = 85) -> DataFrame
         open_ = keep(named.join(several, "key_"))
         if open_.isEmpty():
             break
-        pairs = _with_chosen(open_, turn, percent) if turn < ROUNDS else _ordered(_rest(open_, texts.select("row_", "sig"), percent))
+        pairs = _with_chosen(open_, turn, percent) if turn < ROUNDS else _ordered(_rest(open_, texts, width, percent))
         for before in tried:
             pairs = pairs.join(before, ["a_", "b_"], "left_anti")
         tried.append(keep(pairs))

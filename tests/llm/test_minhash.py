@@ -69,7 +69,7 @@ def test_hot_buckets_lose_nothing(make_docs, monkeypatch):
     """Hundreds of texts of one template, many of them similar to few others only: after one round of chosen ones, the
     rest is compared in blocks."""
     monkeypatch.setattr(minhash, "ROUNDS", 1)
-    monkeypatch.setattr(minhash, "BLOCK", 50)
+    monkeypatch.setattr(minhash, "BLOCK", 50 * 148)
     monkeypatch.setattr(minhash, "PARTS", 4)
     rng = random.Random(2)
     base = [f"w{rng.randrange(5000)}" for _ in range(150)]
