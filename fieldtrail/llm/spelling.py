@@ -13,9 +13,10 @@ very many words share is dealt to tasks by these pieces instead.
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -123,25 +124,26 @@ class Grams:
         self.counts, self.ranks = counts, ranks
         self.known: dict[str, tuple[int, int]] = {}  # rank, unlike for any two grams, and weight
 
-    def look_up(self, gram: str) -> tuple[int, int]:
-        found = self.known.get(gram)
-        if found is None:
+    def learn(self, word: str) -> None:
+        if len(self.known) > CELLS:
+            self.known = {}
+        for gram in grams_of(word):
             cell = _cell(gram)
             rank = int(self.ranks[cell]) << 42 | ord(gram[0]) << 21 | ord(gram[1])
-            found = self.known[gram] = (rank, int(self.counts[cell]))
-            if len(self.known) > CELLS:
-                self.known = {gram: found}
-        return found
+            self.known[gram] = (rank, int(self.counts[cell]))
 
     def of(self, word: str) -> tuple[int, list[int], list[int]]:
         """Rank of the last gram of the prefix; places of the pivots; places of all grams up to that last one."""
-        order = sorted((*self.look_up(g), at) for at, g in enumerate(grams_of(word)))
-        order = [(rank, at, weight) for rank, weight, at in order]
+        grams = grams_of(word)
+        if not self.known.keys() >= set(grams):
+            self.learn(word)
+        known = self.known
+        order = sorted([(known[g], at) for at, g in enumerate(grams)])
         first = order[:PREFIX]
-        last = first[-1][0]
-        chosen = pivots([(at, weight) for _, at, weight in first])
-        places = [at for rank, at, _ in first if rank < last]
-        places += [at for rank, at, _ in order[len(places) : len(places) + OCCURRENCES] if rank == last]
+        last = first[-1][0][0]
+        chosen = pivots([(at, weight) for (_, weight), at in first])
+        places = [at for (rank, _), at in first if rank < last]
+        places += [at for (rank, _), at in order[len(places) : len(places) + OCCURRENCES] if rank == last]
         return last, chosen, places
 
 
@@ -185,18 +187,18 @@ def rest_of(word: str, at: int) -> str:
     return word[at + GRAM :] if at >= 0 else word[: -1 - at][::-1]
 
 
-def cuts(size: int) -> list[int]:
+@functools.lru_cache(maxsize=4096)
+def cuts(size: int) -> list[tuple[int, int]]:
     """Where the pieces of a rest of this size begin and end."""
     pieces = min(PIECES, max(size, 1))
-    return [size * k // pieces for k in range(pieces + 1)]
+    return [(size * k // pieces, size * (k + 1) // pieces) for k in range(pieces)]
 
 
-def without_pieces(rest: str, size: int) -> Iterator[tuple[int, int, str, str]]:
-    """(size, piece, before, after): what stays of ``rest`` if one of the pieces of a rest of ``size`` is left out. Rests
-    that are one edit apart have one of these in common, for the size of either."""
-    ends = cuts(size)
-    for k in range(len(ends) - 1):
-        yield size, k, rest[: ends[k]], rest[ends[k + 1] + len(rest) - size :]
+def without_pieces(rest: str, size: int) -> list[tuple[str, str]]:
+    """What stays of ``rest`` before and after each piece of a rest of ``size``. Rests that are one edit apart have one
+    of these in common, for the size of either."""
+    more = len(rest) - size
+    return [(rest[:start], rest[end + more :]) for start, end in cuts(size)]
 
 
 Posting = tuple[int, int, int, int, str, int]  # at_, role_, last_, other_, word, n
@@ -225,21 +227,25 @@ def near_in(group: list[Posting]) -> Iterator[tuple[Posting, Posting]]:
     if len(own) * len(group) <= FEW:
         yield from ((a, b) for a in own for b in group if is_pair(a, b))
         return
-    by_size = defaultdict(list)
+    # What stays of the rests with a pivot, by their size; all rests are looked up there, by their neighbours' sizes too.
+    index: dict[int, dict] = {}
     for a in own:
-        by_size[len(a[4])].append(a)
-    # Those that have what stays of a pivot's word; the rests of one word are compared with those of its neighbours' sizes.
-    index = defaultdict(list)
+        rest = rest_of(a[4], a[0])
+        by_size = index.setdefault(len(rest), {})
+        for key in without_pieces(rest, len(rest)):
+            by_size.setdefault(key, []).append(a)
     for b in group:
         rest = rest_of(b[4], b[0])
+        found = {}
         for size in (len(rest) - 1, len(rest), len(rest) + 1):
-            if size + len(b[4]) - len(rest) in by_size:
+            by_size = index.get(size)
+            if by_size is not None:
                 for key in without_pieces(rest, size):
-                    index[key].append(b)
-    for a in own:
-        rest = rest_of(a[4], a[0])
-        found = {b[4]: b for key in without_pieces(rest, len(rest)) for b in index.get(key, ())}
-        yield from ((a, b) for b in found.values() if is_pair(a, b))
+                    for a in by_size.get(key, ()):
+                        found[a[4]] = a
+        for a in found.values():
+            if is_pair(a, b):
+                yield a, b
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[Posting]]:
@@ -304,7 +310,7 @@ def _by_pieces(rows: DataFrame) -> DataFrame:
                     rest = rest_of(word, place)
                     for size in (len(rest) - 1, len(rest), len(rest) + 1):
                         for piece in without_pieces(rest, size) if size >= 0 else ():
-                            keys.append(xxhash.xxh64_intdigest(repr((key, *piece)).encode()) - (1 << 63))
+                            keys.append(xxhash.xxh64_intdigest(repr((key, size, piece)).encode()) - (1 << 63))
                             at.append(k)
                 again = some.take(pa.array(at, pa.int64())).columns[1:]
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *again], some.schema.names)

@@ -4,6 +4,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from conftest_llm import ODD, rows_of
 
@@ -71,11 +72,25 @@ def test_parts_that_many_words_share(spark, monkeypatch):
     assert got(spelling.variants(frame(spark, counts))) == expected(counts)
 
 
-def test_index_within_a_part_loses_nothing(spark, monkeypatch):
-    monkeypatch.setattr(spelling, "FEW", 0)
-    monkeypatch.setattr(spelling, "PIECES", 3)
-    counts = random_counts(6, 300, "abcd")
-    assert got(spelling.variants(frame(spark, counts))) == expected(counts)
+@pytest.mark.parametrize("few, pieces", [(0, 8), (0, 3), (10**9, 8)])
+def test_pairs_within_a_part(few, pieces, monkeypatch):
+    """The index within a part finds what a look at all pairs does, and each pair once."""
+    monkeypatch.setattr(spelling, "FEW", few)
+    monkeypatch.setattr(spelling, "PIECES", pieces)
+    spelling.cuts.cache_clear()
+    words = random_counts(6, 400, "abcd") | {"a" * n: 2 for n in range(4, 12)}
+    ranks = np.arange(spelling.CELLS)
+    grams, parts = spelling.Grams(ranks, ranks), {}
+    for word in words:
+        last, (one, two), places = grams.of(word)
+        for at in places:
+            role = spelling.FIRST if at == one else spelling.SECOND if at == two else spelling.PREFIXED
+            parts.setdefault((0, word[: at + 2]), []).append((at, role, last, one, word, 1))
+            parts.setdefault((1, word[at:]), []).append((-1 - at, role, last, one, word, 1))
+    found = [tuple(sorted((a[4], b[4]))) for group in parts.values() for a, b in spelling.near_in(group)]
+    assert set(found) == {tuple(sorted((w, v))) for w in words for v in neighbours(w, "abcd") if v in words}
+    assert len(found) < 1.1 * len(set(found))
+    spelling.cuts.cache_clear()
 
 
 def test_pivots_are_the_lightest_that_do_not_overlap():
