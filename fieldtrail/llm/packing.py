@@ -10,9 +10,11 @@ takes as many pieces of one size as fit in one round.
 
 from __future__ import annotations
 
+import itertools
 import os
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +23,8 @@ from pyspark.sql import functions as F
 
 from .store import keep, release
 
-#: Words, and parts of words (which cost more to encode), whose ids a task remembers, about.
-WORDS, WORD_PARTS = 300_000, 600_000
+#: Words whose ids a Python process remembers, about.
+WORDS = 1_200_000
 #: Rows of one size that one task ranks, about.
 CELL_ROWS = 100_000
 #: Parts of one size, at most; with the sizes, this bounds the table of counts.
@@ -31,17 +33,26 @@ MOST_CELLS = 256
 PIECE, GAP, PLACED = 0, 1, 2
 
 
+def forget(memory: dict, most: int) -> None:
+    """Drop the older half of a memory that has grown too large."""
+    if len(memory) > most:
+        for key in list(itertools.islice(memory, len(memory) // 2)):
+            del memory[key]
+
+
 class Encoder:
     """Token ids of texts by a tokenizer that drops white space, so that words are encoded apart and remembered.
 
-    Words between ASCII white space are encoded many at once, with a mark between them. Words of Latin letters need no
-    normalisation but lower case if the tokenizer's only purpose for it is that and composing; ``plain`` says so. Of
-    those, letters and the punctuation after them are tokens apart, and each is remembered for itself.
+    Words between ASCII white space are encoded many at once, with a mark between them. ``plain`` says that the
+    tokenizer's normalisation of Latin letters is lower case and composing only, and that a token never has both letters
+    and the punctuation after them: then texts are lower-cased first, and punctuation after letters is a word of its own,
+    so that there are fewer words to remember.
     """
 
     MARK = "\x01"
     # An apostrophe may start a token together with letters.
-    TAIL = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+    SIGN, LATIN = rb"[!-&(-/:-@\[-`{-~]", rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]"
+    TAIL = re.compile(SIGN + rb"(?:(?<=[a-z]" + SIGN + rb")|(?<=" + LATIN + SIGN + rb"))")
 
     def __init__(self, definition: str, plain: bool = True) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -54,7 +65,6 @@ class Encoder:
             self.bare.normalizer = normalizers.Sequence([])
         (self.mark,) = self.full.encode(self.MARK, add_special_tokens=False).ids
         self.known: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {"": b""}
 
     def _encode(self, words: list[str], tokenizer) -> Iterator[bytes]:
         for i in range(0, len(words), 2000):
@@ -65,39 +75,48 @@ class Encoder:
                 yield flat[4 * start : 4 * mark]
                 start = mark + 1
 
-    def learn(self, words: set[bytes]) -> None:
+    def learn(self, words: Iterable[bytes]) -> None:
         """Encode words that are not known yet."""
-        split, other, new = [], [], set()
+        simple, other = [], []
         for word in words:
             text = word.decode()
             if self.MARK in text or "<|" in text:  # a text may spell out a special token, or the mark
                 ids = self.full.encode(text, add_special_tokens=False).ids
                 self.known[word] = np.array(ids, dtype="<u4").tobytes()
-            elif self.plain and (text.isascii() or max(text) <= "\xff"):
-                text = text.lower()
-                core = text.rstrip(self.TAIL)
-                parts = (core, text[len(core) :]) if core.isalpha() else (text, "")
-                new.update(parts)
-                split.append((word, parts))
+            elif self.plain and (word.isascii() or max(text) <= "\xff"):
+                simple.append((word, text.lower()))
             else:
                 other.append((word, text))
-        fresh = list(new.difference(self.parts))
-        self.parts.update(zip(fresh, self._encode(fresh, self.bare)))
-        for word, (core, tail) in split:
-            self.known[word] = self.parts[core] + self.parts[tail]
-        self.known.update(zip((w for w, _ in other), self._encode([t for _, t in other], self.full)))
+        for pairs, tokenizer in ((simple, self.bare), (other, self.full)):
+            self.known.update(zip((w for w, _ in pairs), self._encode([t for _, t in pairs], tokenizer)))
+
+    def split(self, text: str | None) -> list[bytes]:
+        whole = (text or "").encode()
+        if self.plain and b"<|" not in whole:
+            whole = self.TAIL.sub(rb" \g<0>", whole.lower())
+        return whole.split()
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        split = [(t or "").encode().split() for t in texts]
-        if len(self.known) > WORDS:
-            self.known.clear()
-        if len(self.parts) > WORD_PARTS:
-            self.parts = {"": b""}
-        if new := set().union(*split).difference(self.known):
-            self.learn(new)
-        for words in split:
-            yield b"".join(map(self.known.__getitem__, words))
+        forget(self.known, WORDS)
+        split = [self.split(t) for t in texts]
+        found = [list(map(self.known.get, words)) for words in split]
+        new = {w for words, ids in zip(split, found) if None in ids for w, known in zip(words, ids) if known is None}
+        self.learn(new)
+        for words, ids in zip(split, found):
+            yield b"".join([self.known[w] if x is None else x for w, x in zip(words, ids)] if None in ids else ids)
+
+
+#: The encoder of this process. Spark's Python processes run many tasks, and the words of one are met by the next.
+_ENCODERS: dict[int, Encoder] = {}
+
+
+def encoder_of(definition: str) -> Encoder:
+    key = zlib.crc32(definition.encode())
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = Encoder(definition)
+    return _ENCODERS[key]
 
 
 def _portions(texts: pa.Array, chars: int = 1_000_000) -> Iterator[list[str | None]]:
@@ -120,7 +139,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, with_ids: bool
     sent = docs.sparkSession.sparkContext.broadcast(tokenizer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value)
+        encoder = encoder_of(sent.value)
         step = 4 * capacity
         for batch in batches:
             rows: list[list] = [[], [], [], [], [], []]
@@ -134,7 +153,6 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, with_ids: bool
                         column.append(value)
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(list(map(pa.array, rows, kinds)), names)
-        del encoder
         release()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
