@@ -1,10 +1,12 @@
 """Approximate nearest neighbours: a graph by NN-descent, searched greedily.
 
-Equal vectors become one node first. A first graph comes from lists around sampled pivots. Then each round joins every
-node's neighbours with their own neighbours, and proposes the neighbours of a common node to one another; the nearest
-stay. Queries start at their own node and walk: the nearest nodes not visited yet are joined with the graph, until none
-of the nearest is left to visit. All of it uses the original numbers, in 4 bytes if that loses nothing, as rounded ones
-tell near-copies apart only by chance.
+Equal vectors become one node first. A first graph comes from lists around sampled pivots. Then rounds of NN-descent: each
+node brings its neighbours, and the nodes whose neighbour it is, together, as neighbours of a neighbour, and each of them
+keeps the nearest it has met; pairs that have met before are left out. Rounds end when few edges change. Queries start at
+their own node and at the nearest pivots and walk along edges in both directions: the nearest nodes not visited yet are
+joined with the graph, until none of the nearest is left to visit. Edges are pairs of ids; vectors are joined where
+distances are needed. All of it uses the original numbers, in 4 bytes if that loses nothing, as rounded ones tell
+near-copies apart only by chance.
 """
 
 from __future__ import annotations
@@ -19,11 +21,15 @@ from pyspark.sql import functions as F
 
 from .store import discard, keep
 
-#: Neighbours of a node; rounds of NN-descent; nearest nodes that a query keeps on its walk, and steps of it at most.
-NEIGHBOURS, ROUNDS, BEAM, STEPS = 20, 2, 256, 20
+#: Neighbours of a node, and nodes whose neighbour it is that it brings together with them, at most.
+NEIGHBOURS, REVERSE = 20, 20
+#: Rounds end when a smaller share of edges is new, or after so many.
+CHANGED, ROUNDS = 0.02, 12
+#: Nearest nodes that a query keeps on its walk; steps of it, at most; pivots where it starts.
+BEAM, STEPS, STARTS = 256, 40, 8
 #: Pivots at most (a bounded sample), nodes for each of them at best, lists a node is in, and nodes of a list that one
-#: task compares. A longer list is dealt into several.
-PIVOTS, PER_PIVOT, LISTS, LIST_ROWS = 512, 128, 8, 1024
+#: task compares. A longer list is dealt into several, each list in a way of its own, so that its parts meet elsewhere.
+PIVOTS, PER_PIVOT, LISTS, LIST_ROWS = 2048, 128, 8, 1024
 #: Of the neighbours in one list, or of those proposed by one node, how many go on.
 FROM_LIST, PROPOSED = 12, 5
 
@@ -31,8 +37,8 @@ FROM_LIST, PROPOSED = 12, 5
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """vec_id and vector_ (doubles) of the rows that take part, each once.
 
-    Null ids, null, empty or zero vectors, and vectors with null or non-finite components take no part; of vectors with
-    differing lengths, those of the most frequent length do (the longer one, if two are).
+    Null ids, null, empty or zero vectors, and vectors with null or non-finite components take no part. Vectors of
+    differing lengths are compared as if the shorter ones went on with zeros.
     """
     v = F.col(vector_col).cast("array<double>")
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), v.alias("vector_")).where(
@@ -40,9 +46,9 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     )
     finite = F.forall("vector_", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(finite & F.exists("vector_", lambda x: x != 0))
-    sizes = rows.groupBy(F.size("vector_").alias("n")).agg(F.count("*").alias("rows"))
-    best = sizes.orderBy(F.desc("rows"), F.desc("n")).first()
-    return rows.where(F.size("vector_") == (best["n"] if best else 0)).dropDuplicates(["vec_id", "vector_"])
+    longest = rows.agg(F.max(F.size("vector_"))).first()[0] or 0
+    zeros = F.array_repeat(F.lit(0.0), F.lit(longest) - F.size("vector_"))
+    return rows.withColumn("vector_", F.concat("vector_", zeros)).dropDuplicates(["vec_id", "vector_"])
 
 
 def packed(vectors: np.ndarray, wide: bool) -> list[bytes]:
@@ -61,13 +67,6 @@ def unpacked(column: pa.Array) -> np.ndarray:
     return raw[:, 4:].copy().view(f"<f{raw[0, 0]}").astype(np.float64)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches of few rows: with neighbours and their vectors, rows are large."""
-    for batch in batches:
-        for start in range(0, len(batch), 1000):
-            yield batch.slice(start, 1000)
-
-
 def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Squared distances of all of ``a`` and all of ``b``, in each block of the leading dimensions."""
     aa, bb = (a * a).sum(-1), (b * b).sum(-1)
@@ -103,26 +102,34 @@ def _nearest(pairs: DataFrame, count: int) -> DataFrame:
     return once.withColumn("rank_", F.row_number().over(order)).where(F.col("rank_") <= count).drop("rank_")
 
 
-def _with_vectors(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The graph: node_, its own small_, near_ (list of far_, other_, small_)."""
-    other = nodes.select(F.col("node_").alias("other_"), F.col("small_").alias("its_"))
-    lists = edges.join(other, "other_").groupBy("node_").agg(F.collect_list(F.struct("far_", "other_", "its_")).alias("near_"))
-    return nodes.select("node_", "small_").join(lists, "node_")
+class Pivots:
+    """A bounded sample of nodes and their vectors, by the hash of their ids."""
+
+    def __init__(self, nodes: DataFrame, count: int) -> None:
+        wanted = max(1, min(PIVOTS, count // PER_PIVOT))
+        chosen = nodes.orderBy(F.xxhash64("node_")).limit(wanted).select("node_", "small_").collect()
+        self.ids = np.array([r["node_"] for r in chosen], dtype=np.int64)
+        self.vectors = unpacked(pa.array([bytes(r["small_"]) for r in chosen], pa.binary()))
 
+    def nearest(self, vectors: np.ndarray, most: int) -> np.ndarray:
+        """Numbers of the nearest pivots of each vector."""
+        found = []
+        for k in range(0, len(vectors), 1000):  # a bounded table of distances
+            far = _squared(vectors[k : k + 1000], self.vectors)
+            found.append(np.argsort(far, axis=1)[:, :most])
+        return np.concatenate(found) if found else np.zeros((0, most), dtype=np.int64)
 
-def first_edges(nodes: DataFrame, count: int) -> DataFrame:
+
+def first_edges(nodes: DataFrame, pivots: Pivots) -> DataFrame:
     """node_, other_, far_ from comparing all nodes of a list; a list has the nodes nearest to a pivot."""
-    spark = nodes.sparkSession
-    wanted = max(1, min(PIVOTS, count // PER_PIVOT))
-    chosen = nodes.orderBy(F.xxhash64("node_")).limit(wanted).select("small_").collect()
-    pivots = spark.sparkContext.broadcast(unpacked(pa.array([bytes(r["small_"]) for r in chosen], pa.binary())))
-    lists = min(LISTS, wanted)
+    sent = nodes.sparkSession.sparkContext.broadcast(pivots)
+    lists = min(LISTS, len(pivots.ids))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            near = np.argsort(_squared(unpacked(batch.column(1)), pivots.value), axis=1)[:, :lists]
+            near = sent.value.nearest(unpacked(batch.column(1)), lists)
             at = np.repeat(np.arange(len(batch)), lists)
             yield _batch("list_ node_ small_", pa.array(near.ravel().astype(np.int32)), *(c.take(pa.array(at)) for c in batch.columns))
 
@@ -131,7 +138,7 @@ def first_edges(nodes: DataFrame, count: int) -> DataFrame:
     sizes = {r["list_"]: r["n"] for r in dealt.groupBy("list_").agg(F.count("*").alias("n")).collect()}
     sizes[-1] = 1  # a map needs an entry
     parts = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, -(-n // LIST_ROWS))))
-    part = F.pmod(F.xxhash64("node_"), parts[F.col("list_")]).cast("int")
+    part = F.pmod(F.xxhash64("list_", "node_"), parts[F.col("list_")]).cast("int")
 
     def compare(rows: pa.Table) -> pa.Table:
         ids, vectors = rows.column("node_").to_numpy(), unpacked(rows.column("small_").combine_chunks())
@@ -151,87 +158,106 @@ def first_edges(nodes: DataFrame, count: int) -> DataFrame:
     return _nearest(grouped.applyInArrow(compare, "node_ long, other_ long, far_ float"), NEIGHBOURS)
 
 
-def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of a column of near_: row of each entry, far_, other_, vectors."""
-    sizes = np.diff(column.offsets.to_numpy())
-    flat = column.flatten()
-    far, other, its = (flat.field(i) for i in range(3))
-    return np.repeat(np.arange(len(column)), sizes), far.to_numpy(), other.to_numpy(), unpacked(its)
-
-
-def _visit(pairs: DataFrame, graph: DataFrame) -> DataFrame:
-    """node_, other_, far_: for rows of node_, small_, bound_, at_, the neighbours of at_ that are nearer than bound_."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
-            row, _, other, vectors = _lists(batch.column(3))
-            own, ids, bound = unpacked(batch.column(1)), batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            far = ((own[row] - vectors) ** 2).sum(axis=1)
-            good = (far < bound[row]) & (other != ids[row])
-            yield _batch("node_ other_ far_", pa.array(ids[row[good]]), pa.array(other[good]), pa.array(far[good].astype(np.float32)))
-
-    found = pairs.join(graph.select(F.col("node_").alias("at_"), "near_"), "at_")
-    return found.select("node_", "small_", "bound_", "near_").mapInArrow(run, "node_ long, other_ long, far_ float")
+def both_ways(edges: DataFrame) -> DataFrame:
+    """node_, other_, new_: neighbours of each node, and some of the nodes whose neighbour it is, chosen by hash."""
+    back = edges.select(F.col("other_").alias("node_"), F.col("node_").alias("other_"), "new_")
+    order = Window.partitionBy("node_").orderBy(F.desc("new_"), F.xxhash64("other_", "node_"))
+    some = back.withColumn("rank_", F.row_number().over(order)).where(F.col("rank_") <= REVERSE).drop("rank_")
+    ways = edges.select("node_", "other_", "new_").unionByName(some)
+    return ways.groupBy("node_", "other_").agg(F.max("new_").alias("new_"))
 
 
-def _propose(graph: DataFrame) -> DataFrame:
-    """node_, other_, far_: what each node's neighbours are to one another, the nearest of them."""
+def proposals(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node_, other_, far_: what the nodes that meet at a node are to one another, the nearest of them, if one of the two
+    has come there since the last round."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _slices(batches):
-            row, _, other, vectors = _lists(batch.column(0))
-            ends = np.searchsorted(row, np.arange(len(batch) + 1))
-            out: list[tuple] = []
-            for a, b in zip(ends, ends[1:]):
-                if b - a < 2:
-                    continue
-                far = _squared(vectors[a:b], vectors[a:b])
-                np.fill_diagonal(far, np.inf)
-                k = min(PROPOSED, b - a - 1)
-                near = np.argpartition(far, k - 1, axis=1)[:, :k]
-                out.append((np.repeat(other[a:b], k), other[a:b][near].ravel(), np.take_along_axis(far, near, 1).ravel()))
-            columns = [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
-            yield _batch("node_ other_ far_", *(pa.array(c) for c in columns[:2]), pa.array(columns[2].astype(np.float32)))
-
-    return graph.select("near_").mapInArrow(run, "node_ long, other_ long, far_ float")
-
-
-def neighbour_graph(nodes: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """The graph of ``nodes`` (kept), after some rounds of NN-descent."""
-    edges = keep(first_edges(nodes, nodes.count()))
+        for batch in batches:
+            for start in range(0, len(batch), 500):  # with vectors, rows are large
+                met = batch.column(0).slice(start, 500)
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in met])])
+                flat = met.flatten()
+                ids, new = flat.field(0).to_numpy(), flat.field(1).to_numpy(zero_copy_only=False)
+                vectors = unpacked(flat.field(2))
+                out: list[tuple] = [([], [], [])]
+                for a, b in zip(ends, ends[1:]):
+                    far = _squared(vectors[a:b], vectors[a:b])
+                    far[~(new[a:b, None] | new[None, a:b])] = np.inf
+                    np.fill_diagonal(far, np.inf)
+                    k = min(PROPOSED, b - a - 1)
+                    near = np.argpartition(far, k - 1, axis=1)[:, :k]
+                    chosen = np.take_along_axis(far, near, 1).ravel()
+                    good = np.isfinite(chosen)
+                    out.append((np.repeat(ids[a:b], k)[good], ids[a:b][near].ravel()[good], chosen[good]))
+                columns = [np.concatenate(c) for c in zip(*out)]
+                kinds = (np.int64, np.int64, np.float32)
+                yield _batch("node_ other_ far_", *(pa.array(c.astype(t)) for c, t in zip(columns, kinds)))
+
+    others = nodes.select(F.col("node_").alias("other_"), "small_")
+    met = both_ways(edges).join(others, "other_").groupBy("node_")
+    met = met.agg(F.collect_list(F.struct("other_", "new_", "small_")).alias("met_"))
+    met = met.where((F.size("met_") > 1) & F.exists("met_", lambda x: x["new_"]))
+    return met.select("met_").mapInArrow(run, "node_ long, other_ long, far_ float")
+
+
+def neighbour_graph(nodes: DataFrame, pivots: Pivots, rounds: int = ROUNDS) -> DataFrame:
+    """node_, other_: edges of both directions after NN-descent over ``nodes`` (kept)."""
+    edges = keep(first_edges(nodes, pivots).withColumn("new_", F.lit(True)))
+    order = Window.partitionBy("node_").orderBy("far_", "other_")
     for _ in range(rounds):
-        graph = keep(_with_vectors(edges, nodes))
-        # A list that is not full yet takes anything.
-        full = F.when(F.count("*") >= NEIGHBOURS, F.max("far_")).otherwise(F.lit(float("inf"))).cast("float")
-        bound = edges.groupBy("node_").agg(full.alias("bound_"))
-        pairs = edges.select("node_", F.col("other_").alias("at_")).join(graph.select("node_", "small_").join(bound, "node_"), "node_")
-        better = keep(_nearest(edges.unionByName(_visit(pairs, graph)).unionByName(_propose(graph)), NEIGHBOURS))
-        discard(edges, graph)
+        met = edges.withColumn("new_", F.lit(False)).unionByName(proposals(edges, nodes).withColumn("new_", F.lit(True)))
+        once = met.groupBy("node_", "other_").agg(F.min("far_").alias("far_"), F.min("new_").alias("new_"))
+        ranked = once.withColumn("rank_", F.row_number().over(order)).where(F.col("rank_") <= NEIGHBOURS).drop("rank_")
+        better = keep(ranked)
+        discard(edges)
         edges = better
-    return keep(_with_vectors(edges, nodes))
+        count, new = edges.agg(F.count("*"), F.count_if("new_")).first()
+        if new < CHANGED * count or not count:
+            break
+    return keep(both_ways(edges).select("node_", "other_"))
 
 
-def walk(graph: DataFrame, starts: DataFrame, beam: int = BEAM, steps: int = STEPS) -> DataFrame:
+def walk(graph: DataFrame, nodes: DataFrame, starts: DataFrame, pivots: Pivots, beam: int = BEAM, steps: int = STEPS) -> DataFrame:
     """node_, other_, far_: the nearest nodes that greedy search finds for each node_ of ``starts``."""
-    own = keep(graph.join(starts, "node_", "left_semi"))
-    near = own.select("node_", F.explode("near_").alias("n_")).select("node_", "n_.other_", "n_.far_")
-    state = keep(near.withColumn("seen_", F.lit(False)))
+    spark = nodes.sparkSession
+    sent = spark.sparkContext.broadcast(pivots)
+    own = keep(nodes.select("node_", "small_").join(starts, "node_", "left_semi"))
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = sent.value.nearest(unpacked(batch.column(1)), STARTS) if len(batch) else np.zeros((0, 1), dtype=np.int64)
+            ids = batch.column(0).to_numpy()
+            yield _batch("node_ other_", pa.array(np.repeat(ids, near.shape[1])), pa.array(sent.value.ids[near].ravel()))
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            far = ((unpacked(batch.column(2)) - unpacked(batch.column(3))) ** 2).sum(axis=1)
+            yield _batch("node_ other_ far_", *batch.columns[:2], pa.array(far[: len(batch)].astype(np.float32)))
+
+    def measured(pairs: DataFrame) -> DataFrame:
+        """``pairs`` with their distances, not visited yet."""
+        b = nodes.select(F.col("node_").alias("other_"), F.col("small_").alias("its_"))
+        both = pairs.where("node_ <> other_").join(b, "other_").join(own, "node_").select("node_", "other_", "small_", "its_")
+        return both.mapInArrow(measure, "node_ long, other_ long, far_ float").withColumn("seen_", F.lit(False))
+
+    at_home = graph.join(own.select("node_"), "node_")
+    first = own.mapInArrow(begin, "node_ long, other_ long").unionByName(at_home).distinct()
+    # All that was ever measured for a query stays, so that nothing is measured twice.
+    known = keep(measured(first))
     order = Window.partitionBy("node_").orderBy("far_", "other_")
     for _ in range(steps):
-        todo = state.where("not seen_")
+        top = known.withColumn("rank_", F.row_number().over(order)).where(F.col("rank_") <= beam)
+        todo = keep(top.where("not seen_").select("node_", F.col("other_").alias("at_")))
         if todo.isEmpty():
             break
-        full = F.when(F.count("*") >= beam, F.max("far_")).otherwise(F.lit(float("inf"))).cast("float")
-        bound = state.groupBy("node_").agg(full.alias("bound_"))
-        pairs = todo.select("node_", F.col("other_").alias("at_")).join(own.select("node_", "small_").join(bound, "node_"), "node_")
-        found = _visit(pairs, graph).withColumn("seen_", F.lit(False))
-        both = state.withColumn("seen_", F.lit(True)).unionByName(found)
-        once = both.groupBy("node_", "other_").agg(F.min("far_").alias("far_"), F.max("seen_").alias("seen_"))
-        ranked = once.withColumn("rank_", F.row_number().over(order)).where(F.col("rank_") <= beam).drop("rank_")
-        now = keep(ranked)
-        discard(state)
-        state = now
-    return state.select("node_", "other_", "far_")
+        near = todo.join(graph.withColumnRenamed("node_", "at_"), "at_").select("node_", "other_").distinct()
+        fresh = measured(near.join(known.select("node_", "other_"), ["node_", "other_"], "left_anti"))
+        done = todo.select("node_", F.col("at_").alias("other_"), F.lit(True).alias("done_"))
+        visited = known.join(done, ["node_", "other_"], "left").withColumn("seen_", F.col("seen_") | F.coalesce("done_", F.lit(False)))
+        now = keep(visited.drop("done_").unionByName(fresh))
+        discard(known, todo)
+        known = now
+    return known.select("node_", "other_", "far_")
 
 
 def nearest(
@@ -254,10 +280,13 @@ def nearest(
         raise ValueError(f"k must be below {NEIGHBOURS}")
     rows = keep(usable(vectors, id_col, vector_col))
     nodes = keep(nodes_of(rows))
-    graph = neighbour_graph(nodes, rounds)
+    pivots = Pivots(nodes, nodes.count())
+    if not len(pivots.ids):
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    graph = neighbour_graph(nodes, pivots, rounds)
     asked = rows.where(is_query if is_query is not None else F.lit(True))
     queries = keep(asked.join(nodes.select("vector_", "node_"), "vector_").select(F.col("vec_id").alias("query_id"), "node_"))
-    found = walk(graph, queries.select("node_").distinct(), beam)
+    found = walk(graph, nodes, queries.select("node_").distinct(), pivots, beam)
     order = Window.partitionBy("node_").orderBy("far_", "other_")
     # Distances of the walk are rounded to 4 bytes in the end: several times k go into the exact comparison.
     few = found.withColumn("rank_", F.row_number().over(order)).where(F.col("rank_") <= 5 * k + 14)

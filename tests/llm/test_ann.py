@@ -45,6 +45,17 @@ def test_recall_and_exact_scores(spark):
         assert all(s == pytest.approx(math.sqrt(((vectors[q] - vectors[j]) ** 2).sum()), abs=1e-12) for s, j in answers)
 
 
+@pytest.mark.parametrize("count, list_rows", [(2000, 1024), (5000, 60)])
+def test_recall_on_random_directions(spark, count, list_rows, monkeypatch):
+    """Unit vectors without any clusters; in the second case every list of the first graph is dealt into parts."""
+    monkeypatch.setattr("fieldtrail.llm.ann.LIST_ROWS", list_rows)
+    vectors = np.random.default_rng(13).normal(size=(count, 64))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    rows = list(enumerate(vectors.tolist()))
+    got, want = found(nearest(table(spark, rows), F.col("vec_id") % 100 == 0)), brute(rows)
+    assert np.mean([len({j for _, j in got[q]} & {j for _, j in want[q]}) / 10 for q in want]) >= 0.95
+
+
 def test_near_copies_are_told_apart(spark):
     rng = np.random.default_rng(12)
     middle = rng.normal(size=16)
@@ -65,9 +76,11 @@ def test_equal_vectors_and_ties(spark):
 def test_rows_that_take_no_part(spark):
     rows = [
         (0, [1.0, 0.0]), (100, [1.0, 1.0]), (1, None), (2, [0.0, 0.0]), (200, [0.0, 0.0]), (3, [None, 1.0]),
-        (4, [math.nan, 1.0]), (5, [math.inf, 1.0]), (6, [1.0]), (7, []), (None, [1.0, 1.0]), (8, [3.0, 1.0]), (8, [3.0, 1.0]),
+        (4, [math.nan, 1.0]), (5, [math.inf, 1.0]), (7, []), (None, [1.0, 1.0]), (8, [3.0, 1.0]), (8, [3.0, 1.0]),
     ]
     got = found(nearest(table(spark, rows), F.col("vec_id") % 100 == 0))
     assert {q: [j for _, j in a] for q, a in got.items()} == {0: [100, 8], 100: [0, 8]}
+    got = found(nearest(table(spark, [(0, [3.0]), (1, [3.0, 1.0]), (2, [1.0, 0.0])]), F.col("vec_id") == 0))
+    assert got == {0: [(1.0, 1), (2.0, 2)]}  # a shorter vector goes on with zeros
     assert rows_of(nearest(table(spark, []))) == []
     assert rows_of(nearest(table(spark, [(0, [1.0])]))) == []
