@@ -98,13 +98,15 @@ def held_out(id_col: str = "doc_id"):
 
 
 def labelled_sample(docs: DataFrame, most: int = FIT_ROWS) -> DataFrame:
-    """lang and bits_ (presences, packed) of up to ``most`` rows, as many for each language, chosen by hash."""
+    """lang and bits_ (presences, packed) of up to ``most`` rows, as many for each language, chosen by hash; with more
+    languages than ``most``, of as many languages."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).select("doc_id", "lang")
-    each = max(20, most // max(1, known.select("lang").distinct().count()))
+    each = max(1, most // max(1, known.select("lang").distinct().count()))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "lang"), "doc_id")
     chosen = known.withColumn("rank_", F.row_number().over(order)).where(F.col("rank_") <= each)
     # Ids and languages of the bounded sample only.
-    ids = F.broadcast(chosen.select("doc_id", "lang").dropDuplicates(["doc_id"]))
+    few = chosen.orderBy("rank_", F.xxhash64("lang"), "lang").limit(most)
+    ids = F.broadcast(few.select("doc_id", "lang").dropDuplicates(["doc_id"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -14,7 +14,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import SPACE, keep
+from .store import SPACE, keep, some_of_each
 
 # Names that secrets are assigned to, and words of paths where secrets are examples.
 SPEAKING = "token|secret|passw(?:or)?d|passwd|pwd|api[_-]?key|access[_-]?key|auth|credential|private[_-]?key"
@@ -174,9 +174,8 @@ def scan(docs: DataFrame, labels: DataFrame | None = None, path_col: str = "sour
     else:
         judged = ready.join(labels.select("doc_id", "word_no", "candidate", "label"), ["doc_id", "word_no", "candidate"])
     learn = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 != 0, F.lit(False))
-    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id", "word_no", "candidate"), "doc_id", "word_no")
-    sample = judged.where(learn & F.col("label").isin(0, 1)).withColumn("rank_", F.row_number().over(order))
-    sample = keep(sample.where(F.col("rank_") <= most).select("features_", F.col("label").cast("double").alias("label")))
+    sample = some_of_each(judged.where(learn & F.col("label").isin(0, 1)), "label", ["doc_id", "word_no", "candidate"], most)
+    sample = keep(sample.select("features_", F.col("label").cast("double").alias("label")))
     known = {r["label"] for r in sample.select("label").distinct().collect()}
     out = ["doc_id", "word_no", "candidate"]
     if len(known) < 2:

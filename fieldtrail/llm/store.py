@@ -8,7 +8,7 @@ import gc
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: The white space that words, lines and equality of texts mean here.
@@ -53,3 +53,20 @@ def release() -> None:
 def words(text):
     """How many runs of other than white space a text column has; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(f"[^{SPACE}]+")), F.lit(0)).cast("long")
+
+
+def some_of_each(rows: DataFrame, group: str, keys: list[str], most: int) -> DataFrame:
+    """Up to ``most`` rows of each value of ``group``, the first by a hash of ``keys`` (then by ``keys``).
+
+    Hashes are counted in 4,096 bands first, so that only rows up to the band in which a group is complete are ranked.
+    """
+    hashed = rows.withColumn("hash_", F.xxhash64(*keys))
+    # Bands in the order of the hash: its upper twelve bits, as a signed number.
+    hashed = hashed.withColumn("band_", F.shiftright("hash_", 52))
+    counts = hashed.groupBy(group, "band_").agg(F.count("*").alias("n_"))
+    before = F.sum("n_").over(Window.partitionBy(group).orderBy("band_")) - F.col("n_")
+    last = counts.withColumn("before_", before).where(F.col("before_") < most).groupBy(group).agg(F.max("band_").alias("last_"))
+    near = hashed.join(last, group).where("band_ <= last_")
+    order = Window.partitionBy(group).orderBy("hash_", *keys)
+    ranked = near.withColumn("rank_", F.row_number().over(order)).where(F.col("rank_") <= most)
+    return ranked.select(*rows.columns)

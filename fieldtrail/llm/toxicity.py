@@ -17,12 +17,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .simhash import shingle_hashes
-from .store import keep, release
+from .store import keep, release, some_of_each
 
 #: Labelled documents of each label that the model is learnt from, at most; chosen by hash. This bounds fitting only.
 FIT_ROWS = 15_000
@@ -131,8 +131,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) ->
         .agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most_"))
         .where("toxic = most_")
     )
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("rank_", F.row_number().over(order)).where(F.col("rank_") <= most)
+    chosen = some_of_each(known, "toxic", ["doc_id"], most)
     # At most 2 * most rows of an id and a label.
     return docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id")
 

@@ -83,3 +83,18 @@ def test_odd_rows(odd_docs, no_docs, corpus, spark):
     odd_labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (4, None), (8, 1), (9, 0), (7, 0)], "doc_id long, toxic int")
     assert len(rows_of(toxicity.toxicity(odd_docs, odd_labels))) == odd_docs.count()
     assert rows_of(toxicity.toxicity(no_docs, labels)) == []
+
+
+@pytest.mark.parametrize("most", [1, 7, 40, 10_000])
+def test_a_sample_has_the_first_rows_of_each_value(spark, most):
+    from pyspark.sql import functions as F
+
+    from fieldtrail.llm.store import some_of_each
+
+    rows = spark.range(3000).select(F.col("id").alias("doc_id"), (F.col("id") % 50 == 0).cast("int").alias("toxic"))
+    got = sorted((r.toxic, r.doc_id) for r in some_of_each(rows, "toxic", ["doc_id"], most).collect())
+    want = []
+    for label in (0, 1):
+        ordered = rows.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
+        want += [(label, r.doc_id) for r in ordered.collect()]
+    assert got == sorted(want)
