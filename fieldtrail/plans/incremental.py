@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldtrail.config import Config
 from fieldtrail.operators import daily, history
 from fieldtrail.plans.model import Tracker
-from fieldtrail.sources.tables import drop_weeks, read_written, stored_weeks, write_table, write_weeks
+from fieldtrail.sources.generations import Commit, Store, Table
 
 SAFE_START = date(2010, 1, 1)
 
@@ -27,32 +27,20 @@ def week_cut(weeks: list[date], cfg: Config) -> date:
     return monday(weeks[-1] if weeks else SAFE_START) - timedelta(weeks=cfg.lookback_weeks)
 
 
-def seed_rows(changes: DataFrame, cut: date, cfg: Config) -> DataFrame:
-    """The state of each issue just before ``cut`` in the form of one change row.
+def state_rows(changes: DataFrame, cfg: Config) -> DataFrame:
+    """The state of each issue after ``changes``, in the form of one change row.
 
-    Per column the last change before the cut: an aggregate that combines before its
-    shuffle. Ids and null markers stay as stored, so filling goes on as if never cut.
+    Per column the last change: an aggregate that combines before its shuffle. Ids and null markers stay as stored, so
+    filling goes on as if never cut. A state is a change row itself, so later changes can be added to it.
     """
     columns = ["status", "sprint", "sprint_name", *history.pivot_columns(cfg, daily=True)]
     day = F.col("valid_starting_on")
-    return (
-        changes.filter(F.col("valid_starting_at_week") < F.lit(cut))
-        .groupBy(*history.KEYS)
-        .agg(
-            F.max(day).alias("valid_starting_on"),
-            *[F.max_by(c, F.when(F.col(c).isNotNull(), day)).alias(c) for c in columns],
-        )
+    return changes.groupBy(*history.KEYS).agg(
+        F.max(day).alias("valid_starting_on"),
+        *[F.max_by(c, F.when(F.col(c).isNotNull(), day)).alias(c) for c in columns],
     )
 
 
-def changes_since(changes: DataFrame, cut: date | None, cfg: Config) -> DataFrame:
-    """The stored daily changes from ``cut`` on, and one row per issue for all before it."""
-    if cut is None:
-        return changes
-    recent = changes.filter(F.col("valid_starting_at_week") >= F.lit(cut))
-    return seed_rows(changes, cut, cfg).unionByName(recent.drop("valid_starting_at_week", "issue_day_id"))
-
-
 def earliest_difference(before: DataFrame, now: DataFrame) -> date | None:
     """The earliest day that an issue has in one of two calendars only, as after a late resolution or a deletion."""
     old = before.withColumnsRenamed({"first": "old_first", "last": "old_last"})
@@ -76,31 +64,47 @@ def daily_from(tracker: Tracker, intervals: DataFrame, cut: date | None) -> Data
     return daily.explode_days(daily.labelled_intervals(intervals, tracker.staged, tracker.cfg))
 
 
-def replace_weeks(df: DataFrame, path: str, week: str, cut: date | None) -> None:
-    """Replace the weeks of a table from ``cut`` on (None: all of them), those that have no rows any more included."""
-    if cut is None:
-        write_weeks(df, path, week)
-        return
-    before = [w for w in stored_weeks(df.sparkSession, path, week) if w >= cut]
-    recent = f"{path}_recent"
-    write_weeks(df, recent, week)
-    now = stored_weeks(df.sparkSession, recent, week)
-    write_weeks(read_written(df, recent), path, week, whole=False)
-    drop_weeks(df.sparkSession, path, week, set(before) - set(now))
+DAILY, CHANGES, STATE, CALENDAR = "daily_issue_field_history", "daily_changes", "issue_state", "issue_calendar"
+
+
+def read_daily(spark: SparkSession, path: str) -> DataFrame | None:
+    """The daily history that was last committed below ``path``; None before the first run."""
+    store = Store(spark, path)
+    table = store.current().tables.get(DAILY)
+    return None if table is None else store.read(table, DAILY)
+
+
+def state_at(store: Store, before: Commit, cut: date, cfg: Config) -> Table:
+    """The state of all issues just before ``cut``: the stored one with the stored changes that have come between.
+
+    Only if the cut has moved back, as with a longer lookback, all earlier changes are read again.
+    """
+    at = date.fromisoformat(before.notes["state_cut"]) if STATE in before.tables else None
+    changes = before.tables[CHANGES]
+    if at == cut:
+        return before.tables[STATE]
+    if at is None or at > cut:
+        rows = store.read(changes, CHANGES, until=cut).drop("valid_starting_at_week", "issue_day_id")
+    else:
+        rows = store.read(changes, CHANGES, since=at, until=cut).drop("valid_starting_at_week", "issue_day_id")
+        rows = store.read(before.tables[STATE], STATE).unionByName(rows)
+    return store.write(state_rows(rows, cfg), STATE)
 
 
 def update_daily(tracker: Tracker, path: str) -> DataFrame:
     """Bring the stored daily history up to date and return it.
 
-    The first run builds everything. Later runs read the change logs of the last weeks and replace the stored weeks
-    from the cut on. When the calendar of an issue has changed further back (it was resolved, reopened, deleted or
-    added without a recent change), the cut goes back to there. A change that arrives in the logs later than the
-    lookback needs a full build.
+    The first run builds everything. Later runs read the change logs of the last weeks, the state of each issue before
+    them (one row per issue) and no older changes, and replace the weeks from the cut on. When the calendar of an issue
+    has changed further back (it was resolved, reopened, deleted or added without a recent change), the run goes back to
+    there and reads the stored changes before that week once. A change that arrives in the logs later than the lookback
+    needs a full build.
+
+    All tables change with one commit; a run that fails leaves what was there before (see ``sources.generations``).
     """
-    spark, cfg = tracker.spark, tracker.cfg
-    path = path.rstrip("/")
-    changes_path, daily_path = f"{path}/_shared/daily_changes", f"{path}/daily_issue_field_history"
-    weeks = stored_weeks(spark, daily_path, "date_week")
+    store, cfg = Store(tracker.spark, path), tracker.cfg
+    before = store.current()
+    weeks = before.weeks(DAILY)
     cut = week_cut(weeks, cfg) if weeks else None
     since = F.lit(True) if cut is None else F.col("updated_at") >= F.lit(cut).cast("timestamp")
     s = tracker.staged
@@ -111,21 +115,32 @@ def update_daily(tracker: Tracker, path: str) -> DataFrame:
         tracker.sprint,
         cfg,
     )
-    replace_weeks(fresh, changes_path, "valid_starting_at_week", cut)
-    changes = read_written(fresh, changes_path)
+    changes = store.write(fresh, CHANGES, "valid_starting_at_week")
+    tables, notes = {}, {}
+    if cut is not None:
+        tables[STATE], notes["state_cut"] = state_at(store, before, cut, cfg), cut.isoformat()
+        changes = Table(changes.schema, changes.week, before.tables[CHANGES].before(cut) | changes.folders)
+    tables[CHANGES] = changes
 
     def intervals(start: date | None) -> DataFrame:
-        filled = history.fill_daily(changes_since(changes, start, cfg), cfg)
-        return daily.day_intervals(filled, s["issue"], cfg)
-
-    # Two small tables, one row per issue, take turns: the last run's stays until this one has succeeded.
-    now = daily.calendar_ends(intervals(cut))
-    write_table(now, f"{path}/_shared/calendar_now")
-    now = read_written(now, f"{path}/_shared/calendar_now")
+        rows = store.read(changes, CHANGES, since=start).drop("valid_starting_at_week", "issue_day_id")
+        if start is not None:
+            if start == cut:
+                state = store.read(tables[STATE], STATE)
+            else:
+                state = state_rows(store.read(changes, CHANGES, until=start), cfg)
+            rows = state.unionByName(rows)
+        return daily.day_intervals(history.fill_daily(rows, cfg), s["issue"], cfg)
+
+    tables[CALENDAR] = store.write(daily.calendar_ends(intervals(cut)), CALENDAR)
+    start = cut
     if cut is not None:
-        changed = earliest_difference(read_written(now, f"{path}/_shared/calendar"), now)
-        cut = min(cut, monday(changed)) if changed else cut
-    result = daily_from(tracker, intervals(cut), cut)
-    replace_weeks(result, daily_path, "date_week", cut)
-    write_table(now, f"{path}/_shared/calendar")
-    return read_written(result, daily_path)
+        now = store.read(tables[CALENDAR], CALENDAR)
+        changed = earliest_difference(store.read(before.tables[CALENDAR], CALENDAR), now)
+        start = min(cut, monday(changed)) if changed else cut
+    made = store.write(daily_from(tracker, intervals(start), start), DAILY, "date_week")
+    older = before.tables[DAILY].before(start) if start is not None else {}
+    tables[DAILY] = Table(made.schema, made.week, older | made.folders)
+    after = store.commit(before, tables, notes)
+    store.clean()
+    return store.read(after.tables[DAILY], DAILY)

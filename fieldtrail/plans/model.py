@@ -12,6 +12,7 @@ from fieldtrail.config import Config
 from fieldtrail.functions.dates import require_utc
 from fieldtrail.operators import daily, flows, history, instants, issues, metrics, quality, sprints
 from fieldtrail.operators.timeline import find_hot, with_segments
+from fieldtrail.sources.generations import Commit, Store
 from fieldtrail.sources.staging import stage_all
 from fieldtrail.sources.tables import read_written, write_table, write_weeks
 
@@ -224,24 +225,33 @@ class Tracker:
     def build(self, path: str) -> dict[str, DataFrame]:
         """Write all result tables below ``path`` and return them as read back.
 
-        Tables that others need are stored first and stand in for their plans. What was below ``path`` is replaced.
+        Tables that others need are stored first and stand in for their plans. What was below ``path`` is replaced; the
+        daily history and what ``plans.incremental`` continues it from change with one commit.
         """
         path = path.rstrip("/")
         quality.require_unique_ids(self.staged)
         self.split_long_timelines(f"{path}/_shared/timelines")
-        target = f"{path}/_shared/daily_changes"
-        write_weeks(self.daily_changes, target, "valid_starting_at_week")
-        self.__dict__["daily_changes"] = read_written(self.daily_changes, target)
+        store = Store(self.spark, path)
+        before = store.current()
+        kept = {"daily_changes": store.write(self.daily_changes, "daily_changes", "valid_starting_at_week")}
+        self.__dict__["daily_changes"] = store.read(kept["daily_changes"], "daily_changes")
         for name in ("day_intervals", "_timestamp_history"):
             target = f"{path}/_shared/{name.lstrip('_')}"
             write_table(getattr(self, name), target)
             self.__dict__[name] = read_written(getattr(self, name), target)
-        write_table(daily.calendar_ends(self.day_intervals), f"{path}/_shared/calendar")
+        kept["issue_calendar"] = store.write(daily.calendar_ends(self.day_intervals), "issue_calendar")
+        kept["daily_issue_field_history"] = store.write(self.daily_issue_field_history, "daily_issue_field_history", "date_week")
+        # Without a state, the next incremental run makes one of the changes before its cut.
+        store.commit(Commit(before.number), kept)
+        store.clean()
         written = {}
         for name, week in self.TABLES.items():
             if name in ("daily_sprint_issue_history", "sprint_enhanced") and not self.cfg.using_sprints:
                 continue
             df = getattr(self, name)
+            if name in kept:
+                written[name] = self.__dict__[name] = store.read(kept[name], name)
+                continue
             if week:
                 write_weeks(df, f"{path}/{name}", week)
             else:
