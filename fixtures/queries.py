@@ -54,7 +54,8 @@ def split(t: Tracker) -> Tracker:
 
 
 def ready(spark: SparkSession) -> None:
-    if not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
+    """Only a session on one machine, as in tests, is given a folder of its own."""
+    if spark.sparkContext.master.startswith("local") and not (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()):
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fieldtrail-"))
 
 
