@@ -97,17 +97,11 @@ def _pivot_list(tracked: dict[str, str]) -> str:
     )
 
 
-def _two_step_fill(source: str, columns: list[str], order: str, keep: str) -> str:
-    """Number the batches that start at a non-null value, then take each batch's first value."""
-    numbers = ", ".join(
-        f"count({c}) over (partition by source_relation, issue_id order by {order} rows unbounded preceding) as n_{c}"
-        for c in columns
-    )
-    first = ", ".join(
-        f"first_value({c}) over (partition by source_relation, issue_id, n_{c} order by {order}) as f_{c}"
-        for c in columns
-    )
-    return f"select {keep}, {first} from (select *, {numbers} from {source})"
+def _filled(source: str, columns: list[str], order: str, keep: str) -> str:
+    """The last value of each column up to a row."""
+    so_far = f"over (partition by source_relation, issue_id order by {order} rows unbounded preceding)"
+    values = ", ".join(f"last_value({c} ignore nulls) {so_far} as f_{c}" for c in columns)
+    return f"select {keep}, {values} from {source}"
 
 
 _RELEVANT = "lower(field_id) = 'status' or field_name in ('sprint', 'sprint_name', {})"
@@ -148,7 +142,7 @@ def _history(prefix: str, tracked: dict[str, str], grain: str = "field_id", spri
             max(case when lower(field_id) = 'status' then field_value end) as status, {_pivot_list(tracked)}
             from (select * replace (coalesce(field_value, '-is_null') as field_value) from {prefix}_last_day)
             group by all""",
-        f"{prefix}_scd_day": _two_step_fill(
+        f"{prefix}_scd_day": _filled(
             f"{prefix}_pivot_day",
             ["status", *values],
             "valid_starting_on",
@@ -242,7 +236,7 @@ CTES |= {
         max(case when lower(field_id) = 'status' then field_value end) as status, {_pivot_list(TRACKED)}
         from (select * replace (coalesce(field_value, '-is_null') as field_value) from x_long_t
             where {_RELEVANT.format(_in_list(TRACKED))}) group by all""",
-    "x_scd_t": _two_step_fill(
+    "x_scd_t": _filled(
         "x_pivot_t",
         ["status", *VALUES],
         "updated_at, author_id nulls first",
@@ -270,6 +264,13 @@ CTES |= {
 # --- transitions -------------------------------------------------------------
 
 _BY_TIME = "over (partition by source_relation, issue_id order by valid_from, author_id nulls first)"
+
+
+def _place(category: str) -> str:
+    """Where a category stands in the workflow, null if it has no place there."""
+    return f"nullif(list_position(['To Do', 'In Progress', 'Done'], {category}), 0)"
+
+
 CTES |= {
     "x_moves": f"""select * from (select source_relation, issue_id, status, status_category_name, valid_from, author_id,
         lag(status) {_BY_TIME} as previous_status from x_states)
@@ -284,17 +285,14 @@ CTES |= {
         lag(status_category_name) {_BY_TIME} as previous_status_category_name,
         lag(valid_from) {_BY_TIME} as previous_transition_at,
         lag(seconds_in_status) {_BY_TIME} as seconds_in_previous_status from x_periods""",
-    "x_transitions": """select source_relation, issue_id, status, status_category_name, previous_status,
+    "x_transitions": f"""select source_relation, issue_id, status, status_category_name, previous_status,
         previous_status_category_name, transition_at, transition_until, status_sequence, is_current_status,
         cast(round(cast(seconds_in_status as decimal(28, 6)) / 60, 2) as double) as minutes_in_status,
         cast(round(cast(seconds_in_previous_status as decimal(28, 6)) / 60, 2) as double) as minutes_in_previous_status,
         case when previous_status_category_name is null then 'new'
-            when (previous_status_category_name, status_category_name) in
-                (('To Do', 'In Progress'), ('In Progress', 'Done'), ('To Do', 'Done')) then 'forward'
-            when (previous_status_category_name, status_category_name) in
-                (('Done', 'In Progress'), ('In Progress', 'To Do'), ('Done', 'To Do')) then 'backward'
             when previous_status_category_name = status_category_name then 'lateral'
-            else 'other' end as transition_direction
+            else coalesce(case sign({_place('status_category_name')} - {_place('previous_status_category_name')})
+                when 1 then 'forward' when -1 then 'backward' end, 'other') end as transition_direction
         from x_steps""",
 }
 
@@ -456,12 +454,28 @@ def _whole(value: str) -> str:
     return f"cast(round(cast({value} as decimal(28, 6)), 0) as double)"
 
 
-def _median(condition: str, duration: str) -> str:
-    return _whole(f"quantile_cont(case when {condition} then {duration} end, 0.5)")
+def _of(numbers: str, fact: str) -> str:
+    return f"map_extract({numbers}, '{fact}')[1]"
+
+
+def _count(fact: str) -> str:
+    return f"cast(coalesce({_of('totals', fact)}, 0) as bigint)"
+
+
+def _median(fact: str) -> str:
+    return _whole(_of("middles", fact))
+
+
+def _average(fact: str, count: str, default: str = "null") -> str:
+    total = f"coalesce({_of('totals', fact)}, {default})"
+    return f"case when {_count(count)} = 0 then 0 else {_whole(f'cast({total} as double) / {_count(count)}')} end"
 
 
-def _average(total: str, count: str) -> str:
-    return f"case when {count} = 0 then 0 else {_whole(f'cast({total} as double) / {count}')} end"
+def _facts(group: str, key: str) -> str:
+    """Per group two maps: fact -> total, and fact -> middle value."""
+    return f"""select {key}, source_relation, map(list(fact), list(total)) as totals, map(list(fact), list(middle)) as middles
+        from (select {group} as {key}, source_relation, fact, sum(number) as total, quantile_cont(number, 0.5) as middle
+            from x_facts where {group} is not null group by all) group by all"""
 
 
 _AVG = ["avg_close_time", "avg_assigned_close_time", "avg_age_currently_open", "avg_age_currently_open_assigned"]
@@ -479,27 +493,31 @@ def _days(metrics: list[str]) -> str:
 
 
 CTES |= {
+    # One row per issue and fact.
+    "x_facts": """select source_relation, project_id, assignee_user_id,
+            if(resolved_at is null, 'open ', 'closed ') || fact.name as fact, fact.number as number
+        from (select *, unnest([
+            {'name': 'issues', 'number': cast(1 as bigint)},
+            {'name': 'assigned', 'number': cast(assignee_user_id is not null as bigint)},
+            {'name': 'age', 'number': open_duration_seconds},
+            {'name': 'since first assignment', 'number': any_assignment_duration_seconds},
+            {'name': 'since last assignment', 'number': last_assignment_duration_seconds}]) as fact
+            from x_issue_enhanced)""",
+    "x_project_facts": _facts("project_id", "project_id"),
+    "x_user_facts": _facts("assignee_user_id", "user_id"),
     "x_project_medians": f"""select project_id, source_relation,
-        {_median('resolved_at is not null', 'open_duration_seconds')} as median_close_time_seconds,
-        {_median('resolved_at is null', 'open_duration_seconds')} as median_age_currently_open_seconds,
-        {_median('resolved_at is not null', 'any_assignment_duration_seconds')} as median_assigned_close_time_seconds,
-        {_median('resolved_at is null', 'any_assignment_duration_seconds')} as median_age_currently_open_assigned_seconds
-        from x_issue_enhanced where project_id is not null group by 1, 2""",
-    "x_project_sums": """select project_id, source_relation, count(*) filter (resolved_at is not null) as closed,
-        count(*) filter (resolved_at is null) as open,
-        count(*) filter (resolved_at is null and assignee_user_id is not null) as open_assigned,
-        count(*) filter (resolved_at is not null and assignee_user_id is not null) as closed_assigned,
-        sum(case when resolved_at is not null then open_duration_seconds else 0 end) as s1,
-        sum(case when resolved_at is not null then any_assignment_duration_seconds else 0 end) as s2,
-        sum(case when resolved_at is null then open_duration_seconds else 0 end) as s3,
-        sum(case when resolved_at is null then any_assignment_duration_seconds else 0 end) as s4
-        from x_issue_enhanced where project_id is not null group by 1, 2""",
-    "x_project_averages": f"""select project_id, source_relation, closed as count_closed_issues,
-        open as count_open_issues, open_assigned as count_open_assigned_issues,
-        {_average('s1', 'closed')} as avg_close_time_seconds,
-        {_average('s2', 'closed_assigned')} as avg_assigned_close_time_seconds,
-        {_average('s3', 'open')} as avg_age_currently_open_seconds,
-        {_average('s4', 'open_assigned')} as avg_age_currently_open_assigned_seconds from x_project_sums""",
+        {_median('closed age')} as median_close_time_seconds,
+        {_median('open age')} as median_age_currently_open_seconds,
+        {_median('closed since first assignment')} as median_assigned_close_time_seconds,
+        {_median('open since first assignment')} as median_age_currently_open_assigned_seconds
+        from x_project_facts""",
+    "x_project_averages": f"""select project_id, source_relation, {_count('closed issues')} as count_closed_issues,
+        {_count('open issues')} as count_open_issues, {_count('open assigned')} as count_open_assigned_issues,
+        {_average('closed age', 'closed issues', '0')} as avg_close_time_seconds,
+        {_average('closed since first assignment', 'closed assigned', '0')} as avg_assigned_close_time_seconds,
+        {_average('open age', 'open issues', '0')} as avg_age_currently_open_seconds,
+        {_average('open since first assignment', 'open assigned', '0')} as avg_age_currently_open_assigned_seconds
+        from x_project_facts""",
     "x_project_metrics": f"""select *, {_days(_AVG + _MED)}
         from x_project_averages left join x_project_medians using (project_id, source_relation)""",
     "x_project_enhanced": f"""select p.*, u.user_display_name as project_lead_user_name,
@@ -518,17 +536,13 @@ CTES |= {
             from stg_component group by 1, 2) c
             on c.project_id = p.project_id and c.source_relation = p.source_relation""",
     "x_user_metrics": f"""select *, {_days(_USER)} from (
-        select user_id, source_relation, closed as count_closed_issues, open as count_open_issues,
-            {_average('s1', 'closed')} as avg_close_time_seconds,
-            {_average('s2', 'open')} as avg_age_currently_open_seconds,
-            median_close_time_seconds, median_age_currently_open_seconds
-        from (select assignee_user_id as user_id, source_relation,
-            count(*) filter (resolved_at is not null) as closed, count(*) filter (resolved_at is null) as open,
-            sum(case when resolved_at is not null then last_assignment_duration_seconds end) as s1,
-            sum(case when resolved_at is null then last_assignment_duration_seconds end) as s2,
-            {_median('resolved_at is not null', 'last_assignment_duration_seconds')} as median_close_time_seconds,
-            {_median('resolved_at is null', 'last_assignment_duration_seconds')} as median_age_currently_open_seconds
-            from x_issue_enhanced where assignee_user_id is not null group by 1, 2))""",
+        select user_id, source_relation, {_count('closed issues')} as count_closed_issues,
+            {_count('open issues')} as count_open_issues,
+            {_average('closed since last assignment', 'closed issues')} as avg_close_time_seconds,
+            {_average('open since last assignment', 'open issues')} as avg_age_currently_open_seconds,
+            {_median('closed since last assignment')} as median_close_time_seconds,
+            {_median('open since last assignment')} as median_age_currently_open_seconds
+        from x_user_facts)""",
     "x_user_enhanced": f"""select u.*, p.projects, coalesce(m.count_closed_issues, 0) as count_closed_issues,
         coalesce(m.count_open_issues, 0) as count_open_issues,
         {', '.join(f'm.{n}_seconds, m.{n}_days' for n in _USER)}
