@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldtrail.config import Config
-from fieldtrail.functions.median import grouped_median
+from fieldtrail.functions.median import grouped_numbers
 from fieldtrail.functions.text import joined
 
 _DAY_SECONDS = 86400.0
@@ -19,21 +19,6 @@ _NUMERIC = "decimal(28,6)"
 PROJECT_KEYS = ["project_id", "source_relation"]
 USER_KEYS = ["user_id", "source_relation"]
 
-# Metric -> (duration of an issue, whether the issue must be resolved).
-_PROJECT_MEDIANS = {
-    "median_close_time_seconds": ("open_duration_seconds", True),
-    "median_age_currently_open_seconds": ("open_duration_seconds", False),
-    "median_assigned_close_time_seconds": ("any_assignment_duration_seconds", True),
-    "median_age_currently_open_assigned_seconds": ("any_assignment_duration_seconds", False),
-}
-_USER_MEDIANS = {
-    "median_close_time_seconds": ("last_assignment_duration_seconds", True),
-    "median_age_currently_open_seconds": ("last_assignment_duration_seconds", False),
-}
-
-
-def _is_closed() -> Column:
-    return F.col("resolved_at").isNotNull()
 
 
 def _whole(value: Column) -> Column:
@@ -44,79 +29,108 @@ def _days(seconds: str) -> Column:
     return _whole(F.col(seconds) / F.lit(_DAY_SECONDS))
 
 
-def _medians(issue: DataFrame, keys: Sequence[str], metrics: Mapping[str, tuple[str, bool]]) -> DataFrame:
-    """All medians over one long table of (group, metric, seconds).
+def _with_days(df: DataFrame) -> DataFrame:
+    names = [c.removesuffix("_seconds") for c in df.columns if c.endswith("_seconds")]
+    return df.withColumns({f"{c}_days": _days(f"{c}_seconds") for c in names})
+
+
+def group_measures(issue: DataFrame, projects: bool = True, users: bool = True) -> DataFrame:
+    """Numbers of issues, total and median seconds per project or user, duration, and whether the issues are resolved.
 
-    A group without any duration has no row.
+    Issues are read once for both: each gives a row to its project (``user_id`` is null there) for every duration of
+    projects, and one to its assignee (``project_id`` is null there). The "duration" ``assigned`` is 1 for issues with an
+    assignee, so that its total is their number. All is one counted histogram: averages and medians share its pass.
     """
-    values = F.array(
-        *[
-            F.struct(
-                F.lit(name).alias("metric"),
-                F.when(_is_closed() if closed else ~_is_closed(), F.col(duration)).alias("seconds"),
-            )
-            for name, (duration, closed) in metrics.items()
-        ]
-    )
-    long = issue.select(*keys, F.inline(values))
-    median = grouped_median(long, [*keys, "metric"], "seconds")
-    return median.groupBy(*keys).agg(
-        *[_whole(F.max(F.when(F.col("metric") == name, F.col("median")))).alias(name) for name in metrics]
-    )
+    assigned = F.col("assignee_user_id").isNotNull()
+    nulls = {c: F.lit(None).cast(issue.schema[c].dataType) for c in ("project_id", "assignee_user_id")}
+    seconds = {d: F.col(f"{d}_duration_seconds") for d in ("open", "any_assignment", "last_assignment")}
+    rows, wanted = [], []
 
+    def add(project: Column, user: Column, duration: str, value: Column) -> None:
+        fields = {"project_id": project, "user_id": user, "duration": F.lit(duration), "value": value}
+        rows.append(F.struct(*[c.alias(name) for name, c in fields.items()]))
 
-def _average(total: str, count: str) -> Column:
-    value = _whole(F.col(total).cast("double") / F.nullif(F.col(count), F.lit(0)))
-    return F.when(F.col(count) == 0, F.lit(0).cast(_NUMERIC)).otherwise(value)
+    if projects:
+        wanted.append("project_id is not null")
+        for duration in ("open", "any_assignment"):
+            add(F.col("project_id"), nulls["assignee_user_id"], duration, seconds[duration])
+        add(F.col("project_id"), nulls["assignee_user_id"], "assigned", assigned.cast("long"))
+    if users:
+        wanted.append("user_id is not null")
+        add(nulls["project_id"], F.col("assignee_user_id"), "last_assignment", seconds["last_assignment"])
+    long = issue.select(
+        "source_relation", F.col("resolved_at").isNotNull().alias("closed"), F.inline(F.array(*rows))
+    ).filter(" or ".join(wanted))
+    keys = ["project_id", "user_id", "source_relation", "duration", "closed"]
+    return grouped_numbers(long, keys, "value").withColumnRenamed("rows", "issues")
 
 
-def _with_days(df: DataFrame, seconds: Sequence[str]) -> DataFrame:
-    return df.withColumns({c.removesuffix("_seconds") + "_days": _days(c) for c in seconds})
+def _of(measure: str, duration: str, closed: bool) -> Column:
+    """One measure of a group's durations, as an aggregate."""
+    wanted = (F.col("duration") == duration) & (F.col("closed") == closed)
+    return F.max(F.when(wanted, F.col(measure)))
 
 
-def project_medians(issue: DataFrame) -> DataFrame:
-    """Median close time and age, over all and over assigned issues."""
-    return _medians(issue.filter("project_id is not null"), PROJECT_KEYS, _PROJECT_MEDIANS)
+def _count(measure: str, duration: str, closed: bool) -> Column:
+    return F.coalesce(_of(measure, duration, closed), F.lit(0))
 
 
-def project_averages(issue: DataFrame) -> DataFrame:
-    """Numbers of issues and average durations; 0 where there is no issue."""
-    closed, assigned = _is_closed(), F.col("assignee_user_id").isNotNull()
+def _average(total: Column, count: Column) -> Column:
+    value = _whole(total.cast("double") / F.nullif(count, F.lit(0)))
+    return F.when(count == 0, F.lit(0).cast(_NUMERIC)).otherwise(value)
 
-    def total(condition: Column, duration: str) -> Column:
-        return F.sum(F.when(condition, F.col(duration)).otherwise(F.lit(0)))
 
-    sums = (
-        issue.filter("project_id is not null")
-        .groupBy(*PROJECT_KEYS)
-        .agg(
-            F.count_if(closed).alias("count_closed_issues"),
-            F.count_if(~closed).alias("count_open_issues"),
-            F.count_if(~closed & assigned).alias("count_open_assigned_issues"),
-            F.count_if(closed & assigned).alias("_closed_assigned"),
-            total(closed, "open_duration_seconds").alias("_close"),
-            total(closed, "any_assignment_duration_seconds").alias("_assigned_close"),
-            total(~closed, "open_duration_seconds").alias("_age"),
-            total(~closed, "any_assignment_duration_seconds").alias("_assigned_age"),
-        )
-    )
-    return sums.select(
-        *PROJECT_KEYS,
-        "count_closed_issues",
-        "count_open_issues",
-        "count_open_assigned_issues",
-        _average("_close", "count_closed_issues").alias("avg_close_time_seconds"),
-        _average("_assigned_close", "_closed_assigned").alias("avg_assigned_close_time_seconds"),
-        _average("_age", "count_open_issues").alias("avg_age_currently_open_seconds"),
-        _average("_assigned_age", "count_open_assigned_issues").alias("avg_age_currently_open_assigned_seconds"),
-    )
+def _project_columns() -> tuple[list[Column], list[Column]]:
+    def issues(closed: bool) -> Column:
+        return _count("issues", "open", closed)
+
+    def assigned(closed: bool) -> Column:
+        return _count("total", "assigned", closed)
+
+    def average(duration: str, closed: bool, count: Column) -> Column:
+        # Issues in the other state add nothing, but make an empty total a zero.
+        others = F.when(issues(not closed) > 0, F.lit(0))
+        return _average(F.coalesce(_of("total", duration, closed), others), count)
 
+    def median(duration: str, closed: bool) -> Column:
+        return _whole(_of("median", duration, closed))
 
-def project_metrics(issue: DataFrame) -> DataFrame:
-    """Averages and medians of a project, in seconds and whole days."""
-    averages = project_averages(issue)
-    df = averages.join(project_medians(issue), PROJECT_KEYS, "left")
-    return _with_days(df, [*[c for c in averages.columns if c.startswith("avg_")], *_PROJECT_MEDIANS])
+    averages = [
+        issues(True).alias("count_closed_issues"),
+        issues(False).alias("count_open_issues"),
+        assigned(False).alias("count_open_assigned_issues"),
+        average("open", True, issues(True)).alias("avg_close_time_seconds"),
+        average("any_assignment", True, assigned(True)).alias("avg_assigned_close_time_seconds"),
+        average("open", False, issues(False)).alias("avg_age_currently_open_seconds"),
+        average("any_assignment", False, assigned(False)).alias("avg_age_currently_open_assigned_seconds"),
+    ]
+    medians = [
+        median("open", True).alias("median_close_time_seconds"),
+        median("open", False).alias("median_age_currently_open_seconds"),
+        median("any_assignment", True).alias("median_assigned_close_time_seconds"),
+        median("any_assignment", False).alias("median_age_currently_open_assigned_seconds"),
+    ]
+    return averages, medians
+
+
+def _by_project(measures: DataFrame, columns: Sequence[Column]) -> DataFrame:
+    return measures.filter("project_id is not null").groupBy(*PROJECT_KEYS).agg(*columns)
+
+
+def project_medians(measures: DataFrame) -> DataFrame:
+    """Median close time and age, over all and over assigned issues; null without any."""
+    return _by_project(measures, _project_columns()[1])
+
+
+def project_averages(measures: DataFrame) -> DataFrame:
+    """Numbers of issues and average durations; 0 where there is no issue."""
+    return _by_project(measures, _project_columns()[0])
+
+
+def project_metrics(measures: DataFrame) -> DataFrame:
+    """Averages and medians of a project, in seconds and whole days. ``measures`` are :func:`group_measures`."""
+    averages, medians = _project_columns()
+    return _with_days(_by_project(measures, [*averages, *medians]))
 
 
 def project_enhanced(issue: DataFrame, metrics: DataFrame, staged: Mapping[str, DataFrame], cfg: Config) -> DataFrame:
@@ -149,29 +163,27 @@ def project_enhanced(issue: DataFrame, metrics: DataFrame, staged: Mapping[str,
     )
 
 
-def user_metrics(issue: DataFrame) -> DataFrame:
-    """Averages and medians over the issues assigned to a user."""
-    mine = issue.filter("assignee_user_id is not null").withColumn("user_id", F.col("assignee_user_id"))
-    closed = _is_closed()
-    duration = F.col("last_assignment_duration_seconds")
-    averages = (
-        mine.groupBy(*USER_KEYS)
+def user_metrics(measures: DataFrame) -> DataFrame:
+    """Averages and medians over the issues assigned to a user. ``measures`` are :func:`group_measures`."""
+
+    def average(closed: bool) -> Column:
+        return _average(_of("total", "last_assignment", closed), _count("issues", "last_assignment", closed))
+
+    def median(closed: bool) -> Column:
+        return _whole(_of("median", "last_assignment", closed))
+
+    return _with_days(
+        measures.filter("user_id is not null")
+        .groupBy(*USER_KEYS)
         .agg(
-            F.count_if(closed).alias("count_closed_issues"),
-            F.count_if(~closed).alias("count_open_issues"),
-            F.sum(F.when(closed, duration)).alias("_close"),
-            F.sum(F.when(~closed, duration)).alias("_open"),
-        )
-        .select(
-            *USER_KEYS,
-            "count_closed_issues",
-            "count_open_issues",
-            _average("_close", "count_closed_issues").alias("avg_close_time_seconds"),
-            _average("_open", "count_open_issues").alias("avg_age_currently_open_seconds"),
+            _count("issues", "last_assignment", True).alias("count_closed_issues"),
+            _count("issues", "last_assignment", False).alias("count_open_issues"),
+            average(True).alias("avg_close_time_seconds"),
+            average(False).alias("avg_age_currently_open_seconds"),
+            median(True).alias("median_close_time_seconds"),
+            median(False).alias("median_age_currently_open_seconds"),
         )
     )
-    df = averages.join(_medians(mine, USER_KEYS, _USER_MEDIANS), USER_KEYS, "left")
-    return _with_days(df, ["avg_close_time_seconds", "avg_age_currently_open_seconds", *_USER_MEDIANS])
 
 
 def user_enhanced(issue: DataFrame, metrics: DataFrame, user: DataFrame) -> DataFrame:

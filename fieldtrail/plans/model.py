@@ -169,9 +169,17 @@ class Tracker:
     def issue_measures(self) -> DataFrame:
         return issues.issue_measures(self.issue_labels, self.issue_parts["assign_resolution"], self.cfg)
 
+    @cached_property
+    def project_measures(self) -> DataFrame:
+        return metrics.group_measures(self.issue_measures, users=False)
+
+    @cached_property
+    def user_measures(self) -> DataFrame:
+        return metrics.group_measures(self.issue_measures, projects=False)
+
     @cached_property
     def project_metrics(self) -> DataFrame:
-        return metrics.project_metrics(self.issue_measures)
+        return metrics.project_metrics(self.project_measures)
 
     @cached_property
     def project_enhanced(self) -> DataFrame:
@@ -179,7 +187,7 @@ class Tracker:
 
     @cached_property
     def user_metrics(self) -> DataFrame:
-        return metrics.user_metrics(self.issue_measures)
+        return metrics.user_metrics(self.user_measures)
 
     @cached_property
     def user_enhanced(self) -> DataFrame:
@@ -260,4 +268,10 @@ class Tracker:
             if name == "issue_enhanced":
                 for shared in ("issue_labels", "issue_measures", "assigned_issue"):
                     self.__dict__[shared] = written[name]
+                # Projects and users read their numbers from one table, so that issues are read once for both.
+                target = f"{path}/_shared/group_measures"
+                measures = metrics.group_measures(self.issue_measures)
+                write_table(measures, target)
+                for shared in ("project_measures", "user_measures"):
+                    self.__dict__[shared] = read_written(measures, target)
         return written

@@ -466,8 +466,11 @@ def _median(fact: str) -> str:
     return _whole(_of("middles", fact))
 
 
-def _average(fact: str, count: str, default: str = "null") -> str:
-    total = f"coalesce({_of('totals', fact)}, {default})"
+def _average(fact: str, count: str, others: str | None = None) -> str:
+    """Where there are ``others``, an empty total is a zero."""
+    total = _of("totals", fact)
+    if others:
+        total = f"coalesce({total}, if({_count(others)} > 0, 0, null))"
     return f"case when {_count(count)} = 0 then 0 else {_whole(f'cast({total} as double) / {_count(count)}')} end"
 
 
@@ -513,10 +516,10 @@ CTES |= {
         from x_project_facts""",
     "x_project_averages": f"""select project_id, source_relation, {_count('closed issues')} as count_closed_issues,
         {_count('open issues')} as count_open_issues, {_count('open assigned')} as count_open_assigned_issues,
-        {_average('closed age', 'closed issues', '0')} as avg_close_time_seconds,
-        {_average('closed since first assignment', 'closed assigned', '0')} as avg_assigned_close_time_seconds,
-        {_average('open age', 'open issues', '0')} as avg_age_currently_open_seconds,
-        {_average('open since first assignment', 'open assigned', '0')} as avg_age_currently_open_assigned_seconds
+        {_average('closed age', 'closed issues', 'open issues')} as avg_close_time_seconds,
+        {_average('closed since first assignment', 'closed assigned', 'open issues')} as avg_assigned_close_time_seconds,
+        {_average('open age', 'open issues', 'closed issues')} as avg_age_currently_open_seconds,
+        {_average('open since first assignment', 'open assigned', 'closed issues')} as avg_age_currently_open_assigned_seconds
         from x_project_facts""",
     "x_project_metrics": f"""select *, {_days(_AVG + _MED)}
         from x_project_averages left join x_project_medians using (project_id, source_relation)""",

@@ -536,12 +536,12 @@ def sprint_enhanced_without_teams(t: Tracker) -> DataFrame:
 
 @query("select * from x_project_medians")
 def project_medians(t: Tracker) -> DataFrame:
-    return metrics.project_medians(t.issue_measures)
+    return metrics.project_medians(t.project_measures)
 
 
 @query("select * from x_project_averages")
 def project_averages(t: Tracker) -> DataFrame:
-    return metrics.project_averages(t.issue_measures)
+    return metrics.project_averages(t.project_measures)
 
 
 @query("select * from x_project_metrics")

@@ -1,6 +1,7 @@
 """Properties: splitting, incremental runs and medians change nothing."""
 
 import datetime as dt
+import random
 import statistics
 
 import pytest
@@ -8,8 +9,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fieldtrail import Config, Tracker
-from fieldtrail.functions.median import grouped_median
-from fieldtrail.operators import history
+from fieldtrail.functions.median import grouped_median, grouped_numbers
+from fieldtrail.operators import history, metrics
 from fieldtrail.operators.timeline import SEGMENT, along, find_hot, with_segments
 from fieldtrail.plans.incremental import update_daily, week_cut
 from fieldtrail.sources.tables import read_table, shared_folder, stored_weeks, write_weeks
@@ -89,6 +90,52 @@ def test_medians(spark):
     assert got == {k: statistics.median(vs) for k, vs in values.items() if vs}
 
 
+def test_numbers_of_groups(spark):
+    """Null keys are groups, a group of nulls has a row, equal values in one bin and across bins."""
+    rng = random.Random(5)
+    data = [
+        (rng.choice([None, 1, 2]), rng.choice([None, "x"]), rng.choice([None, 0, 7, 65536, rng.randrange(-300000, 300000)]))
+        for _ in range(400)
+    ] + [(9, None, None), (9, None, None)]
+    df = spark.createDataFrame(data, "a long, b string, v long")
+    found = grouped_numbers(df, ["a", "b"], "v")
+    got = {(r.a, r.b): (r["rows"], r.total, r.median) for r in found.collect()}
+    expected = {}
+    for key in {row[:2] for row in data}:
+        values = [v for a, b, v in data if (a, b) == key]
+        real = [v for v in values if v is not None]
+        middle, total = (statistics.median(real), sum(real)) if real else (None, None)
+        expected[key] = (len(values), total, middle)
+    assert got == expected
+
+
+def test_measures_of_projects_and_users(spark):
+    """An empty total is zero beside issues in the other state, and null without them; a count of zero gives zero."""
+    made, none = dt.datetime(2024, 1, 1), None
+    rows = [
+        (1, "u", made, 100, none, none),  # the only issue of its project, assigned but never by a change
+        (2, "u", made, 100, none, 7),
+        (2, none, none, 50, 30, none),
+        (none, "v", none, 10, 10, 10),
+        (none, none, made, 10, 10, 10),
+    ]
+    durations = [f"{d}_duration_seconds" for d in ("open", "any_assignment", "last_assignment")]
+    schema = "project_id long, assignee_user_id string, resolved_at timestamp, " + ", ".join(f"{d} long" for d in durations)
+    issue = spark.createDataFrame(rows, schema).withColumn("source_relation", F.lit(""))
+    measures = metrics.group_measures(issue)
+    projects = {r.project_id: r for r in metrics.project_metrics(measures).collect()}
+    assert set(projects) == {1, 2}
+    assert projects[1].avg_assigned_close_time_seconds is None
+    assert projects[2].avg_assigned_close_time_seconds == 0
+    assert projects[1].avg_close_time_seconds == 100 and projects[1].avg_age_currently_open_seconds == 0
+    assert projects[2].median_age_currently_open_assigned_seconds == 30
+    assert projects[2].avg_age_currently_open_assigned_seconds == 0 and projects[2].count_open_assigned_issues == 0
+    users = {r.user_id: r for r in metrics.user_metrics(measures).collect()}
+    assert set(users) == {"u", "v"}
+    assert (users["u"].count_closed_issues, users["u"].avg_close_time_seconds) == (2, 4)
+    assert users["u"].median_age_currently_open_seconds is None and users["v"].avg_age_currently_open_seconds == 10
+
+
 def test_week_cut(spark):
     cfg, path = Config(lookback_weeks=1), shared_folder(spark, "test")
     df = spark.createDataFrame([(1, dt.date(2024, 1, 22)), (1, dt.date(2024, 1, 8)), (1, None)], "v int, w date")
