@@ -281,7 +281,8 @@ def one_of_each_group(docs: DataFrame, width: int = 3, radius: int = 3) -> DataF
     """One row of ``docs`` for each group of ``near_groups``: that of the smallest doc_id, with all its columns.
 
     Of rows that share that doc_id, one stays; a null doc_id comes last. Rows are numbered and written once together
-    with their fingerprints, so only numbers are joined with the texts. An empty table gives no rows.
+    with their fingerprints, so only numbers are joined with the texts: those of the rows that go, which are mostly few.
+    An empty table gives no rows.
     """
 
     @F.arrow_udf("long")
@@ -293,5 +294,6 @@ def one_of_each_group(docs: DataFrame, width: int = 3, radius: int = 3) -> DataF
     rows = keep(docs.select(whole, fingerprint(F.col("text")).alias("fp_"), F.monotonically_increasing_id().alias("row_")))
     id_ = F.col("doc_.doc_id").cast("long")
     chosen = firsts(rows, F.struct(id_.isNull().alias("no_id"), id_.alias("id"), F.col("row_").alias("row")), radius)
-    stays = keep(chosen.select(F.col("first_.row").alias("row_")).distinct())
-    return rows.join(stays, "row_", "left_semi").select("doc_.*")
+    stays = chosen.select(F.col("first_.row").alias("row_")).distinct()
+    gone = keep(rows.select("row_").join(stays, "row_", "left_anti"))
+    return rows.join(gone, "row_", "left_anti").select("doc_.*")
