@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldtrail.config import Config
@@ -15,14 +17,48 @@ from fieldtrail.operators.history import KEYS
 TOO_LONG = "conversation too long to render"
 
 
+def _is_epic_link() -> Column:
+    return F.lower("field_name").like("epic%link")
+
+
+def _is_assignment() -> Column:
+    return F.lower("field_id").isin("assignee", "resolutiondate") & F.col("field_value").isNotNull()
+
+
+def _latest_epic() -> Column:
+    return F.max(F.when(_is_epic_link(), F.struct("updated_at", "field_id", "field_value")))
+
+
+def _assignments() -> list[Column]:
+    assigned = F.when(_is_assignment() & (F.lower("field_id") == "assignee"), F.col("updated_at"))
+    resolved = F.when(_is_assignment() & (F.lower("field_id") == "resolutiondate"), F.col("updated_at"))
+    return [
+        F.min(assigned).alias("first_assigned_at"),
+        F.max(assigned).alias("last_assigned_at"),
+        F.min(resolved).alias("first_resolved_at"),
+    ]
+
+
 def issue_epic(history: DataFrame) -> DataFrame:
     """The latest epic link of each issue. ``history`` has field names."""
-    last = F.max(F.struct("updated_at", "field_id", "field_value")).alias("_last")
     return (
-        history.filter(F.lower("field_name").like("epic%link"))
+        history.filter(_is_epic_link())
         .groupBy(*KEYS)
-        .agg(last)
-        .select(*KEYS, F.col("_last.field_value").alias("epic_issue_id"))
+        .agg(_latest_epic()["field_value"].alias("epic_issue_id"))
+    )
+
+
+def issue_assign_resolution(history: DataFrame) -> DataFrame:
+    """First and last assignment, first resolution."""
+    return history.filter(_is_assignment()).groupBy(*KEYS).agg(*_assignments())
+
+
+def issue_log_facts(history: DataFrame) -> DataFrame:
+    """:func:`issue_epic` and :func:`issue_assign_resolution` side by side, in one pass over the log."""
+    return (
+        history.filter(_is_epic_link() | _is_assignment())
+        .groupBy(*KEYS)
+        .agg(_latest_epic()["field_value"].alias("epic_issue_id"), *_assignments())
     )
 
 
@@ -110,92 +146,99 @@ def issue_comments(comment: DataFrame, user: DataFrame, cfg: Config) -> DataFram
     )
 
 
-def issue_assign_resolution(history: DataFrame) -> DataFrame:
-    """First and last assignment, first resolution."""
-    changes = history.filter(
-        F.lower("field_id").isin("assignee", "resolutiondate") & F.col("field_value").isNotNull()
-    )
-    assigned = F.when(F.lower("field_id") == "assignee", F.col("updated_at"))
-    resolved = F.when(F.lower("field_id") == "resolutiondate", F.col("updated_at"))
-    return changes.groupBy(*KEYS).agg(
-        F.min(assigned).alias("first_assigned_at"),
-        F.max(assigned).alias("last_assigned_at"),
-        F.min(resolved).alias("first_resolved_at"),
+_SPRINT_SHOWN = ["current_sprint_name", "board_id", "sprint_started_at", "sprint_ended_at", "sprint_completed_at"]
+_VERSION_FIELDS = {"versions": "affects_versions", "fixVersions": "fixes_versions"}
+
+
+def issue_multi_facts(
+    multi_history: DataFrame, sprint: DataFrame | None = None, version: DataFrame | None = None
+) -> DataFrame:
+    """Latest sprint, number of sprints and versions of the latest change of each issue, in one pass over the log.
+
+    Without ``sprint`` or ``version`` their columns are left out. A first aggregation has one row per sprint of an issue
+    and per change of its versions, so the many changes of one issue are dealt to many tasks; the second takes the
+    latest, and combines before its shuffle.
+    """
+    kinds, facts = [], []
+    if sprint is not None:
+        kinds.append((F.lower("field_name") == "sprint", F.lit("sprint")))
+    if version is not None:
+        kinds.append((F.col("field_id").isin(*_VERSION_FIELDS), F.col("field_id")))
+    kind = F.explode(F.array_compact(F.array(*[F.when(is_kind, name) for is_kind, name in kinds])))
+    rows = multi_history.filter(reduce(or_, [is_kind for is_kind, _ in kinds])).select(
+        *KEYS, "updated_at", "field_value", kind.alias("_kind")
     )
+    is_sprint = F.col("_kind") == "sprint"
+    steps = [F.max("updated_at").alias("_at")]
+    if version is not None:
+        names = version.select("source_relation", F.col("version_id").alias("_version_id"), "version_name")
+        rows = rows.withColumn("_version_id", F.col("field_value").try_cast("long")).join(
+            names, ["source_relation", "_version_id"], "left"
+        )
+        steps.append(joined("case when _kind <> 'sprint' then version_name end").alias("_versions"))
+        for field_id, column in _VERSION_FIELDS.items():
+            last = F.max(F.when(F.col("_kind") == field_id, F.struct("_at", "_versions")))
+            facts.append(last["_versions"].alias(column))
+    latest = rows.groupBy(
+        *KEYS,
+        "_kind",
+        F.when(is_sprint, F.col("field_value")).alias("current_sprint_id"),
+        F.when(~is_sprint, F.col("updated_at")).alias("_change"),
+    ).agg(*steps)
+    if sprint is not None:
+        found = sprint.select(
+            "source_relation",
+            F.col("sprint_id").cast("string").alias("_sprint"),
+            F.col("sprint_name").alias("current_sprint_name"),
+            "board_id",
+            F.col("started_at").alias("sprint_started_at"),
+            F.col("ended_at").alias("sprint_ended_at"),
+            F.col("completed_at").alias("sprint_completed_at"),
+        )
+        # What is no sprint gets join keys of its own, so that a shuffle does not gather it in one task.
+        own_key = F.concat(F.lit("no sprint of "), F.col("issue_id").cast("string"))
+        latest = latest.withColumn("_sprint", F.coalesce("current_sprint_id", own_key)).join(
+            found, ["source_relation", "_sprint"], "left"
+        )
+        # The later start wins a tie; nulls are the smallest in a struct, so a sprint without start loses it.
+        order = ["_at", "sprint_started_at", "current_sprint_id"]
+        last = F.max(F.when(is_sprint, F.struct(*order, *[c for c in _SPRINT_SHOWN if c not in order])))
+        facts += [last[c].alias(c) for c in ("current_sprint_id", *_SPRINT_SHOWN)]
+        facts.append(F.count("current_sprint_id").alias("count_sprint_changes"))
+    return latest.groupBy(*KEYS).agg(*facts)
 
 
 def issue_sprint(multi_history: DataFrame, sprint: DataFrame) -> DataFrame:
     """The latest sprint of each issue (the later start wins a tie) and how many it was in."""
-    found = sprint.select(
-        "source_relation",
-        F.col("sprint_id").cast("string").alias("field_value"),
-        F.col("sprint_name").alias("current_sprint_name"),
-        "board_id",
-        F.col("started_at").alias("sprint_started_at"),
-        F.col("ended_at").alias("sprint_ended_at"),
-        F.col("completed_at").alias("sprint_completed_at"),
-    )
-    shown = ["current_sprint_name", "board_id", "sprint_started_at", "sprint_ended_at", "sprint_completed_at"]
-    # Nulls are the smallest in a struct, so a sprint without start loses a tie.
-    last = F.max(F.struct("updated_at", "sprint_started_at", "field_value", *[c for c in shown if c != "sprint_started_at"]))
-    changes = multi_history.filter(F.lower("field_name") == "sprint").join(
-        found, ["source_relation", "field_value"], "left"
-    )
-    return (
-        changes.groupBy(*KEYS, "field_value")
-        .agg(last.alias("_last"))
-        .groupBy(*KEYS)
-        .agg(F.max("_last").alias("_last"), F.count("field_value").alias("count_sprint_changes"))
-        .select(
-            *KEYS,
-            F.col("_last.field_value").alias("current_sprint_id"),
-            *[f"_last.{c}" for c in shown],
-            "count_sprint_changes",
-        )
-    )
+    return issue_multi_facts(multi_history, sprint=sprint)
 
 
 def issue_versions(multi_history: DataFrame, version: DataFrame) -> DataFrame:
     """Names of the versions set by the latest change, affected and fixed ones apart."""
-    names = version.select("source_relation", F.col("version_id").alias("_version_id"), "version_name")
-    changes = multi_history.filter(F.col("field_id").isin("versions", "fixVersions"))
-    # Of each issue and field, the rows of the last instant only.
-    newest = F.rank().over(Window.partitionBy(*KEYS, "field_id").orderBy(F.desc("updated_at")))
-    latest = changes.withColumn("_rank", newest).filter(F.col("_rank") == 1).drop("_rank")
-
-    def of(field_id: str):
-        return joined(f"case when field_id = '{field_id}' then version_name end")
-
-    return (
-        latest.withColumn("_version_id", F.col("field_value").try_cast("long"))
-        .join(names, ["source_relation", "_version_id"], "left")
-        .groupBy(*KEYS)
-        .agg(of("versions").alias("affects_versions"), of("fixVersions").alias("fixes_versions"))
-        .filter("affects_versions is not null or fixes_versions is not null")
+    return issue_multi_facts(multi_history, version=version).filter(
+        "affects_versions is not null or fixes_versions is not null"
     )
 
 
 def issue_join(issue: DataFrame, parts: Mapping[str, DataFrame], staged: Mapping[str, DataFrame], cfg: Config) -> DataFrame:
     """Put together what the other functions found out about each issue.
 
-    ``issue`` comes from :func:`issue_users`; ``parts`` has ``assign_resolution`` and,
-    as far as in use, ``versions``, ``sprint`` and ``comments``. The parts have one
-    row per issue and share its shuffle.
+    ``issue`` comes from :func:`issue_users`, and has what :func:`issue_log_facts` found; ``parts`` has, as far as in use,
+    ``multi`` (of :func:`issue_multi_facts`) and ``comments``. The parts have one row per issue and share its shuffle.
     """
 
     def named(table: str, key: str, **columns: str) -> DataFrame:
         return staged[table].select("source_relation", key, *[F.col(c).alias(new) for new, c in columns.items()])
 
-    df = issue.join(parts["assign_resolution"], KEYS, "left")
-    if cfg.using_versions:
-        df = df.join(parts["versions"], KEYS, "left")
+    df = issue
+    if "multi" in parts:
+        df = df.join(parts["multi"].drop("board_id"), KEYS, "left")
     if cfg.using_sprints:
         active = (F.col("sprint_started_at") <= cfg.now()) & (
             F.coalesce("sprint_completed_at", cfg.now()) >= cfg.now()
         )
         df = (
-            df.join(parts["sprint"].drop("board_id"), KEYS, "left")
-            .withColumn("count_sprint_changes", F.coalesce("count_sprint_changes", F.lit(0)))
+            df.withColumn("count_sprint_changes", F.coalesce("count_sprint_changes", F.lit(0)))
             .withColumn("is_active_sprint", F.coalesce(active, F.lit(False)))
         )
     if cfg.include_comments:

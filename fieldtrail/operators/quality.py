@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldtrail.config import Config
@@ -90,21 +90,53 @@ def require_unique_ids(staged: Mapping[str, DataFrame]) -> None:
         raise ValueError(f"ids are repeated or null in {', '.join(sorted(r['table_name'] for r in wrong))}")
 
 
+#: Parts into which :func:`diff_tables` deals the rows: the most rows that it broadcasts.
+DIFF_PARTS = 16_384
+
+
+def _row_hashes(columns: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes of a row. Nulls are hashed as flags, since they leave a hash as it is."""
+    of_row = [c for name in columns for c in (F.col(name).isNull(), F.col(name))]
+    return [F.xxhash64(F.lit(seed), *of_row) for seed in (1, 2)]
+
+
+def _part(columns: Sequence[str]) -> Column:
+    return F.pmod(_row_hashes(columns)[0], F.lit(DIFF_PARTS)).cast("int").alias("_part")
+
+
+def differing_parts(both: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``_part``: where the rows of two tables, dealt by hash to ``DIFF_PARTS``, may differ; ``both`` has them with a
+    flag ``_before``.
+
+    Sums of 32-bit halves of two hashes and numbers of rows are compared, so the order of rows does not matter, no sum
+    overflows, and what is shuffled does not grow with the rows. Parts that hold the same rows as often are left out.
+    """
+    halves = [half for h in _row_hashes(columns) for half in (h.bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(h, 32))]
+    sign = F.when(F.col("_before"), F.lit(1)).otherwise(F.lit(-1)).cast("long")
+    sums = [F.sum(half * sign).alias(f"_sum{i}") for i, half in enumerate([*halves, F.lit(1)])]
+    totals = both.groupBy(_part(columns)).agg(*sums)
+    return totals.filter(" or ".join(f"_sum{i} <> 0" for i in range(len(sums)))).select("_part")
+
+
 def diff_tables(
     before: DataFrame, after: DataFrame, ignore: Sequence[str] = (), names: tuple[str, str] = ("prod", "dev")
 ) -> DataFrame:
     """Distinct rows that only one of two tables has, and which one.
 
-    One aggregation over both tables instead of an anti join in each direction.
+    Digests of parts are compared first, so of equal tables no row is shuffled; the rows of the parts that differ are
+    then compared themselves, in one aggregation over both tables. Tables are read twice, and should be stored ones.
     """
     columns = [c for c in before.columns if c in set(after.columns) - set(ignore)]
-    both = (
-        before.select(*columns, F.lit(True).alias("_before"))
-        .unionByName(after.select(*columns, F.lit(False).alias("_before")))
+    both = before.select(*columns, F.lit(True).alias("_before")).unionByName(
+        after.select(*columns, F.lit(False).alias("_before"))
+    )
+    compared = (
+        both.withColumn("_part", _part(columns))
+        .join(F.broadcast(differing_parts(both, columns)), "_part", "left_semi")
         .groupBy(*columns)
         .agg(F.bool_or("_before").alias("_in_before"), F.bool_or(~F.col("_before")).alias("_in_after"))
     )
-    return both.filter(F.col("_in_before") != F.col("_in_after")).select(
+    return compared.filter(F.col("_in_before") != F.col("_in_after")).select(
         *columns,
         F.when(F.col("_in_before"), f"from {names[0]}").otherwise(f"from {names[1]}").alias("source"),
     )

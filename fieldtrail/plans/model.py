@@ -152,7 +152,19 @@ class Tracker:
 
     @cached_property
     def issue_join(self) -> DataFrame:
-        return issues.issue_join(self.issue_users, self.issue_parts, self.staged, self.cfg)
+        """Each log is read once for all that an issue shows of it."""
+        s, cfg = self.staged, self.cfg
+        typed = issues.issue_type_parents(s["issue"], s["issue_type"], issues.issue_log_facts(self.single_history))
+        parts = {}
+        if cfg.using_sprints or cfg.using_versions:
+            parts["multi"] = issues.issue_multi_facts(
+                self.multi_history,
+                s["sprint"] if cfg.using_sprints else None,
+                s["version"] if cfg.using_versions else None,
+            )
+        if cfg.include_comments:
+            parts["comments"] = self.issue_parts["comments"]
+        return issues.issue_join(issues.issue_users(typed, s["user"]), parts, s, cfg)
 
     @cached_property
     def issue_enhanced(self) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldtrail import Tracker
+from fieldtrail.operators import issues
 from fixtures.queries import tracker
 
 TABLES = [*Tracker.TABLES, "daily_status_category", "cumulative_flow", "issue_calendar_spine"]
@@ -70,3 +71,16 @@ def test_log_filters_reach_the_scan(spark, tables):
     text = plan(staged.filter(F.col("updated_at") >= F.lit("2024-01-22").cast("timestamp")).select("issue_id"))
     assert "GreaterThanOrEqual(time" in text
     assert "ReadSchema: struct<issue_id:bigint,time:timestamp>" in text
+
+
+def test_issue_join_reads_each_log_once(spark, tables):
+    """One aggregation of the log of single values; two, by change and by issue, of the other one."""
+    facts = issues.issue_log_facts(tables.single_history)
+    fixture = plan(tables.single_history).count("Exchange")
+    assert plan(facts).count("Exchange") == fixture + 1
+    facts = issues.issue_multi_facts(tables.multi_history, tables.staged["sprint"], tables.staged["version"])
+    fixture = sum(plan(df).count("Exchange") for df in (tables.multi_history, tables.staged["sprint"], tables.staged["version"]))
+    joins = plan(facts).count("Exchange") - fixture - 2
+    assert plan(facts).count("Join") == plan(tables.multi_history).count("Join") + 2
+    assert joins <= 4  # what the two look-ups need: a broadcast each, or two shuffles
+    assert "Window" not in plan(facts)

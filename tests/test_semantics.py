@@ -1,6 +1,7 @@
 """Hand-computed cases for the less obvious rules."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from tracker_rows import raw_tables
 
 from fieldtrail import Config, Tracker
 from fieldtrail.functions.text import slugify, string_to_numeric, surrogate_key
-from fieldtrail.operators import instants, quality
+from fieldtrail.operators import instants, issues, quality
 from fieldtrail.sources.staging import stage, union_sources
 
 NOW = "2024-01-10 00:00:00"
@@ -346,3 +347,78 @@ def test_diff_tables(spark):
     b = spark.createDataFrame([(1, "x"), (3, None)], "id long, v string")
     got = {(r.id, r.source) for r in quality.diff_tables(a, b).collect()}
     assert got == {(2, "from prod"), (3, "from dev")}
+
+
+def test_diff_tables_compares_only_parts_that_differ(spark):
+    rows = spark.range(0, 20_000).selectExpr("id", "if(id % 3 = 0, null, concat('v', id)) as v", "id / 7 as x")
+    columns = rows.columns
+
+    def both(a, b):
+        return a.withColumn("_before", F.lit(True)).unionByName(b.withColumn("_before", F.lit(False)))
+
+    again = rows.repartition(7, "v")
+    assert quality.differing_parts(both(rows, again), columns).isEmpty()
+    assert quality.diff_tables(rows, again).isEmpty()
+    other = again.withColumn("v", F.when(F.col("id") == 5, F.lit("w")).otherwise(F.col("v")))
+    assert quality.differing_parts(both(rows, other), columns).count() in (1, 2)
+    assert {(r.id, r.v, r.source) for r in quality.diff_tables(rows, other).collect()} == {
+        (5, "v5", "from prod"),
+        (5, "w", "from dev"),
+    }
+    # The same rows, but not as often: parts differ, distinct rows do not.
+    assert quality.diff_tables(rows, again.unionByName(rows.limit(10))).isEmpty()
+
+
+def test_diff_tables_odd_rows(spark):
+    a = spark.createDataFrame([(None, "a", 0.0), ("b", None, None)], "p string, q string, x double")
+    b = spark.createDataFrame([("a", None, -0.0), ("b", None, None)], "p string, q string, x double")
+    got = {(r.p, r.q, r.source) for r in quality.diff_tables(a, b).collect()}
+    assert got == {(None, "a", "from prod"), ("a", None, "from dev")}
+    assert quality.diff_tables(a.select("x").limit(1), b.select("x").limit(1)).isEmpty()  # zero has one value
+    assert quality.diff_tables(a.limit(0), b.limit(0)).isEmpty()
+    assert quality.diff_tables(a.limit(0), b).count() == 2
+
+
+def test_multi_facts_against_brute_force(spark):
+    rng = random.Random(11)
+    log = []
+    for _ in range(600):
+        field = rng.choice([("f1", "Sprint"), ("f2", "SPRINT"), ("versions", "Affects"), ("fixVersions", "Fix"), ("f3", "Other")])
+        # Few instants and values: ties, repeated rows and unknown ids. Issue 0 has a third of all changes.
+        issue = rng.choice([0, 0, 0, *range(1, 7)])
+        log.append((issue, *field, f"2024-01-0{rng.randint(1, 4)}", rng.choice([None, "1", "2", "3", "x"])))
+    log += [(90, "f1", "Sprint", "2024-01-01", None), (91, "versions", "Affects", "2024-01-01", None), (92, "f3", "Other", "2024-01-01", "1")]
+    starts = {"1": "2024-01-05", "2": None}
+    history = spark.createDataFrame(log, "issue_id long, field_id string, field_name string, at string, field_value string").selectExpr(
+        "'a' as source_relation", "issue_id", "field_id", "field_name", "cast(at as timestamp) as updated_at", "field_value"
+    )
+    sprint = spark.createDataFrame([(int(k), v) for k, v in starts.items()], "sprint_id long, s string").selectExpr(
+        "'a' as source_relation", "sprint_id", "concat('S', sprint_id) as sprint_name", "sprint_id + 50 as board_id",
+        "cast(s as timestamp) as started_at", "cast(null as timestamp) as ended_at", "cast(null as timestamp) as completed_at",
+    )
+    version = spark.createDataFrame([(1, "v1"), (2, "v2"), (3, "v1")], "version_id long, version_name string").selectExpr(
+        "'a' as source_relation", "version_id", "version_name"
+    )
+    want = {}
+    names = {"1": "v1", "2": "v2", "3": "v1"}
+    for issue in {r[0] for r in log}:
+        rows = [r for r in log if r[0] == issue]
+        in_sprint = [r for r in rows if r[2].lower() == "sprint"]
+        changed = [[r for r in rows if r[1] == f] for f in ("versions", "fixVersions")]
+        if not in_sprint and not any(changed):
+            continue
+        last = max(in_sprint, key=lambda r: (r[3], starts.get(r[4]) or "", r[4] or ""), default=(None,) * 5)[4]
+        shown = []
+        for rows in changed:
+            at = max((r[3] for r in rows), default=None)
+            shown.append(", ".join(sorted(names[r[4]] for r in rows if r[3] == at and r[4] in names)) or None)
+        want[issue] = (last, f"S{last}" if last in starts else None, len({r[4] for r in in_sprint} - {None}), *shown)
+    got = {
+        r.issue_id: (r.current_sprint_id, r.current_sprint_name, r.count_sprint_changes, r.affects_versions, r.fixes_versions)
+        for r in issues.issue_multi_facts(history, sprint, version).collect()
+    }
+    assert got == want
+    apart = {r.issue_id: (r.current_sprint_id, r.count_sprint_changes) for r in issues.issue_sprint(history, sprint).collect()}
+    assert apart == {i: (w[0], w[2]) for i, w in want.items() if i != 91}
+    apart = {r.issue_id: (r.affects_versions, r.fixes_versions) for r in issues.issue_versions(history, version).collect()}
+    assert apart == {i: w[3:] for i, w in want.items() if w[3] or w[4]}
