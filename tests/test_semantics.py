@@ -9,7 +9,7 @@ from tracker_rows import raw_tables
 
 from fieldtrail import Config, Tracker
 from fieldtrail.functions.text import slugify, string_to_numeric, surrogate_key
-from fieldtrail.operators import instants, issues, quality
+from fieldtrail.operators import history, instants, issues, quality
 from fieldtrail.sources.staging import stage, union_sources
 
 NOW = "2024-01-10 00:00:00"
@@ -422,3 +422,25 @@ def test_multi_facts_against_brute_force(spark):
     assert apart == {i: (w[0], w[2]) for i, w in want.items() if i != 91}
     apart = {r.issue_id: (r.affects_versions, r.fixes_versions) for r in issues.issue_versions(history, version).collect()}
     assert apart == {i: w[3:] for i, w in want.items() if w[3] or w[4]}
+
+
+def test_a_field_with_most_changes_stays_in_many_tasks(spark):
+    """Also if nothing is small enough to be broadcast by its size."""
+    log = spark.range(0, 800, numPartitions=8).selectExpr(
+        "'' as source_relation", "if(id % 100 = 0, 'f_team', if(id % 100 = 1, 'gone', 'status')) as field_id",
+        "id as issue_id", "timestamp '2024-01-01' as updated_at",
+    )
+    field = spark.range(0, 64, numPartitions=4).selectExpr(
+        "'' as source_relation",
+        "case id when 0 then 'status' when 1 then 'f_team' else concat('f_', id) end as field_id",
+        "case id when 0 then 'Status' when 1 then 'Team' else null end as field_name",
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        named = history.with_field_name(log, field.groupBy("source_relation", "field_id").agg(F.max("field_name").alias("field_name")))
+        placed = named.withColumn("task", F.spark_partition_id())
+        rows = placed.groupBy("field_name").agg(F.count("*").alias("n"), F.count_distinct("task").alias("tasks"))
+        assert {r.field_name: (r.n, r.tasks) for r in rows.collect()} == {"status": (784, 8), "team": (8, 8)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
