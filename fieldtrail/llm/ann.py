@@ -217,8 +217,11 @@ def neighbour_graph(nodes: DataFrame, pivots: Pivots, rounds: int = ROUNDS) -> D
     return keep(both_ways(edges).select("node_", "other_"))
 
 
-def walk(graph: DataFrame, nodes: DataFrame, starts: DataFrame, pivots: Pivots, beam: int = BEAM, steps: int = STEPS) -> DataFrame:
-    """node_, other_, far_: the nearest nodes that greedy search finds for each node_ of ``starts``."""
+def walk(
+    graph: DataFrame, nodes: DataFrame, starts: DataFrame, pivots: Pivots, beam: int = BEAM, steps: int = STEPS, answers: int = 0
+) -> DataFrame:
+    """node_, other_, far_: the nearest nodes that greedy search finds for each node_ of ``starts``, the ``beam`` nearest
+    or ``answers`` if that is more."""
     spark = nodes.sparkSession
     sent = spark.sparkContext.broadcast(pivots)
     own = keep(nodes.select("node_", "small_").join(starts, "node_", "left_semi"))
@@ -242,22 +245,27 @@ def walk(graph: DataFrame, nodes: DataFrame, starts: DataFrame, pivots: Pivots,
 
     at_home = graph.join(own.select("node_"), "node_")
     first = own.mapInArrow(begin, "node_ long, other_ long").unionByName(at_home).distinct()
-    # All that was ever measured for a query stays, so that nothing is measured twice.
-    known = keep(measured(first))
     order = Window.partitionBy("node_").orderBy("far_", "other_")
+    most = max(beam, answers)
+
+    def nearest_of(pairs: DataFrame) -> DataFrame:
+        return pairs.withColumn("rank_", F.row_number().over(order)).where(F.col("rank_") <= most)
+
+    # Only the nearest stay. What has dropped out never comes back, as nearer nodes have taken its place: if it is met
+    # again, it is measured again and drops out again, which costs less than to keep and join all that was ever measured.
+    top = keep(nearest_of(measured(first)))
     for _ in range(steps):
-        top = known.withColumn("rank_", F.row_number().over(order)).where(F.col("rank_") <= beam)
-        todo = keep(top.where("not seen_").select("node_", F.col("other_").alias("at_")))
+        todo = top.where(~F.col("seen_") & (F.col("rank_") <= beam)).select("node_", F.col("other_").alias("at_"))
         if todo.isEmpty():
             break
         near = todo.join(graph.withColumnRenamed("node_", "at_"), "at_").select("node_", "other_").distinct()
-        fresh = measured(near.join(known.select("node_", "other_"), ["node_", "other_"], "left_anti"))
-        done = todo.select("node_", F.col("at_").alias("other_"), F.lit(True).alias("done_"))
-        visited = known.join(done, ["node_", "other_"], "left").withColumn("seen_", F.col("seen_") | F.coalesce("done_", F.lit(False)))
-        now = keep(visited.drop("done_").unionByName(fresh))
-        discard(known, todo)
-        known = now
-    return known.select("node_", "other_", "far_")
+        fresh = measured(near.join(top.select("node_", "other_"), ["node_", "other_"], "left_anti"))
+        # All that was to visit is visited in one step.
+        visited = top.withColumn("seen_", F.col("seen_") | (F.col("rank_") <= beam)).drop("rank_")
+        now = keep(nearest_of(visited.unionByName(fresh)))
+        discard(top)
+        top = now
+    return top.select("node_", "other_", "far_")
 
 
 def nearest(
@@ -286,10 +294,11 @@ def nearest(
     graph = neighbour_graph(nodes, pivots, rounds)
     asked = rows.where(is_query if is_query is not None else F.lit(True))
     queries = keep(asked.join(nodes.select("vector_", "node_"), "vector_").select(F.col("vec_id").alias("query_id"), "node_"))
-    found = walk(graph, nodes, queries.select("node_").distinct(), pivots, beam)
-    order = Window.partitionBy("node_").orderBy("far_", "other_")
     # Distances of the walk are rounded to 4 bytes in the end: several times k go into the exact comparison.
-    few = found.withColumn("rank_", F.row_number().over(order)).where(F.col("rank_") <= 5 * k + 14)
+    several = 5 * k + 14
+    found = walk(graph, nodes, queries.select("node_").distinct(), pivots, beam, answers=several)
+    order = Window.partitionBy("node_").orderBy("far_", "other_")
+    few = found.withColumn("rank_", F.row_number().over(order)).where(F.col("rank_") <= several)
     own = queries.select("node_").distinct().select("node_", F.col("node_").alias("other_"))
     pairs = few.select("node_", "other_").unionByName(own)
     a = nodes.select("node_", F.col("vector_").alias("a_"))

@@ -5,7 +5,7 @@ import pytest
 from conftest_llm import rows_of
 from pyspark.sql import functions as F
 
-from fieldtrail.llm.ann import nearest
+from fieldtrail.llm.ann import Pivots, nearest, neighbour_graph, nodes_of, usable, walk
 
 SCHEMA = "vec_id long, embedding array<float>, label int, far_ string, node_ string"
 
@@ -56,6 +56,22 @@ def test_recall_on_random_directions(spark, count, list_rows, monkeypatch):
     assert np.mean([len({j for _, j in got[q]} & {j for _, j in want[q]}) / 10 for q in want]) >= 0.95
 
 
+def test_a_walk_keeps_the_nearest_only(spark):
+    """What a walk keeps, and joins at each step, does not grow with the nodes it has met."""
+    rows = [(i, v.tolist()) for i, v in enumerate(np.random.default_rng(14).normal(size=(900, 8)))]
+    nodes = nodes_of(usable(table(spark, rows), "vec_id", "embedding")).cache()
+    pivots = Pivots(nodes, 900)
+    starts = nodes.where("node_ % 100 = 0").select("node_")
+    graph = neighbour_graph(nodes, pivots)
+    for answers, most in ((10, 24), (40, 40)):
+        found = rows_of(walk(graph, nodes, starts, pivots, beam=24, answers=answers))
+        for q, want in brute(rows).items():
+            mine = [r.other_ for r in sorted(found, key=lambda r: r.far_) if r.node_ == q]
+            assert len(mine) == len(set(mine)) == most
+            assert len(set(mine[:10]) & {j for _, j in want}) >= 9
+    nodes.unpersist()
+
+
 def test_near_copies_are_told_apart(spark):
     rng = np.random.default_rng(12)
     middle = rng.normal(size=16)
