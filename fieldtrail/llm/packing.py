@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import keep, release
+from .store import keep, portions, release
 
 #: Words whose ids a Python process remembers, about.
 WORDS = 1_200_000
@@ -119,18 +119,6 @@ def encoder_of(definition: str) -> Encoder:
     return _ENCODERS[key]
 
 
-def _portions(texts: pa.Array, chars: int = 1_000_000) -> Iterator[list[str | None]]:
-    """The texts of a column, a bounded number of characters (or one text) at once."""
-    portion, size = [], 0
-    for text in texts:
-        portion.append(text.as_py())
-        size += len(portion[-1] or "")
-        if size >= chars:
-            yield portion
-            portion, size = [], 0
-    yield portion
-
-
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids) of each document's ids and a closing 0, cut at ``capacity``.
 
@@ -143,7 +131,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, with_ids: bool
         step = 4 * capacity
         for batch in batches:
             rows: list[list] = [[], [], [], [], [], []]
-            encoded = (ids for portion in _portions(batch.column(1)) for ids in encoder.ids(portion))
+            encoded = (ids for portion in portions(batch.column(1)) for ids in encoder.ids(portion))
             for id_, ids in zip(batch.column(0).to_pylist(), encoded):
                 ids += bytes(4)
                 for k, at in enumerate(range(0, len(ids), step)):

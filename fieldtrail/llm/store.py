@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 import uuid
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -50,6 +51,18 @@ def release() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def portions(texts: pa.Array, chars: int = 1_000_000) -> Iterator[list[str | None]]:
+    """The texts of a column, a bounded number of characters (or one text) at once."""
+    portion, size = [], 0
+    for text in texts:
+        portion.append(text.as_py())
+        size += len(portion[-1] or "")
+        if size >= chars:
+            yield portion
+            portion, size = [], 0
+    yield portion
+
+
 def words(text):
     """How many runs of other than white space a text column has; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(f"[^{SPACE}]+")), F.lit(0)).cast("long")

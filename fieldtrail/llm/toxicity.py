@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .simhash import shingle_hashes
-from .store import keep, release, some_of_each
+from .store import keep, portions, release, some_of_each
 
 #: Labelled documents of each label that the model is learnt from, at most; chosen by hash. This bounds fitting only.
 FIT_ROWS = 15_000
@@ -136,10 +136,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) ->
     return docs.select("doc_id", "text").join(F.broadcast(chosen.select("doc_id", "toxic")), "doc_id")
 
 
-@F.pandas_udf(T.LongType())
-def _copy_mark(texts: pd.Series) -> pd.Series:
+@F.arrow_udf(T.LongType())
+def _copy_mark(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """A number that near copies of a text mostly share: the least hash of its runs of three words."""
-    return pd.Series([min(shingle_hashes(t, 3), default=0) >> 1 for t in texts], dtype="int64")
+    for texts in batches:
+        yield pa.array([min(shingle_hashes(t.as_py(), 3), default=0) >> 1 for t in texts], pa.int64())
+    release()
 
 
 def _all_forms(text: str | None) -> list[str]:
@@ -147,13 +149,18 @@ def _all_forms(text: str | None) -> list[str]:
 
 
 def _token_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each form of each text. Forms take many times the room of their texts, so they leave in portions."""
     for batch in batches:
-        labels, found = batch.column(1).to_pylist(), [_all_forms(t) for t in batch.column(0).to_pylist()]
-        sizes = [len(f) for f in found]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([w for f in found for w in f], pa.string()), pa.array(np.repeat(labels, sizes), pa.int32())],
-            ["token_", "toxic"],
-        )
+        labels = batch.column(1).to_numpy()
+        for texts in portions(batch.column(0), 250_000):
+            found = [_all_forms(t) for t in texts]
+            sizes = np.array([len(f) for f in found], dtype=np.int64)
+            own, labels = labels[: len(texts)], labels[len(texts) :]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([w for f in found for w in f], pa.string()), pa.array(np.repeat(own, sizes), pa.int32())],
+                ["token_", "toxic"],
+            )
+    release()
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Model:
@@ -197,11 +204,13 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS) -> Model:
     log_k = min(0.0, math.log(chance.sum()) + rate * least)
     draft = Model(scores, DRIFT, rate, log_k, 1.0, 0.0)
 
-    def evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            yield pd.DataFrame({"x": [math.log1p(draft.evidence(t)) for t in rows["text"]], "toxic": rows["toxic"]})
+    def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = [math.log1p(draft.evidence(t.as_py())) for t in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), batch.column(1)], ["x", "toxic"])
+        release()
 
-    seen = sample.select("text", F.col("toxic").cast("int")).mapInPandas(evidence, "x double, toxic int")
+    seen = sample.select("text", F.col("toxic").cast("int")).mapInArrow(evidence, "x double, toxic int")
     points = seen.groupBy(F.round("x", 2).alias("x"), "toxic").agg(F.count("*").alias("n")).toPandas()
     slope, offset = _logistic(points)
     return Model(scores, DRIFT, rate, log_k, slope, offset)
@@ -237,10 +246,10 @@ def scorer(docs: DataFrame, labels: DataFrame, most: int = FIT_ROWS):
     """A function of a text column that gives its score, learnt from ``docs`` and ``labels``."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, most))
 
-    @F.pandas_udf(T.DoubleType())
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.DoubleType())
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series([model.value.score(t) for t in texts], dtype="float64")
+            yield pa.array([model.value.score(t.as_py()) for t in texts], pa.float64())
         release()
 
     return score

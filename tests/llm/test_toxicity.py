@@ -98,3 +98,27 @@ def test_a_sample_has_the_first_rows_of_each_value(spark, most):
         ordered = rows.where(F.col("toxic") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         want += [(label, r.doc_id) for r in ordered.collect()]
     assert got == sorted(want)
+
+
+def test_forms_leave_in_portions():
+    """What a task holds doesn't grow with the texts of a batch: forms take many times their room."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    texts = [" ".join(f"{rng.randrange(10**9):x}".translate(str.maketrans("0123456789", "ghijklmnop")) for _ in range(5000)) for _ in range(40)]
+    texts += [None, "", "word " * 20_000, "12 34"]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([i % 2 for i in range(len(texts))], pa.int32())], ["text", "toxic"])
+    got = [0, 0]
+    tracemalloc.start()
+    for rows in toxicity._token_rows(iter([batch, batch.slice(40)])):
+        for label in rows.column(1).to_pylist():
+            got[label] += 1
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = [0, 0]
+    for i, text in [*enumerate(texts), *enumerate(texts[40:])]:
+        want[i % 2] += len({f for word in set(toxicity.tokens(text)) for f in toxicity.forms(word)})
+    assert got == want
+    assert most < 30e6
