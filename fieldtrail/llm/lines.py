@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .mph import Shard
-from .store import SPACE_CHARS, keep, release
+from .store import SPACE_CHARS, keep, release, slices
 
 #: The id that null counts as: smaller than any other.
 NO_ID = -(2**63)
@@ -42,7 +42,7 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
     """hash_, print_, doc_: each distinct line of each document that is long enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             digests, sizes = [], []
             for text in batch.column(1).to_pylist():
                 own = {_key(line, min_chars) for line in (text or "").split("\n")} - {None}
@@ -51,6 +51,7 @@ def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
             hash_, print_ = _halves(digests)
             ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), sizes)
             yield pa.RecordBatch.from_arrays([pa.array(hash_), pa.array(print_), pa.array(ids)], ["hash_", "print_", "doc_"])
+        release()
 
     ids = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     return docs.select(ids.alias("doc_"), "text").mapInArrow(run, "hash_ long, print_ long, doc_ long")
@@ -150,7 +151,7 @@ def _probe_in_place(docs: DataFrame, index: DataFrame, min_chars: int) -> DataFr
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             at, digests = [], []
             for i, text in enumerate(texts):
@@ -176,7 +177,7 @@ def _probe_at_shards(docs: DataFrame, index: DataFrame, min_chars: int, task_row
     shards = index.select(F.coalesce(F.max("shards_"), F.lit(1))).first()[0]
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 2)):
             rows, numbers, ids, digests = [], [], [], []
             for row, id_, text in zip(*(c.to_pylist() for c in batch.columns)):
                 for k, line in enumerate((text or "").split("\n")):
@@ -189,6 +190,7 @@ def _probe_at_shards(docs: DataFrame, index: DataFrame, min_chars: int, task_row
             arrays = [pa.array(rows, pa.int64()), pa.array(numbers, pa.int32()), pa.array(ids, pa.int64())]
             arrays += [pa.array(hash_), pa.array(print_), pa.array((hash_ & (shards - 1)).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(arrays, ["row_", "line_", "doc_", "hash_", "print_", "shard_"])
+        release()
 
     ids = F.coalesce("doc_id", F.lit(NO_ID)).alias("doc_")
     schema = "row_ long, line_ int, doc_ long, hash_ long, print_ long, shard_ int"
@@ -215,9 +217,10 @@ def _probe_at_shards(docs: DataFrame, index: DataFrame, min_chars: int, task_row
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 1)):
             ids, texts, drops_ = (batch.column(k).to_pylist() for k in (0, 1, 3))
             yield _results(ids, texts, [set(d or ()) for d in drops_], batch.column(2))
+        release()
 
     joined = stored.join(drops, "row_", "left").select("doc_id", "text", "carried_", "drop_")
     return joined.mapInArrow(run, _result_type(docs))

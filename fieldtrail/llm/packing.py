@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import keep, portions, release
+from .store import REMEMBERED, keep, portions, release
 
 #: Words whose ids a Python process remembers, about.
 WORDS = 1_200_000
@@ -60,6 +60,7 @@ class Encoder:
 
         self.full = Tokenizer.from_str(definition)
         self.bare = Tokenizer.from_str(definition)
+        self.bare.model = self.full.model  # one vocabulary in memory, not two
         self.plain = plain
         if plain:
             self.bare.normalizer = normalizers.Sequence([])
@@ -108,7 +109,7 @@ class Encoder:
 
 
 #: The encoder of this process. Spark's Python processes run many tasks, and the words of one are met by the next.
-_ENCODERS: dict[int, Encoder] = {}
+_ENCODERS: dict[int, Encoder] = REMEMBERED.setdefault("packing", {})
 
 
 def encoder_of(definition: str) -> Encoder:
@@ -141,7 +142,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, with_ids: bool
                         column.append(value)
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
             yield pa.RecordBatch.from_arrays(list(map(pa.array, rows, kinds)), names)
-        release()
+        release("packing")
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
     names = [c.split()[0] for c in schema.split(", ")]

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .store import discard, keep, release
+from .store import keep, portions, release
 
 #: Fingerprints of the sample that the tree is built from, at most.
 SAMPLE = 1 << 16
@@ -62,18 +62,12 @@ def majority_bits(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def prints_of(texts: pa.Array, width: int) -> np.ndarray:
     """The fingerprint of each text."""
-    prints, start = [np.zeros(0, dtype=np.uint64)], 0
-    while start < len(texts):  # a bounded number of characters at once
-        stop, chars, rows = start, 0, []
-        while stop < len(texts) and chars < 2_000_000:
-            rows.append(texts[stop].as_py())
-            chars += len(rows[-1] or "")
-            stop += 1
-        hashes = [shingle_hashes(t, width) for t in rows]
+    prints = []
+    for rows in portions(texts, 250_000):  # their hashes and counters take some tens of times the room of texts
+        hashes = [np.array(shingle_hashes(t, width), dtype=np.uint64) for t in rows]
         sizes = np.array([len(h) for h in hashes], dtype=np.int64)
-        flat = np.array([x for h in hashes for x in h], dtype=np.uint64)
+        flat = np.concatenate([np.zeros(0, dtype=np.uint64), *hashes])
         prints.append(majority_bits(flat, sizes))
-        start = stop
     return np.concatenate(prints)
 
 
@@ -84,6 +78,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
         for batch in batches:
             fp = prints_of(batch.column(1), width)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], ["doc_id", "fp_"])
+        release()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp_ long")
 
@@ -269,7 +264,7 @@ def near_groups(docs: DataFrame, width: int = 3, radius: int = 3) -> DataFrame:
     Documents link if their fingerprints differ in ``radius`` bits at most; groups follow links. A null or blank text
     has fingerprint zero and links like any other. A null doc_id is in its group but never names it, unless all are
     null. Repeated rows each give a row. An empty table gives no rows. Other columns are ignored. Texts of any length
-    are read whole; a task holds one text, or texts of two million characters, at once.
+    are read whole; a task holds the hashes of one text, or of texts of 250,000 characters, at once.
     """
     rows = keep(fingerprints(docs, width))
     return rows.join(firsts(rows, F.col("doc_id"), radius), "fp_").select(
@@ -286,8 +281,10 @@ def one_of_each_group(docs: DataFrame, width: int = 3, radius: int = 3) -> DataF
     """
 
     @F.arrow_udf("long")
-    def fingerprint(texts: pa.Array) -> pa.Array:
-        return pa.array(prints_of(texts, width).view(np.int64))
+    def fingerprint(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array(prints_of(texts, width).view(np.int64))
+        release()
 
     # All columns in one, so that none of their names can clash.
     whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc_")

@@ -8,7 +8,9 @@ import gc
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,8 +45,17 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def release() -> None:
-    """Give memory that a finished task has freed back to the machine: its Python process stays, for later tasks."""
+#: What a step remembers in a Python process from task to task, by name of the step.
+REMEMBERED: dict[str, dict] = {}
+
+
+def release(step: str | None = None) -> None:
+    """Give memory that a finished task has freed back to the machine: its Python process stays, for later tasks.
+
+    These may be of any step, so what other steps than ``step`` remember in the process goes too.
+    """
+    for other in REMEMBERED.keys() - {step}:
+        REMEMBERED[other].clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # another C library
@@ -63,6 +74,17 @@ def portions(texts: pa.Array, chars: int = 1_000_000) -> Iterator[list[str | Non
     yield portion
 
 
+def slices(batch: pa.RecordBatch, column: int, size: int = 1_000_000) -> Iterator[pa.RecordBatch]:
+    """A batch in parts, without copies: the texts of ``column`` in a part have ``size`` bytes at most, or it is one row."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(), dtype=np.int64)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def words(text):
     """How many runs of other than white space a text column has; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(f"[^{SPACE}]+")), F.lit(0)).cast("long")

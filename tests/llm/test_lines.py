@@ -71,3 +71,27 @@ def test_perfect_hash_is_minimal_and_tells_strangers():
     assert (shard.lookup(keys, keys.view(np.int64)) == -1).all()
     empty = Shard.build(keys[:0], keys[:0].view(np.int64), {"v": keys[:0]})
     assert (empty.lookup(keys[:3], keys[:3].view(np.int64)) == -1).all()
+
+
+@pytest.mark.parametrize("options", [{}, {"broadcast_bytes": 0}])
+def test_rows_beyond_a_slice(make_docs, shared_lines, options):
+    """Batches of more text than a task takes at once, with texts that are more alone."""
+    rows = [(i, t + "\n" + f"filler {n % 3} " * 4000 + "\n" + t.upper()) for n, (i, t) in enumerate(shared_lines)]
+    rows += [(500, None), (501, "x" * 1_500_000), (None, ""), (502, "a line that is here twice\n" * 70_000)]
+    assert lines_of(dedup_lines(make_docs(rows).coalesce(2), **options)) == expected(rows)
+
+
+def test_slices_are_the_batch_in_bounded_parts():
+    import pyarrow as pa
+
+    from fieldtrail.llm.store import slices
+
+    texts = ["é" * 30, None, "", "x" * 500, "y" * 40, None, "z" * 60, "a", "b" * 101]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(9)), pa.array(texts)], ["n", "text"])
+    for whole in (batch, batch.slice(2, 5), batch.slice(1, 1), batch.slice(0, 0)):
+        parts = list(slices(whole, 1, 100))
+        assert [n for p in parts for n in p.column(0).to_pylist()] == whole.column(0).to_pylist()
+        assert [t for p in parts for t in p.column(1).to_pylist()] == whole.column(1).to_pylist()
+        sizes = [sum(len((t or "").encode()) for t in p.column(1).to_pylist()) for p in parts]
+        assert all(size <= 100 or len(p) == 1 for size, p in zip(sizes, parts))
+    assert [len(p) for p in slices(batch, 1, 100)] == [3, 1, 3, 1, 1]

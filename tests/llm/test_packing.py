@@ -103,3 +103,13 @@ def test_a_round_pairs_the_largest_piece_that_fits(spark):
     for parts in (1, 3):
         got = {r.id_: (r.seq_, r.at_) for r in rows_of(packing.sweep(state, 100, parts)) if r.kind_ == packing.PLACED}
         assert got == {2: (10, 96), 1: (11, 94)}
+
+
+def test_an_encoder_goes_when_its_process_does_other_work():
+    from fieldtrail.llm.store import release
+
+    encoder = packing.encoder_of(tokenizer())
+    release("packing")
+    assert packing.encoder_of(tokenizer()) is encoder  # the next task of packing finds its words again
+    release()
+    assert packing.encoder_of(tokenizer()) is not encoder

@@ -134,3 +134,21 @@ def test_one_row_stays_for_each_component(make_docs, odd_docs):
         groups = {r.component_id for r in rows_of(simhash.near_groups(docs))}
         stay = [r.doc_id for r in rows_of(simhash.one_of_each_group(docs))]
         assert len(stay) == len(groups) and set(stay) == groups
+
+
+def test_fingerprints_are_made_in_portions():
+    """What a task holds doesn't grow with the texts of a batch: hashes and counters take many times their room."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    texts = [" ".join(f"w{rng.randrange(10**4)}" for _ in range(4000)) for _ in range(80)]
+    texts += [None, "", "word " * 60_000, "a b", None]
+    tracemalloc.start()
+    got = simhash.prints_of(pa.array(texts), 3)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.tolist() == [fingerprint(t) for t in texts]
+    assert simhash.prints_of(pa.array([], pa.string()), 3).tolist() == []
+    assert most < 30e6
