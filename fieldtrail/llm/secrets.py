@@ -103,9 +103,11 @@ def coverage(candidates: DataFrame, words: DataFrame) -> DataFrame:
     pieces = candidates.select("candidate", starts).select("candidate", "start", F.explode(F.array(*map(F.lit, range(4, 9)))).alias("n"))
     pieces = pieces.where(F.col("start") + F.col("n") - 1 <= size).withColumn("part", F.lower(F.substring("candidate", F.col("start"), F.col("n"))))
     spots = F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("spot")
-    inside = pieces.join(words, "part").select("candidate", spots).distinct().groupBy("candidate").agg(F.count("*").alias("inside"))
+    # Spark takes pieces to be as few as candidates, so a join that could broadcast them would; a semi join can't.
+    known = pieces.join(words, "part", "left_semi")
+    inside = known.select("candidate", spots).distinct().groupBy("candidate").agg(F.count("*").alias("inside"))
     share = F.coalesce(F.col("inside"), F.lit(0)) / F.length("candidate")
-    return candidates.join(inside, "candidate", "left").select("candidate", share.alias("coverage"))
+    return candidates.join(inside.hint("merge"), "candidate", "left").select("candidate", share.alias("coverage"))
 
 
 def _pairs(text):
@@ -150,7 +152,8 @@ def features(rows: DataFrame, docs: DataFrame) -> DataFrame:
     around = F.concat(
         place, F.transform("before", lambda w: named(w, "before:")), F.array(named(F.col("after"), "after:"))
     )
-    made = rows.join(known, "candidate").withColumns(numbers | {"around_": around})
+    # Every candidate is known; a left join never broadcasts the rows, which may hold one long word again and again.
+    made = rows.join(known, "candidate", "left").withColumns(numbers | {"around_": around})
     hashed = HashingTF(numFeatures=CELLS, binary=True, inputCol="around_", outputCol="cells_").transform(made)
     columns = [*numbers, "coverage", "follow", "cells_"]
     ready = VectorAssembler(inputCols=columns, outputCol="features_").transform(hashed)
